@@ -51,3 +51,125 @@ def q_normalize_floor(spark, sf):
 def q_validate_rules(spark, sf):
     src = source(spark, sf)
     return etl_frames(src.tables(), src.rates_snapshot, WINDOW, rules=Q.etl_rules()).validated
+
+
+# -- sources, filters, scalar expressions -------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from .functions.jsonfn import damage_rule, json_check  # noqa: E402
+from .functions.normalize import latest_rate_time, normalize_currency  # noqa: E402
+from .functions.windows import changed_in, day_key, event_window, parquet_name  # noqa: E402
+from .operators import star  # noqa: E402
+from .operators.rates import missing_rates  # noqa: E402
+from .sources.tables import lookup, sql_over_view  # noqa: E402
+
+
+def _wide(spark, sf):
+    src = source(spark, sf)
+    return src, star.sales_wide(src.tables(), WINDOW)
+
+
+@query("filter_event_window")
+def q_filter_event_window(spark, sf):
+    return source(spark, sf).car_sales.filter(event_window(WINDOW, "transaction_date"))
+
+
+@query("extract_changed")
+def q_extract_changed(spark, sf):
+    return source(spark, sf).car_sales.filter(changed_in(WINDOW))
+
+
+@query("scan_point_lookup")
+def q_scan_point_lookup(spark, sf):
+    return lookup(spark, source(spark, sf).cars, "id", 3, ["id", "name"])
+
+
+@query("view_roundtrip")
+def q_view_roundtrip(spark, sf):
+    _, wide = _wide(spark, sf)
+    return sql_over_view(spark, wide, "sales_data_df",
+                         "select sale_id, car_name, sale_price from {view} where currency_name = ?", ["EUR"])
+
+
+@query("rates_explode")
+def q_rates_explode(spark, sf):
+    src, wide = _wide(spark, sf)
+    r = F.broadcast(src.rates)
+    return wide.join(r, wide.currency_name == r.code, "inner").select("sale_id", "code", "rate", "updated_at")
+
+
+@query("rates_asof_max")
+def q_rates_asof_max(spark, sf):
+    src, wide = _wide(spark, sf)
+    return wide.select("sale_id", latest_rate_time(src.rates).alias("exchange_rate_date"))
+
+
+@query("base_currency_cross")
+def q_base_currency_cross(spark, sf):
+    src, wide = _wide(spark, sf)
+    base = star.base_currency_ordered(src.rates)
+    return wide.crossJoin(F.broadcast(base)).select("sale_id", "currency_name", "base_code")
+
+
+@query("audit_missing_rate")
+def q_audit_missing_rate(spark, sf):
+    src, wide = _wide(spark, sf)
+    return missing_rates(wide, src.rates)
+
+
+@query("profile_nulls")
+def q_profile_nulls(spark, sf):
+    _, wide = _wide(spark, sf)
+    return Q.null_profile(wide)
+
+
+@query("validate_report")
+def q_validate_report(spark, sf):
+    src = source(spark, sf)
+    return Q.rule_report(etl_frames(src.tables(), src.rates_snapshot, WINDOW).normalized, Q.etl_rules())
+
+
+@query("window_label")
+def q_window_label(spark, sf):
+    _, wide = _wide(spark, sf)
+    return wide.select("sale_id", day_key("transaction_date").alias("day_key"),
+                       F.lit(parquet_name("car_sales_dataset", WINDOW)).alias("file_name"))
+
+
+@query("normalize_exact")
+def q_normalize_exact(spark, sf):
+    src, wide = _wide(spark, sf)
+    return normalize_currency(wide, src.rates_snapshot, mode="exact")
+
+
+@query("normalize_decimal")
+def q_normalize_decimal(spark, sf):
+    src, wide = _wide(spark, sf)
+    return (normalize_currency(wide, src.rates_snapshot, mode="decimal")
+            .select("sale_id", "sale_price", "code", "rate", "sale_price_normalized"))
+
+
+@query("json_validate")
+def q_json_validate(spark, sf):
+    ev = source(spark, sf).table("events")
+    damaged = ev.select("event_id", damage_rule(F.col("event_id"), F.col("props")).alias("props_raw"))
+    return json_check(damaged, "props_raw", {"k": "bigint"}).select("event_id", "props_valid", "k")
+
+
+# -- car dimension and sales fact --------------------------------------------
+
+@query("dim_car_detail")
+def q_dim_car_detail(spark, sf):
+    return star.dim_car_detail(source(spark, sf).tables(), WINDOW)
+
+
+@query("dim_car_detail_semi")
+def q_dim_car_detail_semi(spark, sf):
+    return star.dim_car_detail_semi(source(spark, sf).tables(), WINDOW)
+
+
+@query("fact_sales")
+def q_fact_sales(spark, sf):
+    src = source(spark, sf)
+    return star.fact_sales(src.tables(), src.rates_snapshot, WINDOW)
