@@ -173,3 +173,148 @@ def q_dim_car_detail_semi(spark, sf):
 def q_fact_sales(spark, sf):
     src = source(spark, sf)
     return star.fact_sales(src.tables(), src.rates_snapshot, WINDOW)
+
+
+# -- keyed merges -----------------------------------------------------------------
+
+from .fixtures import (LINE_KEYS, LINE_ORDER, MERGE_KEY, MERGE_RUN_TS,  # noqa: E402
+                       merge_incoming, merge_target, returned_order_keys, ts)
+from .functions.windows import Window as _W  # noqa: E402
+from .operators import merge as M  # noqa: E402
+
+from datetime import datetime  # noqa: E402
+
+
+def _merge_inputs(spark, sf):
+    src = source(spark, sf)
+    return merge_target(src), merge_incoming(src)
+
+
+@query("merge_replace")
+def q_merge_replace(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return M.merge(t, s, [MERGE_KEY])
+
+
+@query("merge_cumulative")
+def q_merge_cumulative(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return M.merge(t, s, [MERGE_KEY], {"amount": M.CUMULATIVE})
+
+
+@query("merge_progress")
+def q_merge_progress(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return M.merge(t, s, [MERGE_KEY], {"first_seen": M.PROGRESS})
+
+
+@query("merge_skip_if_null")
+def q_merge_skip_if_null(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return M.merge(t, s, [MERGE_KEY], {"priority": M.SKIP_IF_NULL, "status": M.SKIP_IF_NULL})
+
+
+@query("merge_concat")
+def q_merge_concat(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return M.merge(t, s, [MERGE_KEY], {"note": M.CONCAT})
+
+
+@query("merge_partial_columns")
+def q_merge_partial_columns(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return M.merge(t, s.select(MERGE_KEY, "status", "amount"), [MERGE_KEY], {"amount": M.CUMULATIVE})
+
+
+@query("merge_no_key_append")
+def q_merge_no_key_append(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return M.merge(t, s.select(MERGE_KEY, "status"), [])
+
+
+@query("merge_synced_at")
+def q_merge_synced_at(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return M.merge(t, s, [MERGE_KEY], synced_at=ts(MERGE_RUN_TS))
+
+
+@query("merge_initial_load")
+def q_merge_initial_load(spark, sf):
+    _, s = _merge_inputs(spark, sf)
+    return M.merge(None, s, [MERGE_KEY], synced_at=ts(MERGE_RUN_TS))
+
+
+@query("update_only")
+def q_update_only(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return M.update_only(t, s.select(MERGE_KEY, "amount", "note", "first_seen"), [MERGE_KEY],
+                         {"amount": M.CUMULATIVE, "note": M.CONCAT, "first_seen": M.PROGRESS},
+                         synced_at=ts(MERGE_RUN_TS))
+
+
+@query("append_strict_conflicts")
+def q_append_strict_conflicts(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return M.strict_conflicts(t, s, [MERGE_KEY])
+
+
+@query("dedupe_last_write")
+def q_dedupe_last_write(spark, sf):
+    return M.dedupe_last(source(spark, sf).table("lineitem"), LINE_KEYS,
+                         [F.col(c) for c in LINE_ORDER])
+
+
+@query("upsert_composite_key")
+def q_upsert_composite_key(spark, sf):
+    li = source(spark, sf).table("lineitem")
+    t = M.dedupe_last(li.filter(F.col("l_shipdate") < ts("1998-01-01")), LINE_KEYS, LINE_ORDER)
+    s = li.filter(F.col("l_shipdate") >= ts("1997-01-01"))
+    return M.merge(t, s, LINE_KEYS, dedupe_order=LINE_ORDER)
+
+
+@query("delete_by_key")
+def q_delete_by_key(spark, sf):
+    src = source(spark, sf)
+    return M.delete_by_key(src.car_sales, returned_order_keys(src), ["id"])
+
+
+@query("delete_cascade")
+def q_delete_cascade(spark, sf):
+    src = source(spark, sf)
+    gone = src.brands.filter(F.col("deleted_at").isNotNull()).select("id")
+    _, cars = M.delete_cascade(src.brands, src.cars, gone, "id", "brand_id")
+    return cars.select("id", "name", "brand_id", "type_id")
+
+
+PREV_WINDOW = _W(datetime(1996, 7, 1), datetime(1997, 6, 30))
+
+
+@query("etl_upsert_wide")
+def q_etl_upsert_wide(spark, sf):
+    src = source(spark, sf)
+    t = etl_dataset(src.tables(), src.rates_snapshot, PREV_WINDOW, mode="exact")
+    s = etl_dataset(src.tables(), src.rates_snapshot, WINDOW)
+    return M.merge(t, s, ["sale_id"])
+
+
+@query("load_table_upsert")
+def q_load_table_upsert(spark, sf):
+    src = source(spark, sf)
+    cs = src.car_sales
+    t = cs.filter(F.col("created_at") < ts("1997-01-01")).withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
+    return M.load_table(t, cs.filter(changed_in(WINDOW)), ["id"])
+
+
+@query("load_table_empty")
+def q_load_table_empty(spark, sf):
+    src = source(spark, sf)
+    cs = src.car_sales
+    t = cs.filter(F.col("created_at") < ts("1997-01-01"))
+    return M.load_table(t, cs.filter(changed_in(year_window(2030))), ["id"])
+
+
+@query("dim_car_detail_upsert")
+def q_dim_car_detail_upsert(spark, sf):
+    tables = source(spark, sf).tables()
+    return M.merge(star.dim_car_detail(tables, year_window(1996)),
+                   star.dim_car_detail_semi(tables, WINDOW), ["id"])

@@ -200,3 +200,53 @@ SOURCE_COLUMNS = {
     "cars": schemas.CARS.names, "customers": schemas.CUSTOMERS.names,
     "car_sales": schemas.CAR_SALES.names,
 }
+
+
+# -- merge fixtures (FIXTURES.md section 3) ------------------------------------
+
+# The target holds orders before 1998, the incoming batch orders
+# of 1997-1998, so 1997 keys conflict.  Nulls are placed by key residues.
+MERGE_TARGET_BEFORE = "1998-01-01"
+MERGE_INCOMING_FROM = "1997-01-01"
+MERGE_INCOMING_BEFORE = "1999-01-01"
+MERGE_KEY = "o_orderkey"
+MERGE_RUN_TS = "2026-01-01 00:00:00"
+
+
+def merge_target(src: Source) -> DataFrame:
+    o = src.table("orders").filter(F.col("o_orderdate") < ts(MERGE_TARGET_BEFORE))
+    k = F.col("o_orderkey")
+    return o.select(
+        k.alias("o_orderkey"),
+        F.when(k % 7 != 0, F.col("o_totalprice")).alias("amount"),
+        F.col("o_orderstatus").alias("status"),
+        F.when(k % 2 != 0, F.col("o_orderdate")).alias("first_seen"),
+        F.col("o_orderpriority").alias("priority"),
+        F.when(k % 2 != 0, F.col("o_orderpriority")).alias("note"),
+    )
+
+
+def merge_incoming(src: Source) -> DataFrame:
+    o = src.table("orders").filter((F.col("o_orderdate") >= ts(MERGE_INCOMING_FROM))
+                                   & (F.col("o_orderdate") < ts(MERGE_INCOMING_BEFORE)))
+    k = F.col("o_orderkey")
+    return o.select(
+        k.alias("o_orderkey"),
+        F.when(k % 5 != 0, F.col("o_totalprice") * 0.25).alias("amount"),
+        F.when(k % 3 != 0, F.lit("U")).alias("status"),
+        (F.col("o_orderdate") + F.make_dt_interval(days=F.lit(30))).alias("first_seen"),
+        F.when(k % 3 != 0, F.concat(F.lit("P-"), F.col("o_orderstatus"))).alias("priority"),
+        F.when(k % 5 != 0, F.col("o_orderstatus")).alias("note"),
+    )
+
+
+# Within-batch duplicates: lineitem keyed by (l_orderkey, l_linenumber); the
+# last write is the greatest (l_shipdate, l_partkey, l_suppkey, l_extendedprice).
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+def returned_order_keys(src: Source) -> DataFrame:
+    """Delete keys: orders having a returned line."""
+    return (src.table("lineitem").filter(F.col("l_returnflag") == "R")
+            .select(F.col("l_orderkey").cast("bigint").alias("id")).distinct())

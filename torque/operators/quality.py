@@ -84,8 +84,8 @@ def observed_rules(df: DataFrame, rules: Rules, name: str = "rules") -> tuple[Da
 def violations(df: DataFrame, rules: Rules, id_cols: Sequence[str]) -> DataFrame:
     """Q3 / Q4: one row per (row id, violated constraint)."""
     failed = F.array(*[F.when(~passed(r), F.lit(n)) for n, r in rules.items()])
-    return (df.select(*id_cols, F.explode(failed).alias("constraint"))
-            .filter(F.col("constraint").isNotNull()))
+    return (df.select(*id_cols, F.explode(failed).alias("constraint_name"))
+            .filter(F.col("constraint_name").isNotNull()))
 
 
 def check(df: DataFrame, rules: Rules, id_cols: Sequence[str], mode: str = "fail") -> DataFrame:
@@ -96,7 +96,7 @@ def check(df: DataFrame, rules: Rules, id_cols: Sequence[str], mode: str = "fail
         bad = violations(df, rules, id_cols)
         if not bad.isEmpty():
             raise ValueError("constraint violated: " + ", ".join(
-                f"{r['constraint']}" for r in bad.select("constraint").distinct().limit(10).collect()))
+                f"{r['constraint_name']}" for r in bad.select("constraint_name").distinct().limit(10).collect()))
         return df
     if mode == "quarantine":
         return apply_rules(df, rules)

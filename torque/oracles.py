@@ -286,3 +286,165 @@ where coalesce(sales.updated_at, sales.created_at) {{w}}"""
 cte("fact_sales", _FACT.format(w=WINDOW_1997),
     ["car_sales", "cars", "brands", "customers", "cities", "currencies", "rates"])
 register("fact_sales", "select * from fact_sales", "fact_sales")
+
+
+# -- keyed merges: the reference form (one full outer join, presence flag) -----
+
+cte("m_target", """
+select o_orderkey,
+       case when o_orderkey % 7 <> 0 then o_totalprice end as amount,
+       o_orderstatus as status,
+       case when o_orderkey % 2 <> 0 then o_orderdate end as first_seen,
+       o_orderpriority as priority,
+       case when o_orderkey % 2 <> 0 then o_orderpriority end as note
+from orders where o_orderdate < timestamp '1998-01-01'""")
+
+cte("m_incoming", """
+select o_orderkey,
+       case when o_orderkey % 5 <> 0 then o_totalprice * 0.25 end as amount,
+       case when o_orderkey % 3 <> 0 then 'U' end as status,
+       o_orderdate + interval 30 day as first_seen,
+       case when o_orderkey % 3 <> 0 then 'P-' || o_orderstatus end as priority,
+       case when o_orderkey % 5 <> 0 then o_orderstatus end as note
+from orders where o_orderdate >= timestamp '1997-01-01' and o_orderdate < timestamp '1999-01-01'""")
+
+M_COLS = ["o_orderkey", "amount", "status", "first_seen", "priority", "note"]
+
+POLICY_SQL = {
+    "REPLACE": "s.{c}",
+    "CUMULATIVE": "s.{c} + t.{c}",
+    "PROGRESS": "case when t.{c} is null then s.{c} else t.{c} end",
+    "SKIP_IF_NULL": "case when s.{c} is not null then s.{c} else t.{c} end",
+    "CONCAT": ("case when t.{c} is null then s.{c} when s.{c} is not null "
+               "then t.{c} || ', ' || s.{c} else t.{c} end"),
+}
+
+
+def merge_sql(target: str, incoming: str, keys: list[str], t_cols: list[str], s_cols: list[str],
+              policies: dict[str, str] | None = None, synced: str | None = None) -> str:
+    policies = policies or {}
+    hit = f"s.__in"
+    on = " and ".join(f"t.{k} = s.{k}" for k in keys)
+    out = []
+    for c in t_cols + [c for c in s_cols if c not in t_cols]:
+        if c in keys:
+            out.append(f"case when {hit} then s.{c} else t.{c} end as {c}")
+        elif c in s_cols and c in t_cols:
+            upd = POLICY_SQL[policies.get(c, "REPLACE")].format(c=c)
+            out.append(f"case when {hit} is null then t.{c} when t.__t is null then s.{c} else {upd} end as {c}")
+        elif c in s_cols:
+            out.append(f"case when {hit} then s.{c} end as {c}")
+        else:
+            out.append(f"t.{c} as {c}")
+    if synced:
+        out.append(f"case when {hit} then {synced} end as synced_at")
+    return (f"select {', '.join(out)} from (select *, true as __t from {target}) t "
+            f"full outer join (select {', '.join(s_cols)}, true as __in from {incoming}) s on {on}")
+
+
+RUN_TS = "timestamp '2026-01-01 00:00:00'"
+
+register("merge_replace", merge_sql("m_target", "m_incoming", ["o_orderkey"], M_COLS, M_COLS),
+         "m_target", "m_incoming")
+register("merge_cumulative", merge_sql("m_target", "m_incoming", ["o_orderkey"], M_COLS, M_COLS,
+                                       {"amount": "CUMULATIVE"}), "m_target", "m_incoming")
+register("merge_progress", merge_sql("m_target", "m_incoming", ["o_orderkey"], M_COLS, M_COLS,
+                                     {"first_seen": "PROGRESS"}), "m_target", "m_incoming")
+register("merge_skip_if_null", merge_sql("m_target", "m_incoming", ["o_orderkey"], M_COLS, M_COLS,
+                                         {"priority": "SKIP_IF_NULL", "status": "SKIP_IF_NULL"}),
+         "m_target", "m_incoming")
+register("merge_concat", merge_sql("m_target", "m_incoming", ["o_orderkey"], M_COLS, M_COLS,
+                                   {"note": "CONCAT"}), "m_target", "m_incoming")
+register("merge_partial_columns", merge_sql("m_target", "m_incoming", ["o_orderkey"], M_COLS,
+                                            ["o_orderkey", "status", "amount"], {"amount": "CUMULATIVE"}),
+         "m_target", "m_incoming")
+register("merge_no_key_append", """
+select o_orderkey, amount, status, first_seen, priority, note from m_target
+union all
+select o_orderkey, null, status, null, null, null from m_incoming""", "m_target", "m_incoming")
+register("merge_synced_at", merge_sql("m_target", "m_incoming", ["o_orderkey"], M_COLS, M_COLS,
+                                      synced=RUN_TS), "m_target", "m_incoming")
+register("merge_initial_load", f"select *, {RUN_TS} as synced_at from m_incoming", "m_incoming")
+
+register("update_only", f"""
+select t.o_orderkey,
+       case when s.o_orderkey is null then t.amount else s.amount + t.amount end as amount,
+       t.status,
+       case when s.o_orderkey is null then t.first_seen
+            when t.first_seen is null then s.first_seen else t.first_seen end as first_seen,
+       t.priority,
+       case when s.o_orderkey is null then t.note else s.note end as note,
+       case when s.o_orderkey is not null then {RUN_TS} end as synced_at
+from m_target t left join m_incoming s on t.o_orderkey = s.o_orderkey""", "m_target", "m_incoming")
+
+register("append_strict_conflicts", """
+select s.o_orderkey, count(*) as n, 'exists' as reason
+from m_incoming s where exists (select 1 from m_target t where t.o_orderkey = s.o_orderkey)
+group by s.o_orderkey
+union all
+select o_orderkey, count(*) as n, 'repeated' as reason
+from m_incoming group by o_orderkey having count(*) > 1""", "m_target", "m_incoming")
+
+cte("line_last", """
+select * exclude (rn) from (
+  select *, row_number() over (partition by l_orderkey, l_linenumber
+                               order by l_shipdate desc, l_partkey desc, l_suppkey desc,
+                                        l_extendedprice desc) as rn
+  from lineitem) where rn = 1""")
+register("dedupe_last_write", "select * from line_last", "line_last")
+
+cte("line_target", """
+select * exclude (rn) from (
+  select *, row_number() over (partition by l_orderkey, l_linenumber
+                               order by l_shipdate desc, l_partkey desc, l_suppkey desc,
+                                        l_extendedprice desc) as rn
+  from lineitem where l_shipdate < timestamp '1998-01-01') where rn = 1""")
+cte("line_incoming", """
+select * exclude (rn) from (
+  select *, row_number() over (partition by l_orderkey, l_linenumber
+                               order by l_shipdate desc, l_partkey desc, l_suppkey desc,
+                                        l_extendedprice desc) as rn
+  from lineitem where l_shipdate >= timestamp '1997-01-01') where rn = 1""")
+register("upsert_composite_key", """
+select * from line_target t
+where not exists (select 1 from line_incoming s
+                  where s.l_orderkey = t.l_orderkey and s.l_linenumber = t.l_linenumber)
+union all select * from line_incoming""", "line_target", "line_incoming")
+
+register("delete_by_key", """
+select * from car_sales
+where id not in (select l_orderkey from lineitem where l_returnflag = 'R')""", "car_sales")
+
+register("delete_cascade", """
+select id, name, brand_id, type_id from cars
+where brand_id not in (select id from brands where deleted_at is not null)""", "cars", "brands")
+
+_SALES_WIDE_T = CTES["sales_wide"].replace("1997-01-01 00:00:00", "{lo}").replace("1997-12-31 00:00:00", "{hi}")
+cte("sales_wide_prev", _SALES_WIDE_T.format(lo="1996-07-01 00:00:00", hi="1997-06-30 00:00:00"),
+    DEPS["sales_wide"])
+cte("normalized_prev", NORMALIZE_SELECT.format(value="w.sale_price / r.rate", src="sales_wide_prev"),
+    ["sales_wide_prev", "rates"])
+cte("validated_prev", "select * from normalized_prev" + VALID_WHERE, ["normalized_prev"])
+register("etl_upsert_wide", f"""
+select {DATASET_COLS} from validated_prev t
+where not exists (select 1 from validated s where s.sale_id = t.sale_id)
+union all select {DATASET_COLS} from validated""", "validated_prev", "validated")
+
+register("load_table_upsert", f"""
+select * from (select * replace (cast(null as timestamp) as updated_at) from car_sales
+               where created_at < timestamp '1997-01-01') t
+where not exists (select 1 from car_sales s
+                  where s.id = t.id and coalesce(s.updated_at, s.created_at) {WINDOW_1997})
+union all
+select * from car_sales where coalesce(updated_at, created_at) {WINDOW_1997}""", "car_sales")
+
+register("load_table_empty", "select * from car_sales where created_at < timestamp '1997-01-01'",
+         "car_sales")
+
+cte("dim_car_detail_1996", _DIM.format(
+    w="between timestamp '1996-01-01 00:00:00' and timestamp '1996-12-31 00:00:00'"),
+    ["cars", "brands", "types"])
+register("dim_car_detail_upsert", """
+select * from dim_car_detail_1996 t
+where not exists (select 1 from dim_car_detail s where s.id = t.id)
+union all select * from dim_car_detail""", "dim_car_detail_1996", "dim_car_detail")
