@@ -318,3 +318,110 @@ def q_dim_car_detail_upsert(spark, sf):
     tables = source(spark, sf).tables()
     return M.merge(star.dim_car_detail(tables, year_window(1996)),
                    star.dim_car_detail_semi(tables, WINDOW), ["id"])
+
+
+# -- quality reports ----------------------------------------------------------------
+
+from functools import reduce  # noqa: E402
+
+from .plans.elt import LOAD_ORDER, destination, extract_changed, run_elt  # noqa: E402
+from .plans.etl import run_etl  # noqa: E402
+from .plans.reconcile import reconcile  # noqa: E402
+from .session import scratch_path  # noqa: E402
+from .sources.snapshots import SnapshotTable  # noqa: E402
+
+
+@query("constraint_violations")
+def q_constraint_violations(spark, sf):
+    src = source(spark, sf)
+    normalized = etl_frames(src.tables(), src.rates_snapshot, WINDOW).normalized
+    return Q.violations(star.to_dataset(normalized), Q.dataset_constraints(), ["sale_id"])
+
+
+UNIQUE_CHECKS = [("brands", ["name"]), ("types", ["name"]), ("customers", ["name"]),
+                 ("cities", ["name"]), ("car_sales", ["id"]), ("cars", ["id"])]
+
+
+@query("unique_violations")
+def q_unique_violations(spark, sf):
+    src = source(spark, sf)
+    tables = src.tables()
+    reports = [Q.unique_violations(tables[t], keys, t) for t, keys in UNIQUE_CHECKS]
+    reports.append(Q.unique_violations(src.table("lineitem"), LINE_KEYS, "lineitem"))
+    return reduce(DataFrame.unionByName, reports)
+
+
+# (child table, foreign key, parent table, parent key), as declared in the DDL.
+FOREIGN_KEYS = [("cars", "brand_id", "brands", "id"), ("cars", "type_id", "types", "id"),
+                ("cars", "currency_id", "currencies", "id"),
+                ("customers", "address_city_id", "cities", "id"),
+                ("car_sales", "car_id", "cars", "id"), ("car_sales", "customer_id", "customers", "id"),
+                ("car_sales", "currency_id", "currencies", "id")]
+
+
+@query("fk_violations")
+def q_fk_violations(spark, sf):
+    """Foreign keys left dangling by an incremental load of the 1997 changes
+    (the rows the ELT fact silently drops)."""
+    src = source(spark, sf).tables()
+    dest = {t: extract_changed(src[t], WINDOW) for t in LOAD_ORDER}
+    return reduce(DataFrame.unionByName, [
+        Q.fk_violations(dest[c], fk, dest[p], pk, c, p) for c, fk, p, pk in FOREIGN_KEYS])
+
+
+@query("apply_defaults")
+def q_apply_defaults(spark, sf):
+    cars = source(spark, sf).cars
+    gappy = cars.select(
+        "id",
+        F.when(F.col("id") % 11 != 0, F.col("stock")).alias("stock"),
+        F.when(F.col("id") % 13 != 0, F.col("created_at")).alias("created_at"))
+    return Q.apply_defaults(gappy, {"stock": F.lit(0), "created_at": ts(MERGE_RUN_TS)})
+
+
+# -- whole flows (these write snapshot tables under the work folder) -------------
+
+@query("parquet_roundtrip")
+def q_parquet_roundtrip(spark, sf):
+    src = source(spark, sf)
+    out = run_etl(spark, src.tables(), src.rates_snapshot, WINDOW, scratch_path(spark, "etl"))
+    return spark.read.parquet(out["parquet"])
+
+
+@query("etl_run_table")
+def q_etl_run_table(spark, sf):
+    src = source(spark, sf)
+    root = scratch_path(spark, "etl")
+    run_etl(spark, src.tables(), src.rates_snapshot, PREV_WINDOW, root, mode="exact")
+    run_etl(spark, src.tables(), src.rates_snapshot, WINDOW, root)
+    return SnapshotTable(spark, f"{root}/car_sales_dataset").read()
+
+
+def _elt(spark, sf, full_load: bool):
+    src = source(spark, sf)
+    root = scratch_path(spark, "elt")
+    run_elt(spark, src.tables(), src.rates_snapshot, WINDOW, root, full_load=full_load)
+    return destination(spark, root)
+
+
+@query("elt_fact_full")
+def q_elt_fact_full(spark, sf):
+    return _elt(spark, sf, True)["fact_car_sales_dataset"]
+
+
+@query("elt_dim_full")
+def q_elt_dim_full(spark, sf):
+    return _elt(spark, sf, True)["dimension_car_detail"]
+
+
+@query("elt_fact_incremental")
+def q_elt_fact_incremental(spark, sf):
+    return _elt(spark, sf, False)["fact_car_sales_dataset"]
+
+
+@query("reconcile_etl_elt")
+def q_reconcile_etl_elt(spark, sf):
+    src = source(spark, sf)
+    etl = etl_dataset(src.tables(), src.rates_snapshot, WINDOW)
+    elt = star.fact_sales(src.tables(), src.rates_snapshot, WINDOW)
+    return reconcile(etl, elt)

@@ -448,3 +448,67 @@ register("dim_car_detail_upsert", """
 select * from dim_car_detail_1996 t
 where not exists (select 1 from dim_car_detail s where s.id = t.id)
 union all select * from dim_car_detail""", "dim_car_detail_1996", "dim_car_detail")
+
+
+# -- quality reports ---------------------------------------------------------------
+
+_DATASET_RULES = [(c, f"{c} is not null") for c in DATASET_COLS.replace(" ", "").split(",")]
+_DATASET_RULES = [(f"{c}_not_null", cond) for c, cond in _DATASET_RULES] + [
+    ("sale_price_positive", "sale_price > 0"),
+    ("sale_price_normalized_positive", "sale_price_normalized > 0")]
+register("constraint_violations", " union all ".join(
+    f"select sale_id, '{name}' as constraint_name from normalized where not coalesce({cond}, false)"
+    for name, cond in _DATASET_RULES), "normalized")
+
+_UNIQUE = [("brands", "name"), ("types", "name"), ("customers", "name"), ("cities", "name"),
+           ("car_sales", "id"), ("cars", "id")]
+register("unique_violations", " union all ".join(
+    [f"select '{t}' as table_name, '{k}' as key_columns, cast({k} as varchar) as key_value, "
+     f"count(*) as n_rows from {t} group by {k} having count(*) > 1" for t, k in _UNIQUE]
+    + ["select 'lineitem' as table_name, 'l_orderkey,l_linenumber' as key_columns, "
+       "concat_ws('|', cast(l_orderkey as varchar), cast(l_linenumber as varchar)) as key_value, "
+       "count(*) as n_rows from lineitem group by l_orderkey, l_linenumber having count(*) > 1"]),
+    "brands", "types", "customers", "cities", "car_sales", "cars")
+
+_LOADED = ["brands", "types", "currencies", "cities", "cars", "customers", "car_sales"]
+for _t in _LOADED:
+    cte(f"{_t}_w", f"select * from {_t} where coalesce(updated_at, created_at) {WINDOW_1997}", [_t])
+
+_FKS = [("cars", "brand_id", "brands"), ("cars", "type_id", "types"), ("cars", "currency_id", "currencies"),
+        ("customers", "address_city_id", "cities"), ("car_sales", "car_id", "cars"),
+        ("car_sales", "customer_id", "customers"), ("car_sales", "currency_id", "currencies")]
+register("fk_violations", " union all ".join(
+    f"select '{c}' as child_table, '{fk}' as fk_column, '{p}' as parent_table, "
+    f"cast({fk} as bigint) as fk_value, count(*) as n_rows from {c}_w x "
+    f"where {fk} is not null and not exists (select 1 from {p}_w y where y.id = x.{fk}) group by {fk}"
+    for c, fk, p in _FKS), *[f"{t}_w" for t in _LOADED])
+
+register("apply_defaults", """
+select id,
+       coalesce(case when id % 11 <> 0 then stock end, 0) as stock,
+       coalesce(case when id % 13 <> 0 then created_at end, timestamp '2026-01-01 00:00:00') as created_at
+from cars""", "cars")
+
+# -- whole flows ----------------------------------------------------------------------
+
+register("parquet_roundtrip", "select * from validated", "validated")
+SQL["etl_run_table"] = SQL["etl_upsert_wide"]
+register("elt_fact_full", "select * from fact_sales", "fact_sales")
+register("elt_dim_full", "select * from dim_car_detail", "dim_car_detail")
+
+_FACT_W = (_FACT.replace("from car_sales as sales", "from car_sales_w as sales")
+           .replace("inner join cars on", "inner join cars_w as cars on")
+           .replace("inner join brands on", "inner join brands_w as brands on")
+           .replace("inner join customers on", "inner join customers_w as customers on")
+           .replace("inner join cities on", "inner join cities_w as cities on")
+           .replace("inner join currencies on", "inner join currencies_w as currencies on"))
+register("elt_fact_incremental", _FACT_W.format(w=WINDOW_1997), *[f"{t}_w" for t in _LOADED], "rates")
+
+register("reconcile_etl_elt", """
+select coalesce(a.sale_id, b.sale_id) as sale_id,
+       case when a.sale_id is not null and b.sale_id is not null then 'both'
+            when a.sale_id is not null then 'etl_only' else 'elt_only' end as status,
+       a.sale_price_normalized as etl_normalized,
+       b.sale_price_normalized as elt_normalized,
+       b.sale_price_normalized - a.sale_price_normalized as normalized_diff
+from validated a full outer join fact_sales b on a.sale_id = b.sale_id""", "validated", "fact_sales")
