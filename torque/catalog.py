@@ -7,13 +7,29 @@ driver's test tables; ``oracles.SQL`` holds the matching DuckDB SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-
-from .fixtures import source
-from .functions.windows import year_window
+from pyspark.sql import functions as F
+
+from .fixtures import (LINE_KEYS, LINE_ORDER, MERGE_KEY, MERGE_RUN_TS, merge_incoming,
+                       merge_target, returned_order_keys, source, ts)
+from .functions.jsonfn import damage_rule, json_check
+from .functions.normalize import latest_rate_time, normalize_currency
+from .functions.windows import Window as _W
+from .functions.windows import changed_in, day_key, event_window, parquet_name, year_window
+from .operators import merge as M
 from .operators import quality as Q
-from .plans.etl import etl_dataset, etl_frames
+from .operators import star
+from .operators.rates import missing_rates
+from .plans.elt import LOAD_ORDER, destination, extract_changed, run_elt
+from .plans.etl import etl_dataset, etl_frames, run_etl
+from .plans.reconcile import reconcile
+from .session import scratch_path
+from .sources.snapshots import SnapshotTable
+from .sources.tables import lookup, sql_over_view
+from .streaming.upsert import stream_latest_per_key
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -55,15 +71,6 @@ def q_validate_rules(spark, sf):
 
 # -- sources, filters, scalar expressions -------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from .functions.jsonfn import damage_rule, json_check  # noqa: E402
-from .functions.normalize import latest_rate_time, normalize_currency  # noqa: E402
-from .functions.windows import changed_in, day_key, event_window, parquet_name  # noqa: E402
-from .operators import star  # noqa: E402
-from .operators.rates import missing_rates  # noqa: E402
-from .sources.tables import lookup, sql_over_view  # noqa: E402
-
 
 def _wide(spark, sf):
     src = source(spark, sf)
@@ -177,13 +184,6 @@ def q_fact_sales(spark, sf):
 
 # -- keyed merges -----------------------------------------------------------------
 
-from .fixtures import (LINE_KEYS, LINE_ORDER, MERGE_KEY, MERGE_RUN_TS,  # noqa: E402
-                       merge_incoming, merge_target, returned_order_keys, ts)
-from .functions.windows import Window as _W  # noqa: E402
-from .operators import merge as M  # noqa: E402
-
-from datetime import datetime  # noqa: E402
-
 
 def _merge_inputs(spark, sf):
     src = source(spark, sf)
@@ -322,14 +322,6 @@ def q_dim_car_detail_upsert(spark, sf):
 
 # -- quality reports ----------------------------------------------------------------
 
-from functools import reduce  # noqa: E402
-
-from .plans.elt import LOAD_ORDER, destination, extract_changed, run_elt  # noqa: E402
-from .plans.etl import run_etl  # noqa: E402
-from .plans.reconcile import reconcile  # noqa: E402
-from .session import scratch_path  # noqa: E402
-from .sources.snapshots import SnapshotTable  # noqa: E402
-
 
 @query("constraint_violations")
 def q_constraint_violations(spark, sf):
@@ -425,3 +417,12 @@ def q_reconcile_etl_elt(spark, sf):
     etl = etl_dataset(src.tables(), src.rates_snapshot, WINDOW)
     elt = star.fact_sales(src.tables(), src.rates_snapshot, WINDOW)
     return reconcile(etl, elt)
+
+
+# -- streaming ---------------------------------------------------------------------------
+
+
+@query("stream_upsert_latest")
+def q_stream_upsert_latest(spark, sf):
+    events = source(spark, sf).table("events")
+    return stream_latest_per_key(spark, events, scratch_path(spark, "stream"), ["user_id"], ["ts", "event_id"])

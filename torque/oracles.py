@@ -512,3 +512,8 @@ select coalesce(a.sale_id, b.sale_id) as sale_id,
        b.sale_price_normalized as elt_normalized,
        b.sale_price_normalized - a.sale_price_normalized as normalized_diff
 from validated a full outer join fact_sales b on a.sale_id = b.sale_id""", "validated", "fact_sales")
+
+register("stream_upsert_latest", """
+select * exclude (rn) from (
+  select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
+  from events) where rn = 1""")
