@@ -66,3 +66,15 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the work folder (never reused between runs)."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Target bytes per shuffle partition.  AQE coalesces small partitions, so the
+# configured count is an upper bound sized for the input: at 100 TB this gives
+# hundreds of thousands of partitions of ~128 MB, each fitting executor memory.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
+    """Shuffle partitions for an input of ``input_bytes`` on ``cores`` cores:
+    enough for ~128 MB partitions, at least two waves of tasks."""
+    return max(2 * cores, -(-input_bytes // TARGET_PARTITION_BYTES))

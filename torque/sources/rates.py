@@ -52,9 +52,13 @@ def read_rates_document(spark: SparkSession, path: str) -> RatesSnapshot:
 
 def rates_document(spark: SparkSession, base_code: str, unix_time: int,
                    rates: dict[str, float]) -> DataFrame:
-    return spark.createDataFrame(
-        [(base_code, int(unix_time), {k: float(v) for k, v in rates.items()})],
-        schemas.RATES_DOCUMENT)
+    """A rates document given as values, built as a JVM-side one-row relation
+    (no Python worker is involved in scanning it)."""
+    pairs = [x for code, rate in rates.items() for x in (F.lit(code), F.lit(float(rate)).cast("double"))]
+    return spark.range(1).select(
+        F.lit(base_code).cast("string").alias("base_code"),
+        F.lit(int(unix_time)).cast("bigint").alias("time_last_update_unix"),
+        F.create_map(*pairs).alias("conversion_rates"))
 
 
 def rates_from_mapping(spark: SparkSession, base_code: str, unix_time: int,
