@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas
 from ..sources.rates import RatesSnapshot
 
 MODES = ("floor", "exact", "decimal")
@@ -63,5 +62,6 @@ def normalize_currency(sales: DataFrame, rates: RatesSnapshot, target_code: str
            .withColumn("sale_price_normalized", convert(F.col(price_col), F.col("rate"), mode))
            .withColumn("sale_price_normalized_currency", F.lit(target_code))
            .withColumn("exchange_rate_date", latest_rate_time(rates.table)))
-    cols = [c for c in sales.columns] + [c for c in schemas.NORMALIZED_COLUMNS if c not in sales.columns]
-    return out.select(*cols)
+    added = ["code", "rate", "updated_at", "sale_price_normalized",
+             "sale_price_normalized_currency", "exchange_rate_date"]
+    return out.select(*[c for c in sales.columns if c not in added], *added)
