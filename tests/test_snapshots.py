@@ -39,3 +39,17 @@ def test_failure_before_publish_keeps_old_version(spark, tmp_path):
 def test_parquet_sink_name(spark, tmp_path):
     p = parquet_sink(spark.range(3), str(tmp_path), "car_sales_dataset__19970101-19971231")
     assert p.endswith(".parquet") and spark.read.parquet(p).count() == 3
+
+
+def test_small_batch_rewrites_only_its_buckets(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"), ["k"], buckets=8)
+    t.write(spark.range(1000).selectExpr("id as k", "cast(id as double) as a"))
+    assert set(t.manifest(0).values()) == {0} and len(t.manifest(0)) == 8
+    t.merge(spark.createDataFrame([(5, -1.0), (5000, 1.0)], "k bigint, a double"))
+    m = t.manifest(1)
+    assert 1 <= sum(v == 1 for v in m.values()) <= 2          # only the touched buckets
+    assert sum(v == 0 for v in m.values()) >= 6               # the rest are shared with v0
+    got = {r.k: r.a for r in t.read().collect()}
+    assert len(got) == 1001 and got[5] == -1.0 and got[5000] == 1.0
+    t.delete(spark.createDataFrame([(5,)], "k bigint"))
+    assert t.read().count() == 1000 and t.read(1).count() == 1001

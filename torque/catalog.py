@@ -115,8 +115,9 @@ def q_rates_asof_max(spark, sf):
 @query("base_currency_cross")
 def q_base_currency_cross(spark, sf):
     src, wide = _wide(spark, sf)
-    base = star.base_currency_ordered(src.rates)
-    return wide.crossJoin(F.broadcast(base)).select("sale_id", "currency_name", "base_code")
+    base = star.base_code_scalar(star.base_currency_ordered(src.rates))
+    return (wide.withColumn("base_code", base).filter(F.col("base_code").isNotNull())
+            .select("sale_id", "currency_name", "base_code"))
 
 
 @query("audit_missing_rate")
@@ -386,7 +387,7 @@ def q_etl_run_table(spark, sf):
     root = scratch_path(spark, "etl")
     run_etl(spark, src.tables(), src.rates_snapshot, PREV_WINDOW, root, mode="exact")
     run_etl(spark, src.tables(), src.rates_snapshot, WINDOW, root)
-    return SnapshotTable(spark, f"{root}/car_sales_dataset").read()
+    return SnapshotTable(spark, f"{root}/car_sales_dataset", ["sale_id"]).read()
 
 
 def _elt(spark, sf, full_load: bool):

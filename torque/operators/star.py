@@ -144,6 +144,12 @@ def base_currency_row(rates: RatesSnapshot) -> DataFrame:
         F.col("code").alias("base_code"))
 
 
+def base_code_scalar(base: DataFrame) -> Column:
+    """A relation of at most one ``base_code`` row as a scalar subquery
+    (NULL when it is empty).  Evaluated once, never joined."""
+    return base.select("base_code").scalar()
+
+
 def base_currency_ordered(rates: DataFrame) -> DataFrame:
     """L1/F9 parity form: the first code, by code, whose rate is 1.  Ordered so
     the answer is deterministic; with several rate-1 codes it may not be the
@@ -157,8 +163,9 @@ def fact_sales(t: Tables, rates: RatesSnapshot, window: Window,
     car, brand, currency and rate, priced exactly in the base currency.
     Customers and cities only prove existence, so they are semi-joins (equal to
     the inner joins on unique keys).  The base code is a one-row relation
-    joined on true: an empty base relation gives an empty fact, as in the
-    source query."""
+    joined on true in the source query; here it is a scalar subquery folded
+    into the projection (no join at all), and an empty base relation still
+    gives an empty fact."""
     s = t["car_sales"].filter(changed_in(window))
     s = _cols(s, "s_", ["id", "car_id", "customer_id", "price", "currency_id", "transaction_date"])
     cars = _cols(t["cars"], "c_", ["id", "name", "brand_id"])
@@ -174,7 +181,8 @@ def fact_sales(t: Tables, rates: RatesSnapshot, window: Window,
          .join(brands, F.col("c_brand_id") == F.col("b_id"), "inner")
          .join(cur, F.col("s_currency_id") == F.col("k_id"), "inner")
          .join(rt, F.col("k_name") == F.col("r_code"), "inner")
-         .crossJoin(F.broadcast(base)))
+         .withColumn("base_code", base_code_scalar(base))
+         .filter(F.col("base_code").isNotNull()))
     return j.select(
         F.col("s_id").alias("sale_id"),
         F.col("b_id").alias("brand_id"),

@@ -24,6 +24,16 @@ from ..sources.snapshots import SnapshotTable
 LOAD_ORDER = ["brands", "types", "currencies", "cities", "cars", "customers", "car_sales"]
 DERIVED = ["dimension_car_detail", "fact_car_sales_dataset"]
 
+# Hash buckets per table: the unit a load rewrites.  Small reference tables
+# are one bucket; the large ones are bucketed so a day's changes rewrite only
+# the buckets their keys fall in (size for ~1 GB per bucket at scale).
+SMALL_TABLES = {"brands", "types", "currencies", "cities", "currency_rates"}
+
+
+def table(spark: SparkSession, dest_root: str, name: str, buckets: int) -> SnapshotTable:
+    return SnapshotTable(spark, f"{dest_root}/{name}", schemas.PRIMARY_KEYS[name],
+                         1 if name in SMALL_TABLES else buckets)
+
 
 def extract_changed(df: DataFrame, window: Window) -> DataFrame:
     """P2 + F2: every column of a table, rows whose last change
@@ -41,26 +51,22 @@ def destination(spark: SparkSession, dest_root: str) -> dict[str, DataFrame]:
 
 
 def run_elt(spark: SparkSession, source: Tables, rates: RatesSnapshot, window: Window,
-            dest_root: str, full_load: bool = False) -> dict[str, int | None]:
+            dest_root: str, full_load: bool = False, buckets: int = 4) -> dict[str, int | None]:
     """Run the flow.  ``full_load`` copies whole tables instead of the window's
     changes (a first load: the incremental flow only joins dimension rows it
     has loaded, so without it facts of unchanged dimensions are missing)."""
     versions: dict[str, int | None] = {}
     for name in LOAD_ORDER:
         rows = source[name] if full_load else extract_changed(source[name], window)
-        table = SnapshotTable(spark, f"{dest_root}/{name}")
-        versions[name] = table.merge(rows.select(*SOURCE_COLUMNS[name]), schemas.PRIMARY_KEYS[name])
-    versions["currency_rates"] = SnapshotTable(spark, f"{dest_root}/currency_rates").merge(
-        rates.table, schemas.PRIMARY_KEYS["currency_rates"])
+        versions[name] = table(spark, dest_root, name, buckets).merge(rows.select(*SOURCE_COLUMNS[name]))
+    versions["currency_rates"] = table(spark, dest_root, "currency_rates", buckets).merge(rates.table)
 
     dest = destination(spark, dest_root)
     if not all(n in dest for n in LOAD_ORDER):
         return versions  # nothing loaded yet for some table: no dimension or fact
     dest_rates = RatesSnapshot(dest["currency_rates"], rates.base_code)
     dim = dim_car_detail_semi(dest, window)
-    versions["dimension_car_detail"] = SnapshotTable(spark, f"{dest_root}/dimension_car_detail").merge(
-        dim, schemas.PRIMARY_KEYS["dimension_car_detail"])
+    versions["dimension_car_detail"] = table(spark, dest_root, "dimension_car_detail", buckets).merge(dim)
     fact = fact_sales(dest, dest_rates, window)
-    versions["fact_car_sales_dataset"] = SnapshotTable(spark, f"{dest_root}/fact_car_sales_dataset").merge(
-        fact, schemas.PRIMARY_KEYS["fact_car_sales_dataset"])
+    versions["fact_car_sales_dataset"] = table(spark, dest_root, "fact_car_sales_dataset", buckets).merge(fact)
     return versions

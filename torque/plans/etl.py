@@ -44,7 +44,8 @@ def etl_dataset(t: Tables, rates: RatesSnapshot, window: Window, **kw) -> DataFr
 
 
 def run_etl(spark: SparkSession, t: Tables, rates: RatesSnapshot, window: Window,
-            dest_root: str, target_code: str = "USD", mode: str = "floor") -> dict:
+            dest_root: str, target_code: str = "USD", mode: str = "floor",
+            buckets: int = 4) -> dict:
     """Run the flow with writes: upsert into the ``car_sales_dataset`` snapshot
     table and write the 15-column Parquet file named by the window.
 
@@ -58,7 +59,7 @@ def run_etl(spark: SparkSession, t: Tables, rates: RatesSnapshot, window: Window
     valid.select(*schemas.NORMALIZED_COLUMNS).write.mode("overwrite").parquet(pq_path)
     counts = obs.get
     written = spark.read.parquet(pq_path)
-    table = snapshots.SnapshotTable(spark, f"{dest_root}/car_sales_dataset")
+    table = snapshots.SnapshotTable(spark, f"{dest_root}/car_sales_dataset", ["sale_id"], buckets)
     incoming = Q.check(to_dataset(written), Q.dataset_constraints(), ["sale_id"], mode="fail")
-    version = table.merge(incoming, ["sale_id"])
+    version = table.merge(incoming)
     return {"parquet": pq_path, "table_version": version, "rule_counts": counts}

@@ -1,80 +1,155 @@
 """Versioned Parquet tables with all-or-nothing publish.
 
-A table is a folder::
-
-    <root>/data/v=<n>/part-*.parquet     one full version per write
-    <root>/_commits/v=<n>/part-*.json    commit marker, written after the data
-
-Readers take the highest committed version.  A job that dies before its
-commit marker leaves the previous version current; re-running version ``n``
-overwrites its own uncommitted data from version ``n-1`` again, which keeps
-non-idempotent policies (CUMULATIVE, CONCAT) correct under retries.  Two
-writers racing for the same version cannot both commit: the marker is written
-with ``errorifexists``.
-
-Everything goes through the DataFrame reader and writer, so the same code runs
-on any Hadoop-compatible store the cluster names (``spark.checkpoint.dir``).
+A table is hash-bucketed by its key into ``buckets`` buckets.  Each version
+rewrites only the buckets its batch touches; a manifest says which version
+holds each bucket::
+
+    <root>/data/v=<n>/__b=<bucket>/part-*.parquet   buckets rewritten by version n
+    <root>/_manifests/v=<n>/part-*.json             (mv, bucket, version) for every bucket
+
+* Readers take the highest committed manifest and read the listed bucket
+  folders: a version is visible only once its manifest exists.
+* A job that dies before writing its manifest leaves the previous version
+  current; re-running version ``n`` overwrites its own uncommitted data from
+  version ``n-1`` again, which keeps non-idempotent policies (CUMULATIVE,
+  CONCAT) correct under retries and lost executors.
+* Two writers racing for one version cannot both commit: the manifest is
+  written with ``errorifexists``.
+* A small batch against a huge table reads and rewrites only the buckets of
+  its keys; ``buckets=1`` rewrites the table each time (small tables).
+
+The manifest holds one row per bucket, so what the driver reads is bounded
+by the bucket count, never by the data.  Everything goes through the
+DataFrame reader and writer, so the same code runs on any Hadoop-compatible
+store the cluster names (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge as M
 
+BUCKET = "__b"
+MANIFEST_SCHEMA = "mv bigint, bucket int, version bigint"
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    if buckets <= 1 or not keys:
+        return F.lit(0)
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (), buckets: int = 1):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keys = list(keys)
+        self.buckets = buckets if self.keys else 1
 
+    # -- layout ---------------------------------------------------------------
     def _data(self, version: int) -> str:
         return f"{self.root}/data/v={version}"
 
-    def _commit(self, version: int) -> str:
-        return f"{self.root}/_commits/v={version}"
+    def _bucket_path(self, bucket: int, version: int) -> str:
+        return f"{self._data(version)}/{BUCKET}={bucket}"
+
+    def _manifest(self, version: int) -> str:
+        return f"{self.root}/_manifests/v={version}"
 
+    # -- reading --------------------------------------------------------------
     def current_version(self) -> int | None:
         try:
-            commits = self.spark.read.schema("version bigint").json(f"{self.root}/_commits")
+            m = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/_manifests")
         except AnalysisException:
             return None
-        row = commits.agg(F.max("version").alias("v")).first()
+        row = m.agg(F.max("mv").alias("v")).first()
         return None if row is None or row["v"] is None else int(row["v"])
 
     def exists(self) -> bool:
         return self.current_version() is not None
 
-    def read(self, version: int | None = None) -> DataFrame | None:
+    def manifest(self, version: int) -> dict[int, int]:
+        """bucket -> version holding it (one row per bucket: bounded)."""
+        rows = self.spark.read.schema(MANIFEST_SCHEMA).json(self._manifest(version)).collect()
+        return {int(r["bucket"]): int(r["version"]) for r in rows if r["bucket"] >= 0}
+
+    def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
         v = self.current_version() if version is None else version
         if v is None:
             return None
-        return self.spark.read.parquet(self._data(v))
+        man = self.manifest(v)
+        wanted = man if buckets is None else {b: man[b] for b in buckets if b in man}
+        if not wanted:
+            if not man:
+                return None
+            b0 = next(iter(man))
+            return self.spark.read.parquet(self._bucket_path(b0, man[b0])).limit(0)
+        return self.spark.read.parquet(*[self._bucket_path(b, ver) for b, ver in sorted(wanted.items())])
+
+    # -- writing --------------------------------------------------------------
+    def _publish(self, df: DataFrame, version: int, base_manifest: dict[int, int],
+                 rewritten: set[int] | None) -> int:
+        """Write ``df`` as version ``version`` of the buckets it holds (and, when
+        ``rewritten`` is given, drop those of them that came out empty), then
+        commit the manifest."""
+        obs = Observation(f"buckets_v{version}")
+        out = (df.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+               .observe(obs, F.collect_set(BUCKET).alias("written")))
+        # Rebalance by bucket: AQE splits a hot bucket over several tasks and
+        # packs small buckets, so the write neither skews nor sprays files.
+        (out.hint("rebalance", BUCKET).write.mode("overwrite")
+         .partitionBy(BUCKET).parquet(self._data(version)))
+        written = set(int(b) for b in (obs.get.get("written") or []))
+        manifest = dict(base_manifest)
+        for b in (rewritten or set()) | written:
+            manifest.pop(b, None)
+        manifest.update({b: version for b in written})
+        rows = [(version, b, v) for b, v in sorted(manifest.items())] or [(version, -1, version)]
+        (self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1)
+         .write.mode("errorifexists").json(self._manifest(version)))
+        return version
 
     def write(self, df: DataFrame, version: int | None = None) -> int:
-        """Write ``df`` as the next version (or the given one) and publish it."""
+        """Replace the table's contents with ``df`` as a new version."""
         if version is None:
             cur = self.current_version()
             version = 0 if cur is None else cur + 1
-        df.write.mode("overwrite").parquet(self._data(version))
-        (self.spark.createDataFrame([(version,)], "version bigint").coalesce(1)
-         .write.mode("errorifexists").json(self._commit(version)))
-        return version
-
-    def merge(self, incoming: DataFrame, keys: Sequence[str], **merge_kw) -> int | None:
-        """Upsert a batch and publish the result as a new version.  An empty
-        batch publishes nothing (S9); a missing table is created by the first
-        load (S10)."""
-        base_version = self.current_version()
-        base = None if base_version is None else self.read(base_version)
-        if base is not None and incoming.isEmpty():
+        return self._publish(df, version, {}, None)
+
+    def apply(self, incoming: DataFrame, fn: Callable[[DataFrame | None, DataFrame], DataFrame],
+              version: int | None = None, base_version: int | None = None) -> int | None:
+        """Combine ``incoming`` with the rows of the buckets it touches using
+        ``fn(base, incoming)`` and publish the result as a new version.  An
+        empty batch publishes nothing."""
+        if base_version is None:
+            base_version = self.current_version()
+        touched = sorted(int(r[0]) for r in incoming.select(bucket_of(self.keys, self.buckets).alias("b"))
+                         .distinct().collect())  # at most `buckets` values
+        if not touched:
             return base_version
-        new = M.merge(base, incoming, keys, **merge_kw)
-        return self.write(new, 0 if base_version is None else base_version + 1)
+        base_manifest = {} if base_version is None else self.manifest(base_version)
+        base = None if base_version is None else self.read(base_version, touched)
+        if version is None:
+            version = 0 if base_version is None else base_version + 1
+        return self._publish(fn(base, incoming), version, base_manifest, set(touched))
+
+    def merge(self, incoming: DataFrame, keys: Sequence[str] | None = None, **merge_kw) -> int | None:
+        """Upsert a batch (S9/M2); a missing table is created by the first load
+        (S10); an empty batch is a no-op."""
+        keys = list(keys) if keys is not None else self.keys
+        return self.apply(incoming, lambda base, inc: M.merge(base, inc, keys, **merge_kw))
+
+    def delete(self, delete_keys: DataFrame) -> int | None:
+        """Delete rows by key (M13), rewriting only the buckets of the keys."""
+        if not self.exists():
+            return None
+        return self.apply(delete_keys.select(*self.keys),
+                          lambda base, keys: M.delete_by_key(base, keys, self.keys))
 
 
 def parquet_sink(df: DataFrame, folder: str, name: str) -> str:

@@ -43,21 +43,24 @@ def merge_latest(target: DataFrame | None, incoming: DataFrame, keys: Sequence[s
 
 def upsert_batch(table: SnapshotTable, keys: Sequence[str], order: Sequence[str | Column]):
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if table.current_version() is not None and table.current_version() >= batch_id:
+        cur = table.current_version()
+        if cur is not None and cur >= batch_id:
             return  # already published: a replay after a crash between commit and checkpoint
-        base = table.read(batch_id - 1) if batch_id > 0 else None
-        table.write(merge_latest(base, batch, keys, order), batch_id)
+        # Version n is always built on version n-1 as stored, so a replay
+        # recomputes the same result; only the batch's buckets are rewritten.
+        table.apply(batch, lambda base, inc: merge_latest(base, inc, keys, order),
+                    version=batch_id, base_version=cur)
     return handle
 
 
 def start_upsert_stream(spark: SparkSession, landing: str, schema: StructType, table_root: str,
                         checkpoint: str, keys: Sequence[str], order: Sequence[str],
-                        files_per_batch: int = 1, available_now: bool = True):
+                        files_per_batch: int = 1, available_now: bool = True, buckets: int = 4):
     """Start the job; returns the ``StreamingQuery``."""
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", files_per_batch)
               .parquet(landing))
-    table = SnapshotTable(spark, table_root)
+    table = SnapshotTable(spark, table_root, keys, buckets)
     writer = (stream.writeStream.foreachBatch(upsert_batch(table, keys, order))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
