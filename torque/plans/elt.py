@@ -66,7 +66,7 @@ def run_elt(spark: SparkSession, source: Tables, rates: RatesSnapshot, window: W
         return versions  # nothing loaded yet for some table: no dimension or fact
     dest_rates = RatesSnapshot(dest["currency_rates"], rates.base_code)
     dim = dim_car_detail_semi(dest, window)
-    versions["dimension_car_detail"] = table(spark, dest_root, "dimension_car_detail", buckets).merge(dim)
+    versions["dimension_car_detail"] = table(spark, dest_root, "dimension_car_detail", buckets).merge(dim, stage=True)
     fact = fact_sales(dest, dest_rates, window)
-    versions["fact_car_sales_dataset"] = table(spark, dest_root, "fact_car_sales_dataset", buckets).merge(fact)
+    versions["fact_car_sales_dataset"] = table(spark, dest_root, "fact_car_sales_dataset", buckets).merge(fact, stage=True)
     return versions

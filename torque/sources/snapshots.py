@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge as M
+from ..session import work_dir
 
 BUCKET = "__b"
 MANIFEST_SCHEMA = "mv bigint, bucket int, version bigint"
@@ -122,10 +123,19 @@ class SnapshotTable:
         return self._publish(df, version, {}, None)
 
     def apply(self, incoming: DataFrame, fn: Callable[[DataFrame | None, DataFrame], DataFrame],
-              version: int | None = None, base_version: int | None = None) -> int | None:
+              version: int | None = None, base_version: int | None = None,
+              stage: bool = False) -> int | None:
         """Combine ``incoming`` with the rows of the buckets it touches using
         ``fn(base, incoming)`` and publish the result as a new version.  An
-        empty batch publishes nothing."""
+        empty batch publishes nothing.
+
+        The batch is read several times (touched buckets, key joins, rows);
+        ``stage=True`` writes it once to the checkpoint folder first, for
+        batches that are expensive to recompute (joins), which also cuts their
+        lineage so a lost executor does not recompute the upstream plan."""
+        if stage:
+            work_dir(self.spark)
+            incoming = incoming.checkpoint(eager=True)
         if base_version is None:
             base_version = self.current_version()
         touched = sorted(int(r[0]) for r in incoming.select(bucket_of(self.keys, self.buckets).alias("b"))
@@ -138,11 +148,12 @@ class SnapshotTable:
             version = 0 if base_version is None else base_version + 1
         return self._publish(fn(base, incoming), version, base_manifest, set(touched))
 
-    def merge(self, incoming: DataFrame, keys: Sequence[str] | None = None, **merge_kw) -> int | None:
+    def merge(self, incoming: DataFrame, keys: Sequence[str] | None = None, stage: bool = False,
+              **merge_kw) -> int | None:
         """Upsert a batch (S9/M2); a missing table is created by the first load
         (S10); an empty batch is a no-op."""
         keys = list(keys) if keys is not None else self.keys
-        return self.apply(incoming, lambda base, inc: M.merge(base, inc, keys, **merge_kw))
+        return self.apply(incoming, lambda base, inc: M.merge(base, inc, keys, **merge_kw), stage=stage)
 
     def delete(self, delete_keys: DataFrame) -> int | None:
         """Delete rows by key (M13), rewriting only the buckets of the keys."""
