@@ -221,9 +221,10 @@ def source(spark: SparkSession, sf_dir: str) -> Source:
     """The source over ``sf_dir`` for this session (views are built once per
     session and reused by every query)."""
     key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _SOURCES:
-        _SOURCES[key] = Source(spark, sf_dir.rstrip("/"))
-    return _SOURCES[key]
+    src = _SOURCES.get(key)
+    if src is None or src.spark is not spark or src.spark.sparkContext._jsc is None:
+        src = _SOURCES[key] = Source(spark, sf_dir.rstrip("/"))
+    return src
 
 
 # Column order of each source table, as in its DDL.

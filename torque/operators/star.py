@@ -117,13 +117,15 @@ def dim_car_detail_semi(t: Tables, window: Window) -> DataFrame:
     """G4, rewritten for scale: find the changed brand and type ids first (small
     sets), flag the cars they touch in one pass over ``cars`` (the id sets are
     joined by key, so the cars are not shuffled when the sets are small), keep
-    only touched cars, then join the dimension names.  Equal to
-    ``dim_car_detail`` when brand and type ids are unique."""
+    only touched cars, then join the dimension names: only the touched cars
+    reach the (possibly shuffled) dimension joins.  Equal to
+    ``dim_car_detail`` when brand and type ids are unique (primary keys,
+    checked by ``quality.unique_violations``)."""
     cars, brands, types = _dim_inputs(t)
     cb = (brands.filter(changed_in(window, "b_updated_at", "b_created_at"))
-          .select(F.col("b_id").alias("cb_id")).distinct())
+          .select(F.col("b_id").alias("cb_id")))
     ct = (types.filter(changed_in(window, "t_updated_at", "t_created_at"))
-          .select(F.col("t_id").alias("ct_id")).distinct())
+          .select(F.col("t_id").alias("ct_id")))
     touched = (cars.join(cb, F.col("c_brand_id") == F.col("cb_id"), "left")
                .join(ct, F.col("c_type_id") == F.col("ct_id"), "left")
                .filter(changed_in(window, "c_updated_at", "c_created_at")

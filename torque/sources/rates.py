@@ -26,14 +26,20 @@ class RatesSnapshot:
 def explode_document(doc: DataFrame) -> DataFrame:
     """Document rows to rate rows.  ``rate`` is always DOUBLE (documents mix
     integral and decimal numbers); the publish time becomes a UTC wall-clock
-    TIMESTAMP_NTZ."""
+    TIMESTAMP_NTZ whatever the session time zone."""
     return (doc.select(
                 F.explode("conversion_rates").alias("code", "rate"),
                 F.col("time_last_update_unix").alias("unix"))
             .select(
                 F.col("code"),
                 F.col("rate").cast("double").alias("rate"),
-                F.timestamp_seconds("unix").cast("timestamp_ntz").alias("updated_at")))
+                unix_to_utc_ntz(F.col("unix")).alias("updated_at")))
+
+
+def unix_to_utc_ntz(seconds) -> "F.Column":
+    """Unix seconds as a UTC wall-clock TIMESTAMP_NTZ, independent of the
+    session time zone."""
+    return F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def _snapshot(doc: DataFrame) -> RatesSnapshot:
