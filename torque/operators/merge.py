@@ -72,11 +72,21 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     Remaining ties are broken by the row's own columns, deterministically.
     """
     keys = list(keys)
-    cols = [c for c in df.columns]
-    order_fields = [(c if isinstance(c, Column) else F.col(c)).alias(f"__o{i}") for i, c in enumerate(order)]
-    payload = [F.col(c).alias(f"__c{i}") for i, c in enumerate(cols)]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*order_fields, *payload)).alias("__best"))
-    return best.select(*[F.col(f"__best.__c{i}").alias(c) for i, c in enumerate(cols)])
+    cols = list(df.columns)
+    # Order columns lead the struct; every other column follows once, as the
+    # tie-breaker and the payload.  Named order columns are not repeated.
+    fields, source_of = [], {}
+    for i, c in enumerate(order):
+        name = f"__o{i}"
+        fields.append((F.col(c) if isinstance(c, str) else c).alias(name))
+        if isinstance(c, str) and c in cols and c not in source_of:
+            source_of[c] = name
+    for i, c in enumerate(cols):
+        if c not in source_of and c not in keys:
+            source_of[c] = f"__c{i}"
+            fields.append(F.col(c).alias(source_of[c]))
+    best = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("__best"))
+    return best.select(*[(F.col(c) if c in keys else F.col(f"__best.{source_of[c]}")).alias(c) for c in cols])
 
 
 def _key_condition(left: str, right: str, keys: Sequence[str]) -> Column:

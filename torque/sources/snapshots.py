@@ -26,6 +26,7 @@ store the cluster names (``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -36,6 +37,7 @@ from ..operators import merge as M
 from ..session import work_dir
 
 BUCKET = "__b"
+_MANIFEST_FILE = re.compile(r"/_manifests/v=(\d+)/part-[^/]*$")
 MANIFEST_SCHEMA = "mv bigint, bucket int, version bigint"
 
 
@@ -64,12 +66,14 @@ class SnapshotTable:
 
     # -- reading --------------------------------------------------------------
     def current_version(self) -> int | None:
+        """Highest committed version, from the listing of manifest files (no
+        job; one file per version)."""
         try:
-            m = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/_manifests")
+            files = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/_manifests").inputFiles()
         except AnalysisException:
             return None
-        row = m.agg(F.max("mv").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        versions = [int(m.group(1)) for f in files if (m := _MANIFEST_FILE.search(f))]
+        return max(versions) if versions else None
 
     def exists(self) -> bool:
         return self.current_version() is not None
@@ -79,11 +83,12 @@ class SnapshotTable:
         rows = self.spark.read.schema(MANIFEST_SCHEMA).json(self._manifest(version)).collect()
         return {int(r["bucket"]): int(r["version"]) for r in rows if r["bucket"] >= 0}
 
-    def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
+    def read(self, version: int | None = None, buckets: Sequence[int] | None = None,
+             manifest: dict[int, int] | None = None) -> DataFrame | None:
         v = self.current_version() if version is None else version
         if v is None:
             return None
-        man = self.manifest(v)
+        man = self.manifest(v) if manifest is None else manifest
         wanted = man if buckets is None else {b: man[b] for b in buckets if b in man}
         if not wanted:
             if not man:
@@ -143,7 +148,7 @@ class SnapshotTable:
         if not touched:
             return base_version
         base_manifest = {} if base_version is None else self.manifest(base_version)
-        base = None if base_version is None else self.read(base_version, touched)
+        base = None if base_version is None else self.read(base_version, touched, base_manifest)
         if version is None:
             version = 0 if base_version is None else base_version + 1
         return self._publish(fn(base, incoming), version, base_manifest, set(touched))
