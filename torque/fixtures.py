@@ -134,7 +134,7 @@ class Source:
                     F.substring("p_brand", 7, 10).cast("bigint").alias("brand_id"),
                     F.col("type_id"),
                     F.col("p_retailprice").cast("double").alias("price"),
-                    F.lit(1).cast("bigint").alias("currency_id"),
+                    (F.col("p_partkey") % 4 + 1).cast("bigint").alias("currency_id"),
                     F.col("p_size").cast("int").alias("stock"),
                     F.to_date(created).alias("release_date"),
                     created.alias("created_at"),

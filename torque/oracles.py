@@ -56,7 +56,7 @@ select p.p_partkey as id, p.p_name as name,
        cast(substr(p.p_brand, 7) as bigint) as brand_id,
        t.id as type_id,
        cast(p.p_retailprice as double) as price,
-       cast(1 as bigint) as currency_id,
+       cast(p.p_partkey % 4 + 1 as bigint) as currency_id,
        cast(p.p_size as integer) as stock,
        cast(timestamp '1995-01-01' + to_days(cast(p.p_size * 15 as integer)) as date) as release_date,
        timestamp '1995-01-01' + to_days(cast(p.p_size * 15 as integer)) as created_at,
