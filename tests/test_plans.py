@@ -64,3 +64,26 @@ def test_bounded_dimensions_are_broadcast(spark):
 def test_no_python_in_registered_plans(spark, key):
     p = plan(E.queries()[key](spark, SF_SMALL))
     assert "EvalPython" not in p and "PythonUDF" not in p and "ExistingRDD" not in p
+
+
+def test_small_batch_broadcast_is_proven_not_estimated(spark):
+    """With size estimates unavailable (auto broadcast off, as for a huge
+    target), the bounded count still broadcasts a small batch's keys; over the
+    bound the merge falls back to a shuffle join."""
+    target = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    batch = target.filter(F.col("l_orderkey") < 10)
+    keys = ["l_orderkey", "l_linenumber"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = plan(M.merge(target, batch, keys))
+        big = plan(M.merge(target, batch, keys, broadcast_key_rows=1))
+        dele = plan(M.delete_by_key(target, batch, keys))
+        conflicts = M.strict_conflicts(target, batch, keys)._jdf.queryExecution().executedPlan().treeString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
+    assert "SortMergeJoin" in big
+    assert "BroadcastHashJoin" in dele and "SortMergeJoin" not in dele
+    assert "LeftSemi, BuildRight" in conflicts   # the target streams past the broadcast batch keys

@@ -34,6 +34,10 @@ POLICIES = (REPLACE, CUMULATIVE, PROGRESS, SKIP_IF_NULL, CONCAT)
 CONCAT_SEPARATOR = ", "
 SYNCED_AT = "synced_at"
 
+# Largest batch key set we broadcast (rows).  A few key columns per row keep
+# this well under 100 MB of hashed relation; beyond it the joins shuffle.
+MAX_BROADCAST_KEY_ROWS = 2_000_000
+
 _IN = "__incoming_present"
 
 
@@ -89,6 +93,18 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return best.select(*[(F.col(c) if c in keys else F.col(f"__best.{source_of[c]}")).alias(c) for c in cols])
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEY_ROWS) -> DataFrame:
+    """Broadcast ``df`` only behind a proven size bound: count at most
+    ``max_rows + 1`` of its rows; at or under the bound it is hinted for
+    broadcast, above it the planner is left to shuffle (and AQE to re-plan).
+    This keeps a huge target unshuffled for a small batch even when static
+    size estimates are missing or pessimistic."""
+    if max_rows <= 0:
+        return df
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def _key_condition(left: str, right: str, keys: Sequence[str]) -> Column:
     cond = None
     for k in keys:
@@ -105,7 +121,7 @@ def _align(df: DataFrame, columns: Sequence[str], types: Mapping[str, str]) -> D
 def merge(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
           policies: Mapping[str, str] | None = None, default_policy: str = REPLACE,
           synced_at: Column | None = None, dedupe_order: Sequence[str | Column] | None = None,
-          strategy: str = "split") -> DataFrame:
+          strategy: str = "split", broadcast_key_rows: int = MAX_BROADCAST_KEY_ROWS) -> DataFrame:
     """Upsert ``incoming`` into ``target`` by ``keys``.
 
     * Only columns present in ``incoming`` change on a conflict; the others
@@ -121,6 +137,8 @@ def merge(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
       without it the batch must already be unique by key.
     * ``strategy``: ``split`` (anti + semi joins, target not shuffled for a
       small batch) or ``outer`` (one full outer join, shuffles the target).
+    * ``broadcast_key_rows``: the batch keys are broadcast when there are at
+      most this many (checked by a bounded count); 0 leaves it to the planner.
     """
     policies = dict(policies or {})
     keys = list(keys)
@@ -145,7 +163,7 @@ def merge(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
     if strategy == "outer":
         return _merge_outer(target, incoming, keys, policies, default_policy, out_cols, types)
 
-    inc_keys = incoming.select(*keys)
+    inc_keys = bounded_broadcast(incoming.select(*keys), broadcast_key_rows)
     untouched = target.join(inc_keys, keys, "left_anti")
     if not needs_old:
         touched = _align(incoming, out_cols, types)
@@ -196,7 +214,8 @@ def _merge_outer(target, incoming, keys, policies, default_policy, out_cols, typ
 
 def update_only(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                 policies: Mapping[str, str] | None = None, default_policy: str = REPLACE,
-                synced_at: Column | None = None) -> DataFrame:
+                synced_at: Column | None = None,
+                broadcast_key_rows: int = MAX_BROADCAST_KEY_ROWS) -> DataFrame:
     """Apply a batch of updates; rows whose key is not in the target are
     ignored (never inserted).  Every key column is matched.  Only supplied
     columns change; CONCAT acts as REPLACE; ``synced_at`` stamps updated rows
@@ -212,7 +231,7 @@ def update_only(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
         t_cols.append(SYNCED_AT)
         target = target.withColumn(SYNCED_AT, F.lit(None).cast("timestamp_ntz"))
     inc_cols = set(incoming.columns)
-    inc_keys = incoming.select(*keys)
+    inc_keys = bounded_broadcast(incoming.select(*keys), broadcast_key_rows)
     untouched = target.join(inc_keys, keys, "left_anti")
     hit = target.join(inc_keys, keys, "left_semi")
     s = incoming.select(*[F.col(c).alias(f"s_{c}") for c in incoming.columns])
@@ -229,32 +248,40 @@ def update_only(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     return untouched.select(*t_cols).unionByName(j.select(*exprs))
 
 
-def delete_by_key(target: DataFrame, delete_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+def delete_by_key(target: DataFrame, delete_keys: DataFrame, keys: Sequence[str],
+                  broadcast_key_rows: int = MAX_BROADCAST_KEY_ROWS) -> DataFrame:
     """Drop the rows whose key (one or many columns) is listed.  A null key
-    part matches nothing, so such rows stay."""
-    return target.join(delete_keys.select(*keys), list(keys), "left_anti")
+    part matches nothing, so such rows stay.  A bounded key list is
+    broadcast, so the target is filtered where it lies."""
+    return target.join(bounded_broadcast(delete_keys.select(*keys), broadcast_key_rows),
+                       list(keys), "left_anti")
 
 
 def delete_cascade(parent: DataFrame, child: DataFrame, delete_keys: DataFrame,
-                   parent_key: str, child_fk: str) -> tuple[DataFrame, DataFrame]:
+                   parent_key: str, child_fk: str,
+                   broadcast_key_rows: int = MAX_BROADCAST_KEY_ROWS) -> tuple[DataFrame, DataFrame]:
     """Delete parents by key and, as ``ON DELETE CASCADE``, the children
-    that referenced a deleted parent.  Two anti joins, no target shuffle when the
-    key list is small."""
+    that referenced a deleted parent.  Two anti joins against the (bounded,
+    broadcast) deleted keys: neither table is shuffled for a small delete."""
     gone = parent.join(delete_keys.select(F.col(parent_key)), parent_key, "left_semi").select(parent_key)
+    gone = bounded_broadcast(gone, broadcast_key_rows)
     parents = parent.join(gone, parent_key, "left_anti")
     children = child.join(gone.withColumnRenamed(parent_key, child_fk), child_fk, "left_anti")
     return parents, children
 
 
-def strict_conflicts(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+def strict_conflicts(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
+                     broadcast_key_rows: int = MAX_BROADCAST_KEY_ROWS) -> DataFrame:
     """M4 check: keys of ``incoming`` that already exist in the target or occur
-    more than once in the batch, with the reason.  Aggregated per key, so a hot
-    key is one row."""
+    more than once in the batch, with the reason.  The target streams past the
+    broadcast batch keys (not the other way round); per-key counts are
+    combined map-side, so a hot key is one row."""
     keys = list(keys)
-    existing = incoming.select(*keys).join(target.select(*keys), keys, "left_semi") \
-        .groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("reason", F.lit("exists"))
-    repeated = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1) \
-        .withColumn("reason", F.lit("repeated"))
+    counts = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hit = target.select(*keys).join(bounded_broadcast(incoming.select(*keys), broadcast_key_rows),
+                                    keys, "left_semi")
+    existing = counts.join(hit, keys, "left_semi").withColumn("reason", F.lit("exists"))
+    repeated = counts.filter(F.col("n") > 1).withColumn("reason", F.lit("repeated"))
     return existing.unionByName(repeated)
 
 
