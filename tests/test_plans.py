@@ -87,3 +87,17 @@ def test_small_batch_broadcast_is_proven_not_estimated(spark):
     assert "SortMergeJoin" in big
     assert "BroadcastHashJoin" in dele and "SortMergeJoin" not in dele
     assert "LeftSemi, BuildRight" in conflicts   # the target streams past the broadcast batch keys
+
+
+def test_semi_dimension_keeps_cars_unshuffled_without_estimates(spark):
+    """The changed brand / type ids are proven small and broadcast, so the
+    pass over ``cars`` that flags touched cars needs no shuffle of cars."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = E.queries()["dim_car_detail_semi"](spark, SF_SMALL)._jdf.queryExecution() \
+            .executedPlan().treeString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert tree.count("LeftOuter, BuildRight") >= 2

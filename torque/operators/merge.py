@@ -23,6 +23,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .broadcast import MAX_BROADCAST_KEY_ROWS, bounded_broadcast
+
 # Conflict policies (fixed names).
 REPLACE = "REPLACE"
 CUMULATIVE = "CUMULATIVE"
@@ -34,10 +36,6 @@ POLICIES = (REPLACE, CUMULATIVE, PROGRESS, SKIP_IF_NULL, CONCAT)
 CONCAT_SEPARATOR = ", "
 SYNCED_AT = "synced_at"
 
-# Largest batch key set we broadcast (rows).  A few key columns per row keep
-# this well under 100 MB of hashed relation; beyond it the joins shuffle.
-MAX_BROADCAST_KEY_ROWS = 2_000_000
-
 _IN = "__incoming_present"
 
 
@@ -93,18 +91,6 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return best.select(*[(F.col(c) if c in keys else F.col(f"__best.{source_of[c]}")).alias(c) for c in cols])
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEY_ROWS) -> DataFrame:
-    """Broadcast ``df`` only behind a proven size bound: count at most
-    ``max_rows + 1`` of its rows; at or under the bound it is hinted for
-    broadcast, above it the planner is left to shuffle (and AQE to re-plan).
-    This keeps a huge target unshuffled for a small batch even when static
-    size estimates are missing or pessimistic."""
-    if max_rows <= 0:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _key_condition(left: str, right: str, keys: Sequence[str]) -> Column:
     cond = None
     for k in keys:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.windows import Window, changed_in, event_window
 from ..sources.rates import RatesSnapshot
+from .broadcast import bounded_broadcast
 
 Tables = Mapping[str, DataFrame]
 
@@ -122,10 +123,12 @@ def dim_car_detail_semi(t: Tables, window: Window) -> DataFrame:
     ``dim_car_detail`` when brand and type ids are unique (primary keys,
     checked by ``quality.unique_violations``)."""
     cars, brands, types = _dim_inputs(t)
-    cb = (brands.filter(changed_in(window, "b_updated_at", "b_created_at"))
-          .select(F.col("b_id").alias("cb_id")))
-    ct = (types.filter(changed_in(window, "t_updated_at", "t_created_at"))
-          .select(F.col("t_id").alias("ct_id")))
+    # The changed id sets are filters over the dimensions: their estimated
+    # size is the whole table, so prove them small before broadcasting.
+    cb = bounded_broadcast(brands.filter(changed_in(window, "b_updated_at", "b_created_at"))
+                           .select(F.col("b_id").alias("cb_id")))
+    ct = bounded_broadcast(types.filter(changed_in(window, "t_updated_at", "t_created_at"))
+                           .select(F.col("t_id").alias("ct_id")))
     touched = (cars.join(cb, F.col("c_brand_id") == F.col("cb_id"), "left")
                .join(ct, F.col("c_type_id") == F.col("ct_id"), "left")
                .filter(changed_in(window, "c_updated_at", "c_created_at")
