@@ -194,3 +194,12 @@ def test_jdbc_source_in_process(spark, tmp_path):
     df = read_jdbc(spark, url, "t", "id", 0, 25, 4, {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
     assert df.rdd.getNumPartitions() == 4
     assert df.count() == 25
+
+
+def test_folder_of_rate_documents_keeps_newest_rate_per_code(spark, tmp_path):
+    for day, (unix, eur) in enumerate([(1772841601, 0.85), (1772928001, 0.8624)]):
+        doc = {"time_last_update_unix": unix, "base_code": "USD", "conversion_rates": {"USD": 1, "EUR": eur}}
+        (tmp_path / f"d{day}.json").write_text(json.dumps(doc))
+    snap = read_rates_document(spark, str(tmp_path))
+    got = {r.code: (r.rate, r.updated_at) for r in snap.table.collect()}
+    assert got == {"USD": (1.0, datetime(2026, 3, 8, 0, 0, 1)), "EUR": (0.8624, datetime(2026, 3, 8, 0, 0, 1))}

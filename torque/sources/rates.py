@@ -42,15 +42,23 @@ def unix_to_utc_ntz(seconds) -> "F.Column":
     return F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+def latest_per_code(rates: DataFrame) -> DataFrame:
+    """One row per code: the newest rate when several documents are read
+    together (a folder of daily documents).  Bounded by the number of codes."""
+    return (rates.groupBy("code")
+            .agg(F.max_by("rate", "updated_at").alias("rate"), F.max("updated_at").alias("updated_at")))
+
+
 def _snapshot(doc: DataFrame) -> RatesSnapshot:
     bases = doc.agg(F.collect_set("base_code").alias("b")).first()["b"]
     if len(bases) != 1:
         raise ValueError(f"rates documents must share one base code, got {sorted(bases)}")
-    return RatesSnapshot(explode_document(doc), bases[0])
+    return RatesSnapshot(latest_per_code(explode_document(doc)), bases[0])
 
 
 def read_rates_document(spark: SparkSession, path: str) -> RatesSnapshot:
-    """Read one or many landed rate documents (a file, folder or glob)."""
+    """Read one or many landed rate documents (a file, folder or glob) as one
+    snapshot: the newest rate of each code."""
     doc = (spark.read.schema(schemas.RATES_DOCUMENT)
            .option("multiLine", True).json(path))
     return _snapshot(doc)

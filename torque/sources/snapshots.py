@@ -116,7 +116,9 @@ class SnapshotTable:
             manifest.pop(b, None)
         manifest.update({b: version for b in written})
         rows = [(version, b, v) for b, v in sorted(manifest.items())] or [(version, -1, version)]
-        (self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1)
+        entries = F.array(*[F.struct(F.lit(mv).cast("bigint").alias("mv"), F.lit(b).cast("int").alias("bucket"),
+                                     F.lit(v).cast("bigint").alias("version")) for mv, b, v in rows])
+        (self.spark.range(1).select(F.inline(entries)).coalesce(1)
          .write.mode("errorifexists").json(self._manifest(version)))
         return version
 
