@@ -56,3 +56,14 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
 def constant_row(spark: SparkSession) -> DataFrame:
     """A one-row relation without a table (``select 10, true``)."""
     return spark.range(1).select(F.lit(10).alias("a"), F.lit(True).alias("b"))
+
+
+# The source database's tables, in load order.
+SOURCE_TABLES = ("brands", "types", "currencies", "cities", "cars", "customers", "car_sales")
+
+
+def read_source_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The seven source tables stored as ``<root>/<table>`` (Parquet by default)
+    with the source schema (``schemas.py``).  Lazy: each query prunes columns
+    and pushes its filters into these scans."""
+    return {t: spark.read.format(fmt).load(f"{root.rstrip('/')}/{t}") for t in SOURCE_TABLES}
