@@ -18,7 +18,7 @@ def plan(df):
 
 def test_event_window_reaches_the_scan(spark):
     p = plan(E.queries()["filter_event_window"](spark, SF_SMALL))
-    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
+    assert "PushedFilters: [IsNotNull(transaction_date), GreaterThanOrEqual(transaction_date" in p
 
 
 def test_change_window_rewrite_is_pushed(spark, tmp_path):
