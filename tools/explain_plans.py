@@ -27,7 +27,7 @@ COUNTS = ["Exchange hashpartitioning", "Exchange SinglePartition", "BroadcastExc
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = get_session("local[8]", 16)
+    spark = get_session("local[8]", 16, extra={"spark.sql.maxMetadataStringLength": "2000"})
     print(f"# Final physical plans at {os.path.basename(sf)} (local[8], AQE on)\n")
     print("Generated by `tools/explain_plans.py`; plans are taken after execution, so they show "
           "AQE's runtime choices (broadcasts from measured sizes, coalesced partitions).\n")
@@ -36,17 +36,17 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         counts = {c: plan.count(c) for c in COUNTS if plan.count(c)}
-        pushed = sorted(set(re.findall(r"PushedFilters: \[([^\]]*)\]", plan)) - {""})
+        pushed = sorted(set(re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan)) - {""})
         print(f"## {key}\n")
         print("| operator | count |\n|---|---|")
         for c, n in counts.items():
             print(f"| {c} | {n} |")
         print()
         for p in pushed:
-            print(f"* PushedFilters: `{p[:200]}`")
+            print(f"* PushedFilters: `{p[:400]}`")
         print("\n```")
         for line in df._jdf.queryExecution().executedPlan().treeString().splitlines():
-            print(line[:180])
+            print(line[:240])
         print("```\n")
     spark.stop()
 
