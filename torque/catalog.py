@@ -102,7 +102,7 @@ def q_view_roundtrip(spark, sf):
 @query("rates_explode")
 def q_rates_explode(spark, sf):
     src, wide = _wide(spark, sf)
-    r = F.broadcast(src.rates)
+    r = src.rates_snapshot.broadcastable()
     return wide.join(r, wide.currency_name == r.code, "inner").select("sale_id", "code", "rate", "updated_at")
 
 

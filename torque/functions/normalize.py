@@ -53,10 +53,10 @@ def normalize_currency(sales: DataFrame, rates: RatesSnapshot, target_code: str
     """
     if rates.base_code != target_code:
         raise ValueError(f"rates are quoted against {rates.base_code}, not {target_code}")
-    # The rates table has one row per currency code of a single document,
-    # a few hundred rows at most, so it is broadcast and the sales are never
-    # shuffled by their (low-cardinality, skewed) currency.
-    r = F.broadcast(rates.table.select("code", "rate", "updated_at"))
+    # One row per currency code, counted when the snapshot was built: it is
+    # broadcast, so the sales are never shuffled by their (low-cardinality,
+    # skewed) currency.
+    r = rates.broadcastable().select("code", "rate", "updated_at")
     out = (sales.withColumn("code", F.col(currency_col))
            .join(r, "code", "inner")
            .withColumn("sale_price_normalized", convert(F.col(price_col), F.col("rate"), mode))

@@ -5,7 +5,7 @@ Tables are passed as a mapping ``name -> DataFrame`` so the same plans run
 over the source database (ETL) or over the loaded destination tables (ELT).
 
 Join strategy: ``currencies`` and the rates snapshot are bounded by the number
-of currency codes and are broadcast.  Every other join is left to the planner:
+of currency codes; both are broadcast behind a counted bound.  Every other join is left to the planner:
 static size estimates broadcast a small side, AQE re-plans from runtime sizes
 and splits skewed partitions (a car or customer holding a third of the sales).
 """
@@ -24,6 +24,10 @@ from .broadcast import bounded_broadcast
 
 Tables = Mapping[str, DataFrame]
 
+# Small reference tables (currencies) are broadcast when they have at most
+# this many rows.
+MAX_DIMENSION_ROWS = 100_000
+
 
 def _cols(df: DataFrame, prefix: str, names: list[str]) -> DataFrame:
     return df.select(*[F.col(n).alias(f"{prefix}{n}") for n in names])
@@ -44,7 +48,7 @@ def sales_wide(t: Tables, window: Window | None = None, keep_existence_joins: bo
     s = _cols(s, "s_", ["id", "car_id", "customer_id", "price", "currency_id", "transaction_date"])
     cars = _cols(t["cars"], "c_", ["id", "name", "brand_id"])
     brands = _cols(t["brands"], "b_", ["id", "name"])
-    cur = F.broadcast(_cols(t["currencies"], "k_", ["id", "name"]))
+    cur = bounded_broadcast(_cols(t["currencies"], "k_", ["id", "name"]), MAX_DIMENSION_ROWS)
     j = (s.join(cars, F.col("s_car_id") == F.col("c_id"), "left")
          .join(brands, F.col("c_brand_id") == F.col("b_id"), "left"))
     if keep_existence_joins:
@@ -177,8 +181,8 @@ def fact_sales(t: Tables, rates: RatesSnapshot, window: Window,
     brands = _cols(t["brands"], "b_", ["id", "name"])
     cust = _cols(t["customers"], "u_", ["id", "address_city_id"])
     city = _cols(t["cities"], "y_", ["id"])
-    cur = F.broadcast(_cols(t["currencies"], "k_", ["id", "name"]))
-    rt = F.broadcast(_cols(rates.table, "r_", ["code", "rate", "updated_at"]))
+    cur = bounded_broadcast(_cols(t["currencies"], "k_", ["id", "name"]), MAX_DIMENSION_ROWS)
+    rt = _cols(rates.broadcastable(), "r_", ["code", "rate", "updated_at"])
     base = base if base is not None else base_currency_row(rates)
     known_customers = cust.join(city, F.col("u_address_city_id") == F.col("y_id"), "left_semi")
     j = (s.join(known_customers, F.col("s_customer_id") == F.col("u_id"), "left_semi")

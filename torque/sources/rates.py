@@ -15,12 +15,26 @@ from pyspark.sql import functions as F
 from .. import schemas
 
 
+# A rates snapshot is broadcast when it has at most this many codes (there are
+# fewer than 200 currency codes; the bound is checked when the snapshot is built).
+MAX_BROADCAST_CODES = 100_000
+
+
 @dataclass(frozen=True)
 class RatesSnapshot:
-    """A pinned rates table and the currency its rates are quoted against."""
+    """A pinned rates table (one row per code), the currency its rates are
+    quoted against and its number of codes, counted when it was built."""
 
     table: DataFrame
     base_code: str
+    n_codes: int | None = None
+
+    def broadcastable(self) -> DataFrame:
+        """The table, hinted for broadcast when its counted size is within the
+        bound (never on an unchecked size)."""
+        if self.n_codes is not None and self.n_codes <= MAX_BROADCAST_CODES:
+            return F.broadcast(self.table)
+        return self.table
 
 
 def explode_document(doc: DataFrame) -> DataFrame:
@@ -53,7 +67,8 @@ def _snapshot(doc: DataFrame) -> RatesSnapshot:
     bases = doc.agg(F.collect_set("base_code").alias("b")).first()["b"]
     if len(bases) != 1:
         raise ValueError(f"rates documents must share one base code, got {sorted(bases)}")
-    return RatesSnapshot(latest_per_code(explode_document(doc)), bases[0])
+    table = latest_per_code(explode_document(doc))
+    return RatesSnapshot(table, bases[0], table.count())
 
 
 def read_rates_document(spark: SparkSession, path: str) -> RatesSnapshot:
@@ -78,4 +93,4 @@ def rates_document(spark: SparkSession, base_code: str, unix_time: int,
 def rates_from_mapping(spark: SparkSession, base_code: str, unix_time: int,
                        rates: dict[str, float]) -> RatesSnapshot:
     doc = rates_document(spark, base_code, unix_time, rates)
-    return RatesSnapshot(explode_document(doc), base_code)
+    return RatesSnapshot(explode_document(doc), base_code, len(rates))
