@@ -2,7 +2,6 @@
 the same comparison on sf0.01)."""
 
 import math
-import os
 
 import duckdb
 import pytest

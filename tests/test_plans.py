@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 import __spark_entry__ as E
 from torque.catalog import WINDOW
-from torque.fixtures import source
 from torque.functions.windows import changed_in, changed_in_coalesce
 from torque.operators import merge as M
 

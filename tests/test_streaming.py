@@ -4,7 +4,6 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from conftest import rows
 from torque.streaming.upsert import land_in_parts, merge_latest, start_upsert_stream
 from torque.sources.snapshots import SnapshotTable
 

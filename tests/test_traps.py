@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from torque.functions.normalize import convert, normalize_currency
-from torque.functions.windows import Window, changed_in, changed_in_coalesce, event_window, year_window
+from torque.functions.windows import changed_in, changed_in_coalesce, event_window, year_window
 from torque.operators import quality as Q
 from torque.operators import star
-from torque.sources.rates import RatesSnapshot, rates_from_mapping, read_rates_document
+from torque.sources.rates import rates_from_mapping, read_rates_document
 from torque.sources.tables import constant_row, to_arrow_edge
 
 

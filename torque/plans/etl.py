@@ -11,12 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.normalize import normalize_currency
 from ..functions.windows import Window, parquet_name
-from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators.star import Tables, sales_wide, to_dataset
 from ..sources import snapshots
