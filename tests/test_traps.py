@@ -203,3 +203,31 @@ def test_folder_of_rate_documents_keeps_newest_rate_per_code(spark, tmp_path):
     snap = read_rates_document(spark, str(tmp_path))
     got = {r.code: (r.rate, r.updated_at) for r in snap.table.collect()}
     assert got == {"USD": (1.0, datetime(2026, 3, 8, 0, 0, 1)), "EUR": (0.8624, datetime(2026, 3, 8, 0, 0, 1))}
+
+
+def test_deletes_do_not_flow_through_the_change_window(spark):
+    """A row whose only change is ``deleted_at`` keeps its old change time, so
+    an incremental load never sees the delete."""
+    df = spark.createDataFrame([(1, ts("1996-03-01"), None, ts("1997-05-01"))],
+                               "id int, created_at timestamp_ntz, updated_at timestamp_ntz, deleted_at timestamp_ntz")
+    assert df.filter(changed_in(year_window(1997))).count() == 0
+
+
+def test_parquet_file_keeps_rates_columns_table_does_not(spark):
+    from conftest import SF_SMALL
+    from torque.catalog import WINDOW
+    from torque.fixtures import source
+    from torque.plans.etl import etl_dataset, etl_frames
+    from torque import schemas
+    src = source(spark, SF_SMALL)
+    frames = etl_frames(src.tables(), src.rates_snapshot, WINDOW)
+    assert frames.validated.columns == schemas.NORMALIZED_COLUMNS and len(frames.validated.columns) == 15
+    assert etl_dataset(src.tables(), src.rates_snapshot, WINDOW).columns == schemas.CAR_SALES_DATASET_COLUMNS
+
+
+def test_currency_rule_is_a_parameter(spark):
+    df = spark.createDataFrame([(1, 1, 1, 10.0, 5, 5.0, "USD")],
+                               "sale_id int, brand_id int, car_id int, sale_price double, currency_id int, "
+                               "sale_price_normalized double, sale_price_normalized_currency string")
+    assert Q.apply_rules(df, Q.etl_rules()).count() == 0
+    assert Q.apply_rules(df, Q.etl_rules(allowed_currency_ids=[5])).count() == 1

@@ -56,7 +56,7 @@ def work_dir(spark: SparkSession) -> str:
     our own and register it as the checkpoint dir, so ``DataFrame.checkpoint()``
     and our written tables land in the same place."""
     global _LOCAL_ROOT
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if _LOCAL_ROOT is None:
