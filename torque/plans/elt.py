@@ -12,6 +12,7 @@ new version and every later one at its old version, each table consistent.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 from ..fixtures import SOURCE_COLUMNS
@@ -30,9 +31,15 @@ DERIVED = ["dimension_car_detail", "fact_car_sales_dataset"]
 SMALL_TABLES = {"brands", "types", "currencies", "cities", "currency_rates"}
 
 
+# Tables the flow scans by change window are stored in change-time order.
+CHANGE_ORDERED = {"brands", "types", "currencies", "cities", "cars", "customers", "car_sales"}
+
+
 def table(spark: SparkSession, dest_root: str, name: str, buckets: int) -> SnapshotTable:
     return SnapshotTable(spark, f"{dest_root}/{name}", schemas.PRIMARY_KEYS[name],
-                         1 if name in SMALL_TABLES else buckets)
+                         1 if name in SMALL_TABLES else buckets,
+                         sort_by=[F.coalesce(F.col("updated_at"), F.col("created_at"))]
+                         if name in CHANGE_ORDERED else [])
 
 
 def extract_changed(df: DataFrame, window: Window) -> DataFrame:

@@ -48,11 +48,15 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (), buckets: int = 1):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (), buckets: int = 1,
+                 sort_by: Sequence[str | Column] = ()):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.buckets = buckets if self.keys else 1
+        # Order of rows inside each written file: row-group min/max statistics
+        # then let range filters (change windows) skip most of a bucket.
+        self.sort_by = list(sort_by)
 
     # -- layout ---------------------------------------------------------------
     def _data(self, version: int) -> str:
@@ -108,8 +112,10 @@ class SnapshotTable:
                .observe(obs, F.collect_set(BUCKET).alias("written")))
         # Rebalance by bucket: AQE splits a hot bucket over several tasks and
         # packs small buckets, so the write neither skews nor sprays files.
-        (out.hint("rebalance", BUCKET).write.mode("overwrite")
-         .partitionBy(BUCKET).parquet(self._data(version)))
+        out = out.hint("rebalance", BUCKET)
+        if self.sort_by:
+            out = out.sortWithinPartitions(BUCKET, *self.sort_by)
+        out.write.mode("overwrite").partitionBy(BUCKET).parquet(self._data(version))
         written = set(int(b) for b in (obs.get.get("written") or []))
         manifest = dict(base_manifest)
         for b in (rewritten or set()) | written:
