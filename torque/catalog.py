@@ -17,7 +17,7 @@ from .fixtures import (LINE_KEYS, LINE_ORDER, MERGE_KEY, MERGE_RUN_TS, merge_inc
                        merge_target, returned_order_keys, source, ts)
 from .functions.jsonfn import damage_rule, json_check
 from .functions.normalize import latest_rate_time, normalize_currency
-from .functions.windows import Window as _W
+from .functions.windows import Window as TimeWindow
 from .functions.windows import changed_in, day_key, event_window, parquet_name, year_window
 from .operators import merge as M
 from .operators import quality as Q
@@ -287,7 +287,7 @@ def q_delete_cascade(spark, sf):
     return cars.select("id", "name", "brand_id", "type_id")
 
 
-PREV_WINDOW = _W(datetime(1996, 7, 1), datetime(1997, 6, 30))
+PREV_WINDOW = TimeWindow(datetime(1996, 7, 1), datetime(1997, 6, 30))
 
 
 @query("etl_upsert_wide")
