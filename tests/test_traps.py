@@ -231,3 +231,15 @@ def test_currency_rule_is_a_parameter(spark):
                                "sale_price_normalized double, sale_price_normalized_currency string")
     assert Q.apply_rules(df, Q.etl_rules()).count() == 0
     assert Q.apply_rules(df, Q.etl_rules(allowed_currency_ids=[5])).count() == 1
+
+
+def test_json_quarantine_and_serialise(spark):
+    from torque.functions.jsonfn import json_check, split_valid, to_json_text
+    df = spark.createDataFrame([(1, '{"k": 5}'), (2, '{"k": 6'), (3, None)], "id int, props string")
+    valid, bad = split_valid(df, "props")
+    assert sorted(r.id for r in valid.collect()) == [1, 3]     # NULL is allowed
+    assert [r.id for r in bad.collect()] == [2]
+    got = {r.id: (r.props_valid, r.k) for r in json_check(df, "props", {"k": "bigint"}).collect()}
+    assert got == {1: (True, 5), 2: (False, None), 3: (None, None)}
+    s = spark.range(1).select(to_json_text(F.struct(F.lit(1).alias("a"), F.lit("x").alias("b"))).alias("j"))
+    assert s.first().j == '{"a":1,"b":"x"}'

@@ -23,22 +23,24 @@ def damage_rule(event_id: Column, text: Column) -> Column:
 
 
 def is_valid_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+    """True when the text parses, false when it does not, NULL for NULL."""
+    return F.when(text.isNotNull(), F.try_parse_json(text).isNotNull())
 
 
 def json_check(df: DataFrame, column: str, fields: Mapping[str, str] | None = None) -> DataFrame:
     """Adds ``props_valid`` and one typed column per requested top-level field
     (NULL when the text is invalid or the field is absent)."""
     v = F.try_parse_json(F.col(column))
-    out = df.withColumn("props_valid", v.isNotNull())
+    out = df.withColumn("props_valid", is_valid_json(F.col(column)))
     for name, typ in (fields or {}).items():
         out = out.withColumn(name, F.try_variant_get(v, f"$.{name}", typ))
     return out
 
 
 def split_valid(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows) by JSON validity of ``column``."""
-    ok = is_valid_json(F.col(column))
+    """(valid rows, quarantined rows) by JSON validity of ``column``.  A NULL
+    column is allowed (stored as NULL, never parsed), so it is valid."""
+    ok = F.coalesce(is_valid_json(F.col(column)), F.lit(True))
     return df.filter(ok), df.filter(~ok)
 
 
