@@ -61,7 +61,7 @@ def normalize_currency(sales: DataFrame, rates: RatesSnapshot, target_code: str
            .join(r, "code", "inner")
            .withColumn("sale_price_normalized", convert(F.col(price_col), F.col("rate"), mode))
            .withColumn("sale_price_normalized_currency", F.lit(target_code))
-           .withColumn("exchange_rate_date", latest_rate_time(rates.table)))
+           .withColumn("exchange_rate_date", rates.latest_time()))
     added = ["code", "rate", "updated_at", "sale_price_normalized",
              "sale_price_normalized_currency", "exchange_rate_date"]
     return out.select(*[c for c in sales.columns if c not in added], *added)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -28,6 +28,14 @@ class RatesSnapshot:
     table: DataFrame
     base_code: str
     n_codes: int | None = None
+    latest_unix: int | None = None   # newest publish time, when known at build time
+
+    def latest_time(self) -> Column:
+        """A1: the snapshot's newest rate time.  A literal when the snapshot
+        recorded it (folded into the plan), else a scalar subquery."""
+        if self.latest_unix is not None:
+            return unix_to_utc_ntz(F.lit(int(self.latest_unix)).cast("bigint"))
+        return self.table.select(F.max("updated_at")).scalar()
 
     def broadcastable(self) -> DataFrame:
         """The table, hinted for broadcast when its counted size is within the
@@ -50,7 +58,7 @@ def explode_document(doc: DataFrame) -> DataFrame:
                 unix_to_utc_ntz(F.col("unix")).alias("updated_at")))
 
 
-def unix_to_utc_ntz(seconds) -> "F.Column":
+def unix_to_utc_ntz(seconds: Column) -> Column:
     """Unix seconds as a UTC wall-clock TIMESTAMP_NTZ, independent of the
     session time zone."""
     return F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
@@ -64,11 +72,12 @@ def latest_per_code(rates: DataFrame) -> DataFrame:
 
 
 def _snapshot(doc: DataFrame) -> RatesSnapshot:
-    bases = doc.agg(F.collect_set("base_code").alias("b")).first()["b"]
+    meta = doc.agg(F.collect_set("base_code").alias("b"), F.max("time_last_update_unix").alias("t")).first()
+    bases = meta["b"]
     if len(bases) != 1:
         raise ValueError(f"rates documents must share one base code, got {sorted(bases)}")
     table = latest_per_code(explode_document(doc))
-    return RatesSnapshot(table, bases[0], table.count())
+    return RatesSnapshot(table, bases[0], table.count(), meta["t"])
 
 
 def read_rates_document(spark: SparkSession, path: str) -> RatesSnapshot:
@@ -93,4 +102,4 @@ def rates_document(spark: SparkSession, base_code: str, unix_time: int,
 def rates_from_mapping(spark: SparkSession, base_code: str, unix_time: int,
                        rates: dict[str, float]) -> RatesSnapshot:
     doc = rates_document(spark, base_code, unix_time, rates)
-    return RatesSnapshot(explode_document(doc), base_code, len(rates))
+    return RatesSnapshot(explode_document(doc), base_code, len(rates), int(unix_time))
