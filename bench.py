@@ -58,7 +58,7 @@ def input_bytes(sf_dir: str) -> int:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4)))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     parts = shuffle_partitions_for(input_bytes(sf_dir), cpus)
     spark = get_session(f"local[{cpus}]", parts, app="torque-bench",
