@@ -53,3 +53,13 @@ def test_small_batch_rewrites_only_its_buckets(spark, tmp_path):
     assert len(got) == 1001 and got[5] == -1.0 and got[5000] == 1.0
     t.delete(spark.createDataFrame([(5,)], "k bigint"))
     assert t.read().count() == 1000 and t.read(1).count() == 1001
+
+
+def test_emptied_table_reads_as_empty_with_schema(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"), ["k"], buckets=4)
+    t.write(spark.createDataFrame([(1, 1.0), (2, 2.0)], "k bigint, a double"))
+    t.delete(spark.createDataFrame([(1,), (2,)], "k bigint"))
+    empty = t.read()
+    assert empty is not None and empty.count() == 0 and empty.columns == ["k", "a"]
+    t.merge(spark.createDataFrame([(3, 3.0)], "k bigint, a double"))
+    assert rows(t.read()) == [(3, 3.0)]

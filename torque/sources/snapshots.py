@@ -30,13 +30,15 @@ import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge as M
 from ..session import work_dir
 
 BUCKET = "__b"
+EMPTY = -1  # manifest / folder id of the schema-only marker of an emptied table
+_BUCKET_DIR = re.compile(r"/__b=(-?\d+)/")
 _MANIFEST_FILE = re.compile(r"/_manifests/v=(\d+)/part-[^/]*$")
 MANIFEST_SCHEMA = "mv bigint, bucket int, version bigint"
 
@@ -96,7 +98,10 @@ class SnapshotTable:
         wanted = man if buckets is None else {b: man[b] for b in buckets if b in man}
         if not wanted:
             if not man:
-                return None
+                try:  # an emptied table keeps a schema-only marker
+                    return self.spark.read.parquet(self._bucket_path(EMPTY, v))
+                except AnalysisException:
+                    return None
             b0 = next(iter(man))
             return self.spark.read.parquet(self._bucket_path(b0, man[b0])).limit(0)
         return self.spark.read.parquet(*[self._bucket_path(b, ver) for b, ver in sorted(wanted.items())])
@@ -107,27 +112,37 @@ class SnapshotTable:
         """Write ``df`` as version ``version`` of the buckets it holds (and, when
         ``rewritten`` is given, drop those of them that came out empty), then
         commit the manifest."""
-        obs = Observation(f"buckets_v{version}")
-        out = (df.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
-               .observe(obs, F.collect_set(BUCKET).alias("written")))
+        out = df.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
         # Rebalance by bucket: AQE splits a hot bucket over several tasks and
         # packs small buckets, so the write neither skews nor sprays files.
         out = out.hint("rebalance", BUCKET)
         if self.sort_by:
             out = out.sortWithinPartitions(BUCKET, *self.sort_by)
         out.write.mode("overwrite").partitionBy(BUCKET).parquet(self._data(version))
-        written = set(int(b) for b in (obs.get.get("written") or []))
+        written = self._written_buckets(version)
         manifest = dict(base_manifest)
         for b in (rewritten or set()) | written:
             manifest.pop(b, None)
         manifest.update({b: version for b in written})
-        rows = [(version, b, v) for b, v in sorted(manifest.items())] or [(version, -1, version)]
+        if not manifest:
+            # every row is gone: keep the schema, so the table reads as empty
+            df.limit(0).write.mode("overwrite").parquet(self._bucket_path(EMPTY, version))
+        rows = [(version, b, v) for b, v in sorted(manifest.items())] or [(version, EMPTY, version)]
         entries = F.array(*[F.struct(F.lit(mv).cast("bigint").alias("mv"), F.lit(b).cast("int").alias("bucket"),
                                      F.lit(v).cast("bigint").alias("version")) for mv, b, v in rows])
         (self.spark.range(1).select(F.inline(entries)).coalesce(1)
          .write.mode("errorifexists").json(self._manifest(version)))
         return version
 
+    def _written_buckets(self, version: int) -> set[int]:
+        """Buckets the write of ``version`` produced, from its file listing (no
+        job; an empty result leaves no bucket folder)."""
+        try:
+            files = self.spark.read.parquet(self._data(version)).inputFiles()
+        except AnalysisException:
+            return set()
+        return {int(m.group(1)) for f in files if (m := _BUCKET_DIR.search(f)) and int(m.group(1)) >= 0}
+
     def write(self, df: DataFrame, version: int | None = None) -> int:
         """Replace the table's contents with ``df`` as a new version."""
         if version is None:
