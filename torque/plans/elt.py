@@ -11,6 +11,8 @@ new version and every later one at its old version, each table consistent.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,15 +60,23 @@ def destination(spark: SparkSession, dest_root: str) -> dict[str, DataFrame]:
 
 
 def run_elt(spark: SparkSession, source: Tables, rates: RatesSnapshot, window: Window,
-            dest_root: str, full_load: bool = False, buckets: int = 4) -> dict[str, int | None]:
+            dest_root: str, full_load: bool = False, buckets: int = 4,
+            parallel_loads: int = 4) -> dict[str, int | None]:
     """Run the flow.  ``full_load`` copies whole tables instead of the window's
     changes (a first load: the incremental flow only joins dimension rows it
     has loaded, so without it facts of unchanged dimensions are missing)."""
-    versions: dict[str, int | None] = {}
-    for name in LOAD_ORDER:
+    def load(name: str) -> int | None:
+        if name == "currency_rates":
+            return table(spark, dest_root, name, buckets).merge(rates.table)
         rows = source[name] if full_load else extract_changed(source[name], window)
-        versions[name] = table(spark, dest_root, name, buckets).merge(rows.select(*SOURCE_COLUMNS[name]))
-    versions["currency_rates"] = table(spark, dest_root, "currency_rates", buckets).merge(rates.table)
+        return table(spark, dest_root, name, buckets).merge(rows.select(*SOURCE_COLUMNS[name]))
+
+    # The table loads are independent (each reads its own source and writes its
+    # own table), so they are submitted as concurrent Spark jobs from a few
+    # driver threads; the dimension and fact wait for all of them.
+    names = LOAD_ORDER + ["currency_rates"]
+    with ThreadPoolExecutor(max_workers=max(1, parallel_loads)) as pool:
+        versions: dict[str, int | None] = dict(zip(names, pool.map(load, names)))
 
     dest = destination(spark, dest_root)
     if not all(n in dest for n in LOAD_ORDER):
