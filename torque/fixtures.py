@@ -15,6 +15,7 @@ filters on plain columns reach the Parquet reader.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import cached_property
@@ -64,13 +65,17 @@ class Source:
         self._scans: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
         self._store_root: str | None = None
+        # Jobs may be submitted from several driver threads (concurrent table
+        # loads); materialising a view happens once, under this lock.
+        self._lock = threading.RLock()
 
     def table(self, name: str) -> DataFrame:
         """The raw table.  The scan (file listing, footer) is resolved once per
         source; every query still prunes columns and pushes filters into it."""
-        if name not in self._scans:
-            self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return self._scans[name]
+        with self._lock:
+            if name not in self._scans:
+                self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            return self._scans[name]
 
     # -- the source database, stored -------------------------------------
     # The source project reads stored tables.  Each view is derived from the
@@ -82,18 +87,19 @@ class Source:
     SORT_KEYS = {"car_sales": ["transaction_date"], "cars": ["id"], "customers": ["id"]}
 
     def stored(self, name: str) -> DataFrame:
-        if name not in self._stored:
-            derived = getattr(self, f"derived_{name}")
-            if not self.materialize:
-                return derived
-            if self._store_root is None:
-                self._store_root = scratch_path(self.spark, "source")
-            path = f"{self._store_root}/{name}"
-            keys = self.SORT_KEYS.get(name)
-            (derived.sortWithinPartitions(*keys) if keys else derived.coalesce(1)) \
-                .write.mode("overwrite").parquet(path)
-            self._stored[name] = self.spark.read.parquet(path)
-        return self._stored[name]
+        with self._lock:
+            if name not in self._stored:
+                derived = getattr(self, f"derived_{name}")
+                if not self.materialize:
+                    return derived
+                if self._store_root is None:
+                    self._store_root = scratch_path(self.spark, "source")
+                path = f"{self._store_root}/{name}"
+                keys = self.SORT_KEYS.get(name)
+                (derived.sortWithinPartitions(*keys) if keys else derived.coalesce(1)) \
+                    .write.mode("overwrite").parquet(path)
+                self._stored[name] = self.spark.read.parquet(path)
+            return self._stored[name]
 
     @property
     def car_sales(self) -> DataFrame:
@@ -270,16 +276,18 @@ class LazyTables(Mapping):
 
 
 _SOURCES: dict[tuple[int, str], Source] = {}
+_SOURCES_LOCK = threading.Lock()
 
 
 def source(spark: SparkSession, sf_dir: str) -> Source:
     """The source over ``sf_dir`` for this session (views are built once per
     session and reused by every query)."""
     key = (id(spark), sf_dir.rstrip("/"))
-    src = _SOURCES.get(key)
-    if src is None or src.spark is not spark or src.spark.sparkContext._jsc is None:
-        src = _SOURCES[key] = Source(spark, sf_dir.rstrip("/"))
-    return src
+    with _SOURCES_LOCK:
+        src = _SOURCES.get(key)
+        if src is None or src.spark is not spark or src.spark.sparkContext._jsc is None:
+            src = _SOURCES[key] = Source(spark, sf_dir.rstrip("/"))
+        return src
 
 
 # Column order of each source table, as in its DDL.
