@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,6 +49,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 _LOCAL_ROOT: str | None = None
+_LOCK = threading.Lock()
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -59,11 +61,12 @@ def work_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if _LOCAL_ROOT is None:
-        _LOCAL_ROOT = tempfile.mkdtemp(prefix="torque-work-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(os.path.join(_LOCAL_ROOT, "checkpoints"))
-    return _LOCAL_ROOT
+    with _LOCK:
+        if _LOCAL_ROOT is None:
+            _LOCAL_ROOT = tempfile.mkdtemp(prefix="torque-work-")
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(os.path.join(_LOCAL_ROOT, "checkpoints"))
+        return _LOCAL_ROOT
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
