@@ -58,9 +58,11 @@ def work_dir(spark: SparkSession) -> str:
     our own and register it as the checkpoint dir, so ``DataFrame.checkpoint()``
     and our written tables land in the same place."""
     global _LOCAL_ROOT
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if _LOCAL_ROOT is None and spark.sparkContext.getCheckpointDir():
+        return spark.sparkContext.getCheckpointDir().rstrip("/")   # set on the context by the caller
     with _LOCK:
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="torque-work-")
