@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .broadcast import bounded_broadcast
+
 Rules = Mapping[str, Column]
 
 # Currency ids the ETL job accepts (fixed values of the source job).
@@ -136,11 +138,12 @@ def unique_violations(df: DataFrame, keys: Sequence[str], table: str) -> DataFra
 def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str,
                   child_table: str, parent_table: str) -> DataFrame:
     """Q6: foreign-key values with no parent row, with the number of child rows
-    holding each.  A null foreign key is allowed.  The anti join keeps the
-    child unshuffled when the parent keys are small; the per-value count is
-    combined map-side."""
+    holding each.  A null foreign key is allowed.  Parent keys under the
+    counted bound are broadcast, so the child is not shuffled for the anti
+    join; the per-value count is combined map-side."""
     c = child.select(F.col(fk).alias("fk_value")).filter(F.col("fk_value").isNotNull())
-    missing = c.join(parent.select(F.col(pk).alias("fk_value")), "fk_value", "left_anti")
+    parent_keys = bounded_broadcast(parent.select(F.col(pk).alias("fk_value")))
+    missing = c.join(parent_keys, "fk_value", "left_anti")
     return (missing.groupBy("fk_value").agg(F.count(F.lit(1)).alias("n_rows"))
             .select(F.lit(child_table).alias("child_table"), F.lit(fk).alias("fk_column"),
                     F.lit(parent_table).alias("parent_table"),
