@@ -4,8 +4,9 @@ and the sales fact.
 Tables are passed as a mapping ``name -> DataFrame`` so the same plans run
 over the source database (ETL) or over the loaded destination tables (ELT).
 
-Join strategy: ``currencies`` and the rates snapshot are bounded by the number
-of currency codes; both are broadcast behind a counted bound.  Every other join is left to the planner:
+Join strategy: the low-cardinality dimensions (currencies, brands, types) and
+the rates snapshot are broadcast behind a counted bound, so a few-valued key
+(a brand holding a third of the sales) is never a shuffle key.  Every other join is left to the planner:
 static size estimates broadcast a small side, AQE re-plans from runtime sizes
 and splits skewed partitions (a car or customer holding a third of the sales).
 """
@@ -24,8 +25,8 @@ from .broadcast import bounded_broadcast
 
 Tables = Mapping[str, DataFrame]
 
-# Small reference tables (currencies) are broadcast when they have at most
-# this many rows.
+# Small reference tables (currencies, brands, types) are broadcast when they
+# have at most this many rows.
 MAX_DIMENSION_ROWS = 100_000
 
 
@@ -47,7 +48,7 @@ def sales_wide(t: Tables, window: Window | None = None, keep_existence_joins: bo
         s = s.filter(event_window(window, "transaction_date"))
     s = _cols(s, "s_", ["id", "car_id", "customer_id", "price", "currency_id", "transaction_date"])
     cars = _cols(t["cars"], "c_", ["id", "name", "brand_id"])
-    brands = _cols(t["brands"], "b_", ["id", "name"])
+    brands = bounded_broadcast(_cols(t["brands"], "b_", ["id", "name"]), MAX_DIMENSION_ROWS)
     cur = bounded_broadcast(_cols(t["currencies"], "k_", ["id", "name"]), MAX_DIMENSION_ROWS)
     j = (s.join(cars, F.col("s_car_id") == F.col("c_id"), "left")
          .join(brands, F.col("c_brand_id") == F.col("b_id"), "left"))
@@ -100,8 +101,8 @@ def _dim_select(j: DataFrame) -> DataFrame:
 
 def _dim_inputs(t: Tables):
     cars = _cols(t["cars"], "c_", ["id", "name", "brand_id", "type_id", *_AUDIT])
-    brands = _cols(t["brands"], "b_", ["id", "name", *_AUDIT])
-    types = _cols(t["types"], "t_", ["id", "name", *_AUDIT])
+    brands = bounded_broadcast(_cols(t["brands"], "b_", ["id", "name", *_AUDIT]), MAX_DIMENSION_ROWS)
+    types = bounded_broadcast(_cols(t["types"], "t_", ["id", "name", *_AUDIT]), MAX_DIMENSION_ROWS)
     return cars, brands, types
 
 
@@ -178,7 +179,7 @@ def fact_sales(t: Tables, rates: RatesSnapshot, window: Window,
     s = t["car_sales"].filter(changed_in(window))
     s = _cols(s, "s_", ["id", "car_id", "customer_id", "price", "currency_id", "transaction_date"])
     cars = _cols(t["cars"], "c_", ["id", "name", "brand_id"])
-    brands = _cols(t["brands"], "b_", ["id", "name"])
+    brands = bounded_broadcast(_cols(t["brands"], "b_", ["id", "name"]), MAX_DIMENSION_ROWS)
     cust = _cols(t["customers"], "u_", ["id", "address_city_id"])
     city = _cols(t["cities"], "y_", ["id"])
     cur = bounded_broadcast(_cols(t["currencies"], "k_", ["id", "name"]), MAX_DIMENSION_ROWS)
