@@ -4,7 +4,7 @@ and the sales fact.
 Tables are passed as a mapping ``name -> DataFrame`` so the same plans run
 over the source database (ETL) or over the loaded destination tables (ELT).
 
-Join strategy: the low-cardinality dimensions (currencies, brands, types) and
+Join strategy: the low-cardinality dimensions (currencies, brands, types, cities) and
 the rates snapshot are broadcast behind a counted bound, so a few-valued key
 (a brand holding a third of the sales) is never a shuffle key.  Every other join is left to the planner:
 static size estimates broadcast a small side, AQE re-plans from runtime sizes
@@ -54,7 +54,7 @@ def sales_wide(t: Tables, window: Window | None = None, keep_existence_joins: bo
          .join(brands, F.col("c_brand_id") == F.col("b_id"), "left"))
     if keep_existence_joins:
         cust = _cols(t["customers"], "u_", ["id", "address_city_id"])
-        city = _cols(t["cities"], "y_", ["id"])
+        city = bounded_broadcast(_cols(t["cities"], "y_", ["id"]), MAX_DIMENSION_ROWS)
         j = (j.join(cust, F.col("s_customer_id") == F.col("u_id"), "left")
              .join(city, F.col("u_address_city_id") == F.col("y_id"), "left"))
     j = j.join(cur, F.col("s_currency_id") == F.col("k_id"), "left")
@@ -181,7 +181,7 @@ def fact_sales(t: Tables, rates: RatesSnapshot, window: Window,
     cars = _cols(t["cars"], "c_", ["id", "name", "brand_id"])
     brands = bounded_broadcast(_cols(t["brands"], "b_", ["id", "name"]), MAX_DIMENSION_ROWS)
     cust = _cols(t["customers"], "u_", ["id", "address_city_id"])
-    city = _cols(t["cities"], "y_", ["id"])
+    city = bounded_broadcast(_cols(t["cities"], "y_", ["id"]), MAX_DIMENSION_ROWS)
     cur = bounded_broadcast(_cols(t["currencies"], "k_", ["id", "name"]), MAX_DIMENSION_ROWS)
     rt = _cols(rates.broadcastable(), "r_", ["code", "rate", "updated_at"])
     base = base if base is not None else base_currency_row(rates)
