@@ -100,3 +100,12 @@ def test_semi_dimension_keeps_cars_unshuffled_without_estimates(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert tree.count("LeftOuter, BuildRight") >= 2
+
+
+def test_remembered_bound_is_only_reused_when_it_proves_the_answer(spark):
+    from torque.operators.broadcast import bounded_broadcast
+    df = spark.range(50)
+    hinted = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString().lower()
+    assert not hinted(bounded_broadcast(df, 10, remember=True))    # 11 counted: over 10
+    assert hinted(bounded_broadcast(df, 100, remember=True))       # must recount: 50 <= 100
+    assert not hinted(bounded_broadcast(df, 20, remember=True))    # exact 50 remembered: over 20

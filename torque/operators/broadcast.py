@@ -11,6 +11,9 @@ planner shuffles (AQE may still re-plan from runtime sizes).
 
 from __future__ import annotations
 
+import threading
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +22,30 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_KEY_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEY_ROWS) -> DataFrame:
+# Counted sizes of DataFrames checked with ``remember=True``.  A DataFrame's
+# plan and file listing are fixed when it is created, so its count cannot
+# change; keyed weakly by the object, so nothing outlives the DataFrame.
+_COUNTED: "weakref.WeakKeyDictionary[DataFrame, tuple[int, int]]" = weakref.WeakKeyDictionary()
+_LOCK = threading.Lock()
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEY_ROWS,
+                      remember: bool = False) -> DataFrame:
+    """``df`` hinted for broadcast when it has at most ``max_rows`` rows
+    (counted, reading at most ``max_rows + 1``), else ``df`` unchanged.
+    ``remember`` reuses the count for the same DataFrame object (stored
+    dimension tables read by many queries of a session)."""
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
+    with _LOCK:
+        seen = _COUNTED.get(df) if remember else None
+    # A remembered count is exact when it was within its bound; over its bound
+    # it only proves "more than that bound".
+    if seen is not None and (seen[0] <= seen[1] or max_rows <= seen[1]):
+        n = seen[0]
+    else:
+        n = df.limit(max_rows + 1).count()
+        if remember:
+            with _LOCK:
+                _COUNTED[df] = (n, max_rows)
     return F.broadcast(df) if n <= max_rows else df

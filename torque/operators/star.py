@@ -34,6 +34,12 @@ def _cols(df: DataFrame, prefix: str, names: list[str]) -> DataFrame:
     return df.select(*[F.col(n).alias(f"{prefix}{n}") for n in names])
 
 
+def _small(df: DataFrame, prefix: str, names: list[str]) -> DataFrame:
+    """A small reference table, broadcast behind a counted bound (the count is
+    remembered for the table object), then projected and prefixed."""
+    return _cols(bounded_broadcast(df, MAX_DIMENSION_ROWS, remember=True), prefix, names)
+
+
 def sales_wide(t: Tables, window: Window | None = None, keep_existence_joins: bool = False) -> DataFrame:
     """J1 + F1 + P1: sales with their car, brand and currency names, every
     dimension LEFT joined, restricted to transactions in the window.
@@ -48,13 +54,13 @@ def sales_wide(t: Tables, window: Window | None = None, keep_existence_joins: bo
         s = s.filter(event_window(window, "transaction_date"))
     s = _cols(s, "s_", ["id", "car_id", "customer_id", "price", "currency_id", "transaction_date"])
     cars = _cols(t["cars"], "c_", ["id", "name", "brand_id"])
-    brands = bounded_broadcast(_cols(t["brands"], "b_", ["id", "name"]), MAX_DIMENSION_ROWS)
-    cur = bounded_broadcast(_cols(t["currencies"], "k_", ["id", "name"]), MAX_DIMENSION_ROWS)
+    brands = _small(t["brands"], "b_", ["id", "name"])
+    cur = _small(t["currencies"], "k_", ["id", "name"])
     j = (s.join(cars, F.col("s_car_id") == F.col("c_id"), "left")
          .join(brands, F.col("c_brand_id") == F.col("b_id"), "left"))
     if keep_existence_joins:
         cust = _cols(t["customers"], "u_", ["id", "address_city_id"])
-        city = bounded_broadcast(_cols(t["cities"], "y_", ["id"]), MAX_DIMENSION_ROWS)
+        city = _small(t["cities"], "y_", ["id"])
         j = (j.join(cust, F.col("s_customer_id") == F.col("u_id"), "left")
              .join(city, F.col("u_address_city_id") == F.col("y_id"), "left"))
     j = j.join(cur, F.col("s_currency_id") == F.col("k_id"), "left")
@@ -101,8 +107,8 @@ def _dim_select(j: DataFrame) -> DataFrame:
 
 def _dim_inputs(t: Tables):
     cars = _cols(t["cars"], "c_", ["id", "name", "brand_id", "type_id", *_AUDIT])
-    brands = bounded_broadcast(_cols(t["brands"], "b_", ["id", "name", *_AUDIT]), MAX_DIMENSION_ROWS)
-    types = bounded_broadcast(_cols(t["types"], "t_", ["id", "name", *_AUDIT]), MAX_DIMENSION_ROWS)
+    brands = _small(t["brands"], "b_", ["id", "name", *_AUDIT])
+    types = _small(t["types"], "t_", ["id", "name", *_AUDIT])
     return cars, brands, types
 
 
@@ -179,10 +185,10 @@ def fact_sales(t: Tables, rates: RatesSnapshot, window: Window,
     s = t["car_sales"].filter(changed_in(window))
     s = _cols(s, "s_", ["id", "car_id", "customer_id", "price", "currency_id", "transaction_date"])
     cars = _cols(t["cars"], "c_", ["id", "name", "brand_id"])
-    brands = bounded_broadcast(_cols(t["brands"], "b_", ["id", "name"]), MAX_DIMENSION_ROWS)
+    brands = _small(t["brands"], "b_", ["id", "name"])
     cust = _cols(t["customers"], "u_", ["id", "address_city_id"])
-    city = bounded_broadcast(_cols(t["cities"], "y_", ["id"]), MAX_DIMENSION_ROWS)
-    cur = bounded_broadcast(_cols(t["currencies"], "k_", ["id", "name"]), MAX_DIMENSION_ROWS)
+    city = _small(t["cities"], "y_", ["id"])
+    cur = _small(t["currencies"], "k_", ["id", "name"])
     rt = _cols(rates.broadcastable(), "r_", ["code", "rate", "updated_at"])
     base = base if base is not None else base_currency_row(rates)
     known_customers = cust.join(city, F.col("u_address_city_id") == F.col("y_id"), "left_semi")
