@@ -30,6 +30,24 @@ COUNTS = ["Exchange hashpartitioning", "Exchange SinglePartition", "BroadcastExc
           "HashAggregate", "SortAggregate", "Window", "EvalPython"]
 
 
+def final_only(tree: str) -> str:
+    """Drop every "== Initial Plan ==" block (AQE prints the plan it started
+    from under the final one, also inside subqueries), so counts are of the
+    plan that ran."""
+    out, skip_deeper_than = [], None
+    for line in tree.splitlines():
+        indent = len(line) - len(line.lstrip(" :+-|"))
+        if skip_deeper_than is not None:
+            if indent >= skip_deeper_than:
+                continue
+            skip_deeper_than = None
+        if "== Initial Plan ==" in line:
+            skip_deeper_than = indent
+            continue
+        out.append(line)
+    return "\n".join(out)
+
+
 def main() -> None:
     args = [a for a in sys.argv[1:] if not a.startswith("--")]
     at_scale = "--at-scale" in sys.argv
@@ -51,8 +69,10 @@ def main() -> None:
               "AQE's runtime choices (broadcasts from measured sizes, coalesced partitions).\n")
     for key in HEADLINE:
         df = QUERIES[key](spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        # An action on the DataFrame's own query execution finalises its
+        # adaptive plan (a separate write would run a different execution).
+        df.toArrow()
+        plan = final_only(df._jdf.queryExecution().executedPlan().toString())
         counts = {c: plan.count(c) for c in COUNTS if plan.count(c)}
         pushed = sorted(set(re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan)) - {""})
         print(f"## {key}\n")
