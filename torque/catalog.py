@@ -390,10 +390,19 @@ def q_etl_run_table(spark, sf):
     return SnapshotTable(spark, f"{root}/car_sales_dataset", ["sale_id"]).read()
 
 
+_ELT_RUNS: dict[tuple, str] = {}
+
+
 def _elt(spark, sf, full_load: bool):
-    src = source(spark, sf)
-    root = scratch_path(spark, "elt")
-    run_elt(spark, src.tables(), src.rates_snapshot, WINDOW, root, full_load=full_load)
+    """One ELT run per (session, data, mode): its written destination serves
+    every key that reads it."""
+    key = (id(spark), sf.rstrip("/"), full_load)
+    root = _ELT_RUNS.get(key)
+    if root is None:
+        src = source(spark, sf)
+        root = scratch_path(spark, "elt")
+        run_elt(spark, src.tables(), src.rates_snapshot, WINDOW, root, full_load=full_load)
+        _ELT_RUNS[key] = root
     return destination(spark, root)
 
 
