@@ -4,11 +4,12 @@ and the sales fact.
 Tables are passed as a mapping ``name -> DataFrame`` so the same plans run
 over the source database (ETL) or over the loaded destination tables (ELT).
 
-Join strategy: the low-cardinality dimensions (currencies, brands, types, cities) and
-the rates snapshot are broadcast behind a counted bound, so a few-valued key
-(a brand holding a third of the sales) is never a shuffle key.  Every other join is left to the planner:
-static size estimates broadcast a small side, AQE re-plans from runtime sizes
-and splits skewed partitions (a car or customer holding a third of the sales).
+Join strategy: the low-cardinality dimensions (currencies, brands, types,
+cities) and the rates snapshot are broadcast behind a counted bound, so a
+few-valued key (a brand holding a third of the sales) is never a shuffle key.
+Every other join is left to the planner: static size estimates broadcast a
+small side, AQE re-plans from runtime sizes and splits skewed partitions (a car
+or customer holding a third of the sales).
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from .broadcast import bounded_broadcast
 
 Tables = Mapping[str, DataFrame]
 
-# Small reference tables (currencies, brands, types) are broadcast when they
-# have at most this many rows.
+# Small reference tables (currencies, brands, types, cities) are broadcast when
+# they have at most this many rows.
 MAX_DIMENSION_ROWS = 100_000
 
 
