@@ -19,6 +19,8 @@ def test_run_both_flows_from_stored_tables(spark, tmp_path):
     out = main(["--source-root", str(tmp_path / "src"), "--rates", str(tmp_path / "rates.json"),
                 "--dest-root", str(tmp_path / "dest"), "--year", "1997", "--full-load", "--buckets", "4"])
     assert out["etl"]["table_version"] == 0
+    counts = out["etl"]["rule_counts"]       # observed while the Parquet file was written
+    assert counts["input_rows"] >= counts["valid_rows"] > 0
     etl = SnapshotTable(spark, str(tmp_path / "dest" / "etl" / "car_sales_dataset")).read()
     parquet = spark.read.parquet(out["etl"]["parquet"])
     assert etl.count() == parquet.count() > 0
