@@ -68,9 +68,11 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     """M5: within one batch the last row per key wins, "last" being the greatest
     ``order`` tuple (an explicit total order; Spark has no row order).
 
-    Written as ``max(struct(order..., row...))`` per key: a hash aggregation
-    that combines map-side before the shuffle, so a key holding a third of the
-    batch leaves each map task as one row instead of being sorted in one task.
+    Written as ``max(struct(order..., row...))`` per key: an aggregation with
+    a map-side partial step before the shuffle (sort-based, as the struct
+    buffer is not fixed-width), so a key holding a third of the batch leaves
+    each map task as one row instead of being sorted in one task, as a
+    ``row_number`` window would do.
     Remaining ties are broken by the row's own columns, deterministically.
     """
     keys = list(keys)
