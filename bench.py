@@ -6,7 +6,8 @@ Each query is run to the ``noop`` sink (full execution, no output cost):
 one warm-up, then ``BENCH_RUNS`` timed runs; the median is reported.  The
 pairs ``dim_car_detail``/``dim_car_detail_semi``, ``merge_replace``/
 ``merge_replace_outer`` and ``extract_changed``/``extract_changed_coalesce``
-measure the value of a rewrite against the source form.
+measure the value of a rewrite against the source form.  ``BENCH_EVENT_LOG=1``
+writes Spark's event log (stage and task times) to a new scratch folder.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -61,8 +63,13 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     parts = shuffle_partitions_for(input_bytes(sf_dir), cpus)
-    spark = get_session(f"local[{cpus}]", parts, app="torque-bench",
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    event_log = None
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage and task times, for offline reading (the UI stays off)
+        event_log = tempfile.mkdtemp(prefix="torque-events-")
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    spark = get_session(f"local[{cpus}]", parts, app="torque-bench", extra=extra)
     times: dict[str, float] = {}
     for name, fn in HEADLINE.items():
         if only and name not in only:
@@ -85,6 +92,7 @@ def main() -> None:
         "cpus": cpus,
         "shuffle_partitions": parts,
         "runs": runs,
+        **({"event_log": event_log} if event_log else {}),
     }))
 
 
