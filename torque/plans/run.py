@@ -39,12 +39,14 @@ def run_both(spark: SparkSession, source: dict, rates: RatesSnapshot, year: int,
 
 def main(argv: list[str] | None = None) -> dict:
     ap = argparse.ArgumentParser(prog="torque")
-    ap.add_argument("--source-root", required=True)
+    ap.add_argument("--source-root", required=True, help="folder holding one table per source table name")
     ap.add_argument("--rates", required=True, help="rates document(s): file, folder or glob")
-    ap.add_argument("--dest-root", required=True)
-    ap.add_argument("--year", type=int, default=datetime.now().year - 1)
+    ap.add_argument("--dest-root", required=True, help="shared folder for the destination tables")
+    ap.add_argument("--year", type=int, default=datetime.now().year - 1,
+                    help="calendar year of the window (default: last year)")
     ap.add_argument("--full-load", action="store_true", help="first load: copy whole tables")
-    ap.add_argument("--buckets", type=int, default=64)
+    ap.add_argument("--buckets", type=int, default=64,
+                    help="hash buckets of the large destination tables (~1 GB each)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("torque").getOrCreate()
     from ..session import BASE_CONF
