@@ -17,6 +17,7 @@ def test_versions_and_reads(spark, tmp_path):
                    policies={"a": M.CUMULATIVE}) == 1
     assert rows(t.read()) == [(1, 1.0), (2, 7.0), (3, 3.0)]
     assert rows(t.read(0)) == [(1, 1.0), (2, 2.0)]
+    assert t.versions() == [0, 1]
     assert t.merge(base.filter("false"), ["k"]) == 1          # empty batch: no new version
 
 

@@ -71,15 +71,19 @@ class SnapshotTable:
         return f"{self.root}/_manifests/v={version}"
 
     # -- reading --------------------------------------------------------------
-    def current_version(self) -> int | None:
-        """Highest committed version, from the listing of manifest files (no
-        job; one file per version)."""
+    def versions(self) -> list[int]:
+        """Committed versions, oldest first, from the listing of manifest files
+        (no job; one file per version).  Any of them can be read back."""
         try:
             files = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/_manifests").inputFiles()
         except AnalysisException:
-            return None
-        versions = [int(m.group(1)) for f in files if (m := _MANIFEST_FILE.search(f))]
-        return max(versions) if versions else None
+            return []
+        return sorted({int(m.group(1)) for f in files if (m := _MANIFEST_FILE.search(f))})
+
+    def current_version(self) -> int | None:
+        """Highest committed version."""
+        versions = self.versions()
+        return versions[-1] if versions else None
 
     def exists(self) -> bool:
         return self.current_version() is not None
