@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import sentencepiece_codec, simhash, token_counts
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,15 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents, 4-word shingles, 4 bits."""
     return simhash.components(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text, and whether they decode to it."""
+    return sentencepiece_codec.encode_checked(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact token counts of every whole text."""
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"))
