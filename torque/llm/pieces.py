@@ -197,6 +197,15 @@ def split(text: str) -> list[str]:
 
 
 _MODELS: dict[str, Pieces] = {}
+_CACHES: dict[tuple[str, str], dict] = {}
+
+
+def cache(path: str, kind: str) -> dict:
+    """A worker's known words, kept from task to task and started anew beyond CACHE_WORDS."""
+    known = _CACHES.setdefault((path, kind), {})
+    if len(known) > CACHE_WORDS:
+        known.clear()
+    return known
 
 
 def load(path: str) -> Pieces:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import text_chunks
-from .pieces import CACHE_WORDS, SPACE, default_model, load, split
+from .pieces import SPACE, cache, default_model, load, split
 
 
 def _batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -38,12 +38,11 @@ def encode(docs: DataFrame, model: str | None = None, text: str = "text", ids: s
     kept = [c for c in docs.columns if c != ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, known = load(path), {}
+        pieces = load(path)
         for part, texts in _batches(batches, text):
-            if len(known) > CACHE_WORDS:
-                known = {}
+            known = cache(path, "ids")
             tokens = [split(t) for t in texts]
-            known |= pieces.encode_words({w for t in tokens for w in t} - known.keys())
+            known.update(pieces.encode_words({w for t in tokens for w in t} - known.keys()))
             packed = [b"".join([known[w] for w in t]) for t in tokens]
             ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
             values = pa.array(np.frombuffer(b"".join(packed), "<i4"))

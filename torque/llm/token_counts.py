@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_chunks
-from .pieces import CACHE_WORDS, Pieces, default_model, load, split
+from .pieces import Pieces, cache, default_model, load, split
 
 LIMIT = 4096
 
@@ -67,12 +67,11 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, known = load(path), {}
+        pieces = load(path)
         for part, data, at in text_chunks(batches):
-            if len(known) > CACHE_WORDS:
-                known = {}
+            known = cache(path, "counts")
             tokens = [split(t) for t in _texts(data, at)]
-            known |= pieces.count_words({w for t in tokens for w in t} - known.keys())
+            known.update(pieces.count_words({w for t in tokens for w in t} - known.keys()))
             n = [sum([known[w] for w in t]) for t in tokens]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(np.diff(at)), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
