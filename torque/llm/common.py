@@ -149,3 +149,14 @@ def not_space() -> np.ndarray:
     table = np.ones(256, bool)
     table[[0x20, *range(0x09, 0x0E)]] = False
     return table
+
+
+#: Rows (of an id each) up to which a side of a join is broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(ids: DataFrame) -> DataFrame:
+    """``ids`` with a broadcast hint if it has at most ``BROADCAST_ROWS`` rows; any
+    larger side is left to a shuffle join, with the same result."""
+    from pyspark.sql import functions as F
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
