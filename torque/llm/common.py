@@ -160,3 +160,21 @@ def broadcast_if_small(ids: DataFrame) -> DataFrame:
     larger side is left to a shuffle join, with the same result."""
     from pyspark.sql import functions as F
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of x[i:i + width] for every i that has so many values."""
+    span = 1
+    while span * 2 <= width:
+        x = np.minimum(x[:-span], x[span:]) if len(x) > span else x[:0]
+        span *= 2
+    rest = width - span
+    return np.minimum(x[:-rest], x[rest:]) if rest and len(x) > rest else x[:0] if rest else x
+
+
+def window_anchors(hashes: np.ndarray, width: int) -> np.ndarray:
+    """For each window of ``width`` hashes, the place of its least one (by the upper
+    32 bits, the leftmost of equals): it depends on the window's content alone."""
+    low = np.uint64(0xFFFFFFFF)
+    packed = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
+    return (sliding_min(packed, width) & low).astype(np.int64)
