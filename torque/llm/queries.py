@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, quality_rules, sentencepiece_codec, simhash, token_counts, toxicity
+from . import (decontamination, quality_rules, sentencepiece_codec, simhash, substring_dedup, suffix_dedup, token_counts,
+               toxicity)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +53,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every whole text under ten-word windows of benchmark items."""
     return decontamination.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every whole text under 400-byte strings that stand elsewhere too."""
+    return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every whole text under 50-word windows of an earlier document."""
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
