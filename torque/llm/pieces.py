@@ -26,10 +26,10 @@ import numpy as np
 from .common import GOLDEN, mix, powers
 
 SPACE = "▁"
-#: Words kept in a worker's cache; beyond it the cache starts anew (results are the same).
+#: Words kept in a worker's cache (results are the same with any number).
 CACHE_WORDS = 300_000
 #: Fewer words of one length than this are advanced by the plain loop.
-FEW = 8
+FEW = 200
 
 
 def default_model() -> str:
@@ -57,7 +57,9 @@ class Pieces:
         if any(SPACE in t.lstrip(SPACE) or "\n" in t for t in self.id_of):
             raise ValueError("a piece crosses a word's start or a line's end")
         self.longest = max(map(len, self.id_of))
-        self._fits: dict[int, bool] = {}
+        self._fits: dict[int, bool] = {}                    # pairs seen lately
+        self._pairs = np.zeros(0, np.int64)                 # all others, sorted
+        self._pairs_fit = np.zeros(0, bool)
         keys = np.array([self._key(t) for t in self.id_of], np.uint64)
         order = np.argsort(keys)
         self.keys, self.key_ids = keys[order], np.fromiter(self.id_of.values(), np.int64)[order]
@@ -96,6 +98,26 @@ class Pieces:
             known = self._fits[code] = self._merge("".join(alone)) == alone
         return known
 
+    def _fit(self, pairs: np.ndarray) -> np.ndarray:
+        """``fits`` for codes (before + 1) * size + piece."""
+        out, new = np.zeros(len(pairs), bool), np.ones(len(pairs), bool)
+        if len(self._pairs):
+            at = np.minimum(np.searchsorted(self._pairs, pairs), len(self._pairs) - 1)
+            new = self._pairs[at] != pairs
+            out = self._pairs_fit[at] & ~new
+        if new.any():
+            codes, back = np.unique(pairs[new], return_inverse=True)
+            out[new] = np.array([self.fits(c // self.size - 1, c % self.size) for c in codes.tolist()], bool)[back]
+        return out
+
+    def _settle(self) -> None:
+        """Move the pairs seen lately to the sorted ones."""
+        if len(self._fits) > 2000 + len(self._pairs) // 20:
+            codes = np.concatenate([self._pairs, np.fromiter(self._fits, np.int64)])
+            ok = np.concatenate([self._pairs_fit, np.fromiter(self._fits.values(), bool)])
+            order = np.argsort(codes, kind="stable")
+            self._pairs, self._pairs_fit, self._fits = codes[order], ok[order], {}
+
     # -- tables -----------------------------------------------------------------
     def table(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For words of one length n, (last, size, count), each len(words) x (n + 1):
@@ -124,8 +146,7 @@ class Pieces:
                 if not len(rows):
                     continue
                 piece = self.key_ids[at[rows]]
-                pairs, back = np.unique((last[rows, j] + 1) * self.size + piece, return_inverse=True)
-                ok = np.array([self.fits(p // self.size - 1, p % self.size) for p in pairs.tolist()], bool)[back]
+                ok = self._fit((last[rows, j] + 1) * self.size + piece)
                 # One candidate fits, so the maximum over lengths is that one.
                 found[rows] = np.maximum(found[rows], np.where(ok, piece, -1))
                 length[rows[ok]] = i - j
@@ -186,6 +207,7 @@ class Pieces:
             step = max(1, (1 << 20) // (n + 1))
             for lo in range(0, len(group), step):
                 yield group[lo:lo + step], self.table(group[lo:lo + step])
+                self._settle()
 
 
 _SPLIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -201,11 +223,16 @@ _CACHES: dict[tuple[str, str], dict] = {}
 
 
 def cache(path: str, kind: str) -> dict:
-    """A worker's known words, kept from task to task and started anew beyond CACHE_WORDS."""
-    known = _CACHES.setdefault((path, kind), {})
+    """A worker's known words, kept from task to task."""
+    return _CACHES.setdefault((path, kind), {})
+
+
+def trim(known: dict, words: set) -> None:
+    """Beyond CACHE_WORDS, only the ``words`` of the texts at hand stay known."""
     if len(known) > CACHE_WORDS:
+        kept = {w: known[w] for w in words}
         known.clear()
-    return known
+        known.update(kept)
 
 
 def load(path: str) -> Pieces:

@@ -18,16 +18,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import text_chunks
-from .pieces import SPACE, cache, default_model, load, split
+from .pieces import SPACE, cache, default_model, load, split, trim
 
 
 def _batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    for part, data, at in text_chunks(batches, column):
+    for part, data, at in text_chunks(batches, column, 4 << 20):
         raw = data.tobytes()
         yield part, [raw[a:b].decode() for a, b in zip(at[:-1], at[1:], strict=True)]
 
@@ -42,8 +43,10 @@ def encode(docs: DataFrame, model: str | None = None, text: str = "text", ids: s
         for part, texts in _batches(batches, text):
             known = cache(path, "ids")
             tokens = [split(t) for t in texts]
-            known.update(pieces.encode_words({w for t in tokens for w in t} - known.keys()))
+            distinct = {w for t in tokens for w in t}
+            known.update(pieces.encode_words(distinct - known.keys()))
             packed = [b"".join([known[w] for w in t]) for t in tokens]
+            trim(known, distinct)
             ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
             values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), values)],
@@ -53,12 +56,36 @@ def encode(docs: DataFrame, model: str | None = None, text: str = "text", ids: s
     return docs.select(*kept).mapInArrow(run, schema)
 
 
-def _decoder(path: str):
-    pieces = load(path)
-    out = [t.replace(SPACE, " ").encode() if t in pieces.id_of else b"" for t in pieces.text]
-    for b, i in enumerate(pieces.byte_ids):
-        out[i] = bytes([b])
-    return out
+#: Ids decoded at once.
+DECODE_IDS = 1 << 19
+
+
+class Decoder:
+    """The bytes of every id, end to end, so that numpy can gather them."""
+
+    def __init__(self, path: str):
+        pieces = load(path)
+        out = [t.replace(SPACE, " ").encode() if t in pieces.id_of else b"" for t in pieces.text]
+        for b, i in enumerate(pieces.byte_ids):
+            out[i] = bytes([b])
+        self.nothing = out.index(b"")       # a control piece
+        self.length = np.array([len(x) for x in out], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.bytes = np.frombuffer(b"".join(out), np.uint8)
+
+    def __call__(self, ids: np.ndarray) -> bytes:
+        parts = []
+        for lo in range(0, len(ids), DECODE_IDS):
+            some = ids[lo:lo + DECODE_IDS]
+            n = self.length[some]
+            end = np.cumsum(n)
+            at = np.arange(end[-1]) + np.repeat(self.start[some] - end + n, n)
+            parts.append(self.bytes[at].tobytes())
+        return b"".join(parts)
+
+    def ends(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where each row's bytes end, for rows that end at ``at``."""
+        return np.r_[0, np.cumsum(self.length[ids])][at]
 
 
 def decode(encoded: DataFrame, model: str | None = None, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -67,15 +94,21 @@ def decode(encoded: DataFrame, model: str | None = None, ids: str = "ids", text:
     kept = [c for c in encoded.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _decoder(path)
+        decoder = Decoder(path)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 column = part.column(part.schema.get_field_index(ids))
-                texts = [None if not x.is_valid else
-                         b"".join([table[i] for i in x.values.to_pylist() if i is not None])
-                         for x in column]
-                texts = [t if t is None else t[t[:1] == b" ":].decode("utf-8", "replace") for t in texts]
+                flat = column.flatten()                             # without null rows
+                n = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                at = np.r_[0, np.cumsum(n)]
+                known = flat.is_valid().to_numpy(zero_copy_only=False)
+                values = pc.fill_null(flat, 0).to_numpy(zero_copy_only=False)
+                values = np.where(known, values, decoder.nothing) if not known.all() else values
+                raw, ends = decoder(values), decoder.ends(values, at)
+                texts = [None if null else raw[a + (raw[a:a + 1] == b" " and a < b):b].decode("utf-8", "replace")
+                         for a, b, null in zip(ends[:-1].tolist(), ends[1:].tolist(),
+                                               column.is_null().to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
                                                  [*part.schema.names, text])
 

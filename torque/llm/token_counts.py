@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_chunks
-from .pieces import Pieces, cache, default_model, load, split
+from .pieces import Pieces, cache, default_model, load, split, trim
 
 LIMIT = 4096
 
@@ -68,11 +68,13 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path)
-        for part, data, at in text_chunks(batches):
+        for part, data, at in text_chunks(batches, max_bytes=4 << 20):
             known = cache(path, "counts")
             tokens = [split(t) for t in _texts(data, at)]
-            known.update(pieces.count_words({w for t in tokens for w in t} - known.keys()))
+            distinct = {w for t in tokens for w in t}
+            known.update(pieces.count_words(distinct - known.keys()))
             n = [sum([known[w] for w in t]) for t in tokens]
+            trim(known, distinct)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(np.diff(at)), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
