@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontamination, quality_rules, sentencepiece_codec, simhash, substring_dedup, suffix_dedup, token_counts,
-               toxicity)
+from . import (decontamination, line_dedup, quality_rules, sentencepiece_codec, simhash, substring_dedup, suffix_dedup,
+               token_counts, toxicity)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,9 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every whole text under 50-word windows of an earlier document."""
     return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every whole text that stand earlier, up to two edits."""
+    return line_dedup.line_dedup(read_table(spark, sf_dir, "documents"))
