@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontamination, line_dedup, quality_rules, sentencepiece_codec, simhash, substring_dedup, suffix_dedup,
-               token_counts, toxicity)
+from . import (decontamination, line_dedup, lm_scoring, quality_rules, sentencepiece_codec, simhash, substring_dedup,
+               suffix_dedup, token_counts, toxicity)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every whole text that stand earlier, up to two edits."""
     return line_dedup.line_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every whole text, trusted documents against all."""
+    return lm_scoring.lm_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
