@@ -35,6 +35,7 @@ def test_failure_before_publish_keeps_old_version(spark, tmp_path):
     with pytest.raises(Exception):
         t.write(spark.createDataFrame([(3, 3.0)], "k bigint, a double"), version=1)
     assert t.current_version() == 1
+    assert rows(t.read()) == [(2, 2.0)]                       # the losing writer changed nothing
 
 
 def test_parquet_sink_name(spark, tmp_path):
@@ -64,3 +65,47 @@ def test_emptied_table_reads_as_empty_with_schema(spark, tmp_path):
     assert empty is not None and empty.count() == 0 and empty.columns == ["k", "a"]
     t.merge(spark.createDataFrame([(3, 3.0)], "k bigint, a double"))
     assert rows(t.read()) == [(3, 3.0)]
+
+
+def thousand(spark, root, buckets=8):
+    t = SnapshotTable(spark, root, ["k"], buckets)
+    t.write(spark.range(1000).selectExpr("id as k", "cast(id as int) as a"))
+    return t
+
+
+def test_narrower_key_type_updates_the_right_row(spark, tmp_path):
+    t = thousand(spark, str(tmp_path / "t"))
+    t.merge(spark.createDataFrame([(5, -1)], "k int, a int"))
+    got = {r.k: r.a for r in t.read().collect()}
+    assert t.read().count() == 1000 and got == {k: -1 if k == 5 else k for k in range(1000)}
+    t.delete(spark.createDataFrame([(5,), (7,)], "k int"))
+    assert {r.k for r in t.read().collect()} == set(range(1000)) - {5, 7}
+
+
+def test_bucket_count_and_key_are_stored(spark, tmp_path):
+    root = str(tmp_path / "t")
+    thousand(spark, root)
+    with pytest.raises(ValueError):
+        SnapshotTable(spark, root, ["k"], 4)
+    with pytest.raises(ValueError):
+        SnapshotTable(spark, root, ["a"])
+    again = SnapshotTable(spark, root)
+    again.merge(spark.createDataFrame([(5, -1)], "k bigint, a int"), keys=["k"])
+    assert (again.keys, again.buckets) == (["k"], 8)
+    got = [(r.k, r.a) for r in SnapshotTable(spark, root, ["k"], 8).read().collect()]
+    assert sorted(got) == sorted((k, -1 if k == 5 else k) for k in range(1000))
+
+
+def test_new_column_and_lossy_types(spark, tmp_path):
+    t = thousand(spark, str(tmp_path / "t"))
+    stamp = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    t.merge(spark.createDataFrame([(5, -1)], "k bigint, a int"), synced_at=stamp)
+    out = t.read()
+    assert out.columns == ["k", "a", "synced_at"]
+    assert [r.k for r in out.filter("synced_at is not null").collect()] == [5]
+    t.merge(spark.createDataFrame([(6, -2), (2000, 1)], "k bigint, a smallint"))
+    got = {r.k: (r.a, r.synced_at is not None) for r in t.read().collect()}
+    assert len(got) == 1001 and got[5] == (-1, True) and got[6] == (-2, False)
+    with pytest.raises(ValueError):
+        t.merge(spark.createDataFrame([(5, 1.5)], "k bigint, a double"))
+    assert {r.k: r.a for r in t.read().collect()}[5] == -1

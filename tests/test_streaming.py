@@ -40,5 +40,19 @@ def test_restart_continues_from_checkpoint(spark, tmp_path):
 def test_land_in_parts_splits_by_residue(spark, tmp_path):
     df = spark.range(10).select(F.col("id").alias("event_id"))
     land_in_parts(df, str(tmp_path), F.col("event_id"), 3)
-    assert sorted(spark.read.parquet(str(tmp_path / "part-1")).collect()) == sorted(
+    assert sorted(spark.read.parquet(str(tmp_path / "part=1")).collect()) == sorted(
         r for r in df.filter("event_id % 3 = 1").collect())
+
+
+def test_stream_onto_a_loaded_table_keeps_every_row(spark, tmp_path):
+    table, landing = str(tmp_path / "table"), str(tmp_path / "in")
+    t = SnapshotTable(spark, table, ["user_id"], 4)
+    t.merge(ev(spark, [(1, "2024-01-01", 1, 1.0)]))
+    t.merge(ev(spark, [(2, "2024-01-01", 2, 1.0)]))
+    new = ev(spark, [(3, "2024-02-01", 2, 3.0), (4, "2024-02-01", 3, 4.0)])
+    new.coalesce(1).write.parquet(f"{landing}/a")
+    for _ in range(2):                                  # the second run finds nothing new
+        q = start_upsert_stream(spark, f"{landing}/*", new.schema, table, str(tmp_path / "ckpt"), ["user_id"], ["ts", "event_id"])
+        q.awaitTermination()
+    assert {r.user_id: r.event_id for r in SnapshotTable(spark, table).read().collect()} == {1: 1, 2: 3, 3: 4}
+    assert SnapshotTable(spark, table).current_version() == 2

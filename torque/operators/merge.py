@@ -22,6 +22,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .broadcast import MAX_BROADCAST_KEY_ROWS, bounded_broadcast
 
@@ -64,6 +65,36 @@ def resolve(policy: str, old: Column, new: Column, update_only: bool = False) ->
     raise ValueError(f"unknown policy {policy!r}; expected one of {POLICIES}")
 
 
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _widens(a: T.DataType, b: T.DataType) -> bool:
+    """Whether every value of type ``a`` is a value of type ``b``."""
+    if isinstance(a, _INTEGERS) and isinstance(b, _INTEGERS):
+        return _INTEGERS.index(type(a)) <= _INTEGERS.index(type(b))
+    if isinstance(a, _INTEGERS) and isinstance(b, T.DecimalType):
+        return b.precision - b.scale >= (3, 5, 10, 19)[_INTEGERS.index(type(a))]
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        return b.scale >= a.scale and b.precision - b.scale >= a.precision - a.scale
+    pairs = ((T.FloatType, T.DoubleType), (T.ByteType, T.DoubleType), (T.ShortType, T.DoubleType),
+             (T.IntegerType, T.DoubleType), (T.ByteType, T.FloatType), (T.ShortType, T.FloatType),
+             (T.DateType, T.TimestampNTZType), (T.CharType, T.StringType), (T.VarcharType, T.StringType))
+    return isinstance(a, T.NullType) or any(isinstance(a, x) and isinstance(b, y) for x, y in pairs)
+
+
+def conform(df: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
+    """``df`` with the columns of ``types`` in those types.  A cast that could lose
+    values (bigint to int, double to int, text to number) is refused."""
+    out = []
+    for f in df.schema.fields:
+        want = types.get(f.name, f.dataType)
+        if f.dataType.simpleString() != want.simpleString() and not _widens(f.dataType, want):
+            raise ValueError(f"column {f.name}: {f.dataType.simpleString()} does not fit the table's "
+                             f"{want.simpleString()}; cast it explicitly")
+        out.append(F.col(f.name).cast(want).alias(f.name))
+    return df.select(*out)
+
+
 def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """M5: within one batch the last row per key wins, "last" being the greatest
     ``order`` tuple (an explicit total order; Spark has no row order).
@@ -89,8 +120,73 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
         if c not in source_of and c not in keys:
             source_of[c] = f"__c{i}"
             fields.append(F.col(c).alias(source_of[c]))
-    best = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("__best"))
-    return best.select(*[(F.col(c) if c in keys else F.col(f"__best.{source_of[c]}")).alias(c) for c in cols])
+    whole = _no_null(keys)
+    best = df.filter(whole).groupBy(*keys).agg(F.max(F.struct(*fields)).alias("__best"))
+    best = best.select(*[(F.col(c) if c in keys else F.col(f"__best.{source_of[c]}")).alias(c) for c in cols])
+    if not any(f.nullable for f in df.schema.fields if f.name in keys):
+        return best
+    return best.unionByName(df.filter(~whole))
+
+
+def _no_null(keys: Sequence[str]) -> Column:
+    cond = F.col(keys[0]).isNotNull()
+    for k in keys[1:]:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def fold_batch(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+               policies: Mapping[str, str] | None = None, default_policy: str = REPLACE,
+               update_only: bool = False) -> DataFrame:
+    """One row per key that has the effect of the batch's rows applied one after
+    another in ``order`` (a total order), each column by its policy:
+
+    REPLACE      the last value, null included
+    CUMULATIVE   the sum; null once any value is null
+    PROGRESS     the first value that is not null
+    SKIP_IF_NULL the last value that is not null
+    CONCAT       all values that are not null, joined in order
+
+    Rows with a null key part match nothing and stay as they are.  First, last
+    and sum combine map-side, so a hot key is one row per task; CONCAT's
+    result holds every value of its key by its meaning, so its values are
+    collected."""
+    policies, keys = dict(policies or {}), list(keys)
+    place = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"o{i}") for i, c in enumerate(order)],
+                     *[F.col(c).alias(f"r{i}") for i, c in enumerate(df.columns) if c not in keys])
+    rows = df.filter(_no_null(keys)).withColumn("__place", place)
+    aggs = []
+    for c in df.columns:
+        if c in keys:
+            continue
+        policy, v = policies.get(c, default_policy), F.col(c)
+        if policy == CONCAT and update_only:
+            policy = REPLACE
+        if policy == REPLACE:
+            value = F.max_by(v, "__place")
+        elif policy == CUMULATIVE:
+            value = F.when(F.count(v) == F.count(F.lit(1)), F.sum(v))
+        elif policy == PROGRESS:
+            value = F.min_by(v, F.when(v.isNotNull(), F.col("__place")))
+        elif policy == SKIP_IF_NULL:
+            value = F.max_by(v, F.when(v.isNotNull(), F.col("__place")))
+        elif policy == CONCAT:
+            parts = F.collect_list(F.when(v.isNotNull(), F.struct(F.col("__place").alias("p"), v.alias("v"))))
+            value = F.when(F.count(v) > 0, F.array_join(F.transform(F.sort_array(parts), lambda x: x["v"]),
+                                                        CONCAT_SEPARATOR))
+        else:
+            raise ValueError(f"unknown policy {policy!r}; expected one of {POLICIES}")
+        aggs.append(value.cast(df.schema[c].dataType).alias(c))
+    if not aggs:
+        return df.filter(_no_null(keys)).distinct().unionByName(df.filter(~_no_null(keys)))
+    folded = rows.groupBy(*keys).agg(*aggs).select(*df.columns)
+    return folded.unionByName(df.filter(~_no_null(keys)))
+
+
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Refuse a batch that holds a key twice: without an order its rows have none."""
+    if not df.filter(_no_null(keys)).groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise ValueError("the batch repeats a key; pass dedupe_order, the order in which its rows apply")
 
 
 def _key_condition(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -109,7 +205,8 @@ def _align(df: DataFrame, columns: Sequence[str], types: Mapping[str, str]) -> D
 def merge(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
           policies: Mapping[str, str] | None = None, default_policy: str = REPLACE,
           synced_at: Column | None = None, dedupe_order: Sequence[str | Column] | None = None,
-          strategy: str = "split", broadcast_key_rows: int = MAX_BROADCAST_KEY_ROWS) -> DataFrame:
+          strategy: str = "split", broadcast_key_rows: int = MAX_BROADCAST_KEY_ROWS,
+          check_unique: bool = True) -> DataFrame:
     """Upsert ``incoming`` into ``target`` by ``keys``.
 
     * Only columns present in ``incoming`` change on a conflict; the others
@@ -121,8 +218,10 @@ def merge(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
       reproducible job) stamps every inserted or updated row.
     * ``keys=[]`` is a plain append.  A missing target is an initial load.
     * Null key parts never match (SQL equality), so such rows insert.
-    * ``dedupe_order`` makes the last row per key win inside the batch (M5);
-      without it the batch must already be unique by key.
+    * ``dedupe_order`` is the order in which the batch's rows apply: rows of one
+      key are folded by the policies first (M5, ``fold_batch``).  Without it a
+      batch that repeats a key is refused (``check_unique=False``: the caller
+      knows that it does not).
     * ``strategy``: ``split`` (anti + semi joins, target not shuffled for a
       small batch) or ``outer`` (one full outer join, shuffles the target).
     * ``broadcast_key_rows``: the batch keys are broadcast when there are at
@@ -130,8 +229,10 @@ def merge(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
     """
     policies = dict(policies or {})
     keys = list(keys)
-    if dedupe_order is not None and keys:
-        incoming = dedupe_last(incoming, keys, dedupe_order)
+    if keys and dedupe_order is not None:
+        incoming = fold_batch(incoming, keys, dedupe_order, policies, default_policy)
+    elif keys and check_unique:
+        require_unique(incoming, keys)
     if synced_at is not None:
         incoming = incoming.withColumn(SYNCED_AT, synced_at.cast("timestamp_ntz"))
     if target is None:
@@ -139,6 +240,7 @@ def merge(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
     if not keys:
         return target.unionByName(incoming, allowMissingColumns=True)
 
+    incoming = conform(incoming, {f.name: f.dataType for f in target.schema.fields})
     t_types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
     s_types = {f.name: f.dataType.simpleString() for f in incoming.schema.fields}
     out_cols = list(target.columns) + [c for c in incoming.columns if c not in t_types]
@@ -202,16 +304,22 @@ def _merge_outer(target, incoming, keys, policies, default_policy, out_cols, typ
 
 def update_only(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                 policies: Mapping[str, str] | None = None, default_policy: str = REPLACE,
-                synced_at: Column | None = None,
-                broadcast_key_rows: int = MAX_BROADCAST_KEY_ROWS) -> DataFrame:
+                synced_at: Column | None = None, dedupe_order: Sequence[str | Column] | None = None,
+                broadcast_key_rows: int = MAX_BROADCAST_KEY_ROWS, check_unique: bool = True) -> DataFrame:
     """Apply a batch of updates; rows whose key is not in the target are
     ignored (never inserted).  Every key column is matched.  Only supplied
     columns change; CONCAT acts as REPLACE; ``synced_at`` stamps updated rows
-    unless the batch carries its own."""
+    unless the batch carries its own.  Rows of one key apply in ``dedupe_order``;
+    without it a repeated key is refused."""
     keys = list(keys)
     if not keys:
         raise ValueError("update_only needs a key: a keyless update would rewrite every row")
     policies = dict(policies or {})
+    if dedupe_order is not None:
+        incoming = fold_batch(incoming, keys, dedupe_order, policies, default_policy, update_only=True)
+    elif check_unique:
+        require_unique(incoming, keys)
+    incoming = conform(incoming, {f.name: f.dataType for f in target.schema.fields})
     if synced_at is not None and SYNCED_AT not in incoming.columns:
         incoming = incoming.withColumn(SYNCED_AT, synced_at.cast("timestamp_ntz"))
     t_cols = list(target.columns)
@@ -281,10 +389,11 @@ def append_strict(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -
     return target.unionByName(incoming, allowMissingColumns=True)
 
 
-def load_table(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+def load_table(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
+               dedupe_order: Sequence[str | Column] | None = None) -> DataFrame:
     """Generic table load: upsert every supplied column by the key
-    (composite keys allowed).  An empty batch is a no-op: the current table is
+    (composite keys allowed), rows of one key in ``dedupe_order``.  An empty batch is a no-op: the current table is
     returned as is, so no new version needs writing."""
     if target is not None and incoming.isEmpty():
         return target
-    return merge(target, incoming, keys)
+    return merge(target, incoming, keys, dedupe_order=dedupe_order)

@@ -37,7 +37,7 @@ SMALL_TABLES = {"brands", "types", "currencies", "cities", "currency_rates"}
 CHANGE_ORDERED = {"brands", "types", "currencies", "cities", "cars", "customers", "car_sales"}
 
 
-def table(spark: SparkSession, dest_root: str, name: str, buckets: int) -> SnapshotTable:
+def table(spark: SparkSession, dest_root: str, name: str, buckets: int | None) -> SnapshotTable:
     return SnapshotTable(spark, f"{dest_root}/{name}", schemas.PRIMARY_KEYS[name],
                          1 if name in SMALL_TABLES else buckets,
                          sort_by=[F.coalesce(F.col("updated_at"), F.col("created_at"))]
@@ -60,7 +60,7 @@ def destination(spark: SparkSession, dest_root: str) -> dict[str, DataFrame]:
 
 
 def run_elt(spark: SparkSession, source: Tables, rates: RatesSnapshot, window: Window,
-            dest_root: str, full_load: bool = False, buckets: int = 4,
+            dest_root: str, full_load: bool = False, buckets: int | None = None,
             parallel_loads: int = 4) -> dict[str, int | None]:
     """Run the flow.  ``full_load`` copies whole tables instead of the window's
     changes (a first load: the incremental flow only joins dimension rows it
@@ -81,9 +81,10 @@ def run_elt(spark: SparkSession, source: Tables, rates: RatesSnapshot, window: W
     dest = destination(spark, dest_root)
     if not all(n in dest for n in LOAD_ORDER):
         return versions  # nothing loaded yet for some table: no dimension or fact
-    dest_rates = RatesSnapshot(dest["currency_rates"], rates.base_code)
+    n_codes = dest["currency_rates"].count()
+    dest_rates = RatesSnapshot(dest["currency_rates"], rates.base_code, n_codes=n_codes)
     dim = dim_car_detail_semi(dest, window)
-    versions["dimension_car_detail"] = table(spark, dest_root, "dimension_car_detail", buckets).merge(dim, stage=True)
+    versions["dimension_car_detail"] = table(spark, dest_root, "dimension_car_detail", buckets).merge(dim)
     fact = fact_sales(dest, dest_rates, window)
-    versions["fact_car_sales_dataset"] = table(spark, dest_root, "fact_car_sales_dataset", buckets).merge(fact, stage=True)
+    versions["fact_car_sales_dataset"] = table(spark, dest_root, "fact_car_sales_dataset", buckets).merge(fact)
     return versions

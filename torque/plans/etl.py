@@ -17,6 +17,7 @@ from ..functions.normalize import normalize_currency
 from ..functions.windows import Window, parquet_name
 from ..operators import quality as Q
 from ..operators.star import Tables, sales_wide, to_dataset
+from ..session import scratch_path
 from ..sources import snapshots
 from ..sources.rates import RatesSnapshot
 
@@ -43,21 +44,22 @@ def etl_dataset(t: Tables, rates: RatesSnapshot, window: Window, **kw) -> DataFr
 
 def run_etl(spark: SparkSession, t: Tables, rates: RatesSnapshot, window: Window,
             dest_root: str, target_code: str = "USD", mode: str = "floor",
-            buckets: int = 4) -> dict:
+            buckets: int | None = None) -> dict:
     """Run the flow with writes: upsert into the ``car_sales_dataset`` snapshot
     table and write the 15-column Parquet file named by the window.
 
-    The valid rows are written once as the Parquet file (with the rule counts
-    observed on the way); the upsert then reads that file, so the extract is
-    not computed twice and a lost executor only recomputes from the file."""
+    The valid rows are written once to the work folder (with the rule counts
+    observed on the way), checked and upserted from there, and the windowed
+    file is written from the same rows last: a batch that breaks a constraint
+    changes nothing that readers see."""
     frames = etl_frames(t, rates, window, target_code, mode, rules={})
     valid, obs = Q.observed_rules(frames.normalized, Q.etl_rules())
-    name = parquet_name("car_sales_dataset", window)
-    pq_path = f"{dest_root}/parquet/{name}.parquet"
-    valid.select(*schemas.NORMALIZED_COLUMNS).write.mode("overwrite").parquet(pq_path)
+    staged = scratch_path(spark, "etl-valid")
+    valid.select(*schemas.NORMALIZED_COLUMNS).write.parquet(staged)
     counts = obs.get
-    written = spark.read.parquet(pq_path)
-    table = snapshots.SnapshotTable(spark, f"{dest_root}/car_sales_dataset", ["sale_id"], buckets)
+    written = spark.read.parquet(staged)
     incoming = Q.check(to_dataset(written), Q.dataset_constraints(), ["sale_id"], mode="fail")
+    table = snapshots.SnapshotTable(spark, f"{dest_root}/car_sales_dataset", ["sale_id"], buckets)
     version = table.merge(incoming)
-    return {"parquet": pq_path, "table_version": version, "rule_counts": counts}
+    path = snapshots.parquet_sink(written, f"{dest_root}/parquet", parquet_name("car_sales_dataset", window))
+    return {"parquet": path, "table_version": version, "rule_counts": counts}

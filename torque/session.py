@@ -63,7 +63,7 @@ def work_dir(spark: SparkSession) -> str:
         return root.rstrip("/")
     if _LOCAL_ROOT is None and spark.sparkContext.getCheckpointDir():
         return spark.sparkContext.getCheckpointDir().rstrip("/")   # set on the context by the caller
-    if not spark.sparkContext.master.startswith("local"):
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
         # A machine-local folder is invisible to other executors and lost with
         # the machine: on a cluster the shared folder must be named.
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")

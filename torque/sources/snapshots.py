@@ -1,46 +1,49 @@
 """Versioned Parquet tables with all-or-nothing publish.
 
-A table is hash-bucketed by its key into ``buckets`` buckets.  Each version
-rewrites only the buckets its batch touches; a manifest says which version
-holds each bucket::
-
-    <root>/data/v=<n>/__b=<bucket>/part-*.parquet   buckets rewritten by version n
-    <root>/_manifests/v=<n>/part-*.json             (mv, bucket, version) for every bucket
-
-* Readers take the highest committed manifest and read the listed bucket
-  folders: a version is visible only once its manifest exists.
-* A job that dies before writing its manifest leaves the previous version
-  current; re-running version ``n`` overwrites its own uncommitted data from
-  version ``n-1`` again, which keeps non-idempotent policies (CUMULATIVE,
-  CONCAT) correct under retries and lost executors.
+A table is hash-bucketed by its key.  Each version rewrites only the buckets
+its batch touches; a manifest says which attempt's folder holds each bucket::
+
+    <root>/data/att=<version>-<id>/__b=<bucket>/part-*.parquet
+    <root>/_manifests/v=<n>/part-*.json   (mv, bucket, att) per bucket, and one row of metadata
+
+* The metadata row holds the table's schema, key columns, bucket count and the
+  last batch of every stream.  They are fixed by the first version: a batch is
+  cast to the stored types before its keys are hashed, a lossy cast or another
+  bucket count or key is refused, and reads use the stored schema.
+* Readers take the highest committed manifest: a version is visible only once
+  its manifest exists.  Every attempt writes into a folder of its own that
+  only its own manifest names, so a writer that fails, or loses a race for a
+  version, leaves the committed one as it is.
 * Two writers racing for one version cannot both commit: the manifest is
   written with ``errorifexists``.
 * A small batch against a huge table reads and rewrites only the buckets of
-  its keys; ``buckets=1`` rewrites the table each time (small tables).
+  its keys.  Manifests are read and written as DataFrames; the driver holds
+  one metadata row and the names of the attempts still in use.
 
-The manifest holds one row per bucket, so what the driver reads is bounded
-by the bucket count, never by the data.  Everything goes through the
-DataFrame reader and writer, so the same code runs on any Hadoop-compatible
-store the cluster names (``spark.checkpoint.dir``).
+Everything goes through the DataFrame reader and writer, so the same code runs
+on any Hadoop-compatible store.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import merge as M
-from ..session import work_dir
+from ..session import scratch_path
 
-BUCKET = "__b"
-EMPTY = -1  # manifest / folder id of the schema-only marker of an emptied table
-_BUCKET_DIR = re.compile(r"/__b=(-?\d+)/")
+BUCKET, ATTEMPT = "__b", "att"
+META = -1  # bucket number of the metadata row
+DEFAULT_BUCKETS = 16
 _MANIFEST_FILE = re.compile(r"/_manifests/v=(\d+)/part-[^/]*$")
-MANIFEST_SCHEMA = "mv bigint, bucket int, version bigint"
+MANIFEST_SCHEMA = "mv bigint, bucket int, att string, meta string"
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -50,30 +53,37 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (), buckets: int = 1,
+    """``keys`` and ``buckets`` are needed for a new table; an existing one knows them
+    (``keys=()`` and ``buckets=None`` take what is stored, anything else must equal it)."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (), buckets: int | None = None,
                  sort_by: Sequence[str | Column] = ()):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
-        self.buckets = buckets if self.keys else 1
+        self.asked = buckets
+        self.buckets = (buckets or DEFAULT_BUCKETS) if self.keys else 1
         # Order of rows inside each written file: row-group min/max statistics
         # then let range filters (change windows) skip most of a bucket.
         self.sort_by = list(sort_by)
+        version = self.current_version()
+        if version is not None:
+            self._adopt(self.metadata(version))
 
-    # -- layout ---------------------------------------------------------------
-    def _data(self, version: int) -> str:
-        return f"{self.root}/data/v={version}"
-
-    def _bucket_path(self, bucket: int, version: int) -> str:
-        return f"{self._data(version)}/{BUCKET}={bucket}"
+    def _adopt(self, meta: Mapping) -> None:
+        if self.keys and self.keys != meta["keys"]:
+            raise ValueError(f"{self.root}: the table's key is {meta['keys']}, not {self.keys}")
+        if self.asked is not None and meta["keys"] and self.asked != meta["buckets"]:
+            raise ValueError(f"{self.root}: the table has {meta['buckets']} buckets, not {self.asked}")
+        self.keys, self.buckets = meta["keys"], meta["buckets"]
 
+    # -- layout ---------------------------------------------------------------
     def _manifest(self, version: int) -> str:
         return f"{self.root}/_manifests/v={version}"
 
-    # -- reading --------------------------------------------------------------
     def versions(self) -> list[int]:
         """Committed versions, oldest first, from the listing of manifest files
-        (no job; one file per version).  Any of them can be read back."""
+        (no job).  Any of them can be read back."""
         try:
             files = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/_manifests").inputFiles()
         except AnalysisException:
@@ -88,104 +98,128 @@ class SnapshotTable:
     def exists(self) -> bool:
         return self.current_version() is not None
 
+    def entries(self, version: int) -> DataFrame:
+        """(bucket, att): which attempt holds each bucket of a version."""
+        return (self.spark.read.schema(MANIFEST_SCHEMA).json(self._manifest(version))
+                .filter(F.col("bucket") >= 0).select("bucket", "att"))
+
+    def metadata(self, version: int) -> dict:
+        """The version's schema, keys, bucket count and stream positions: one row."""
+        row = (self.spark.read.schema(MANIFEST_SCHEMA).json(self._manifest(version))
+               .filter(F.col("bucket") == META).select("meta").first())
+        return json.loads(row["meta"])
+
     def manifest(self, version: int) -> dict[int, int]:
-        """bucket -> version holding it (one row per bucket: bounded)."""
-        rows = self.spark.read.schema(MANIFEST_SCHEMA).json(self._manifest(version)).collect()
-        return {int(r["bucket"]): int(r["version"]) for r in rows if r["bucket"] >= 0}
+        """bucket -> version that wrote it, for inspection (one row per bucket)."""
+        return {r["bucket"]: int(r["att"].split("-")[0]) for r in self.entries(version).collect()}
 
-    def read(self, version: int | None = None, buckets: Sequence[int] | None = None,
-             manifest: dict[int, int] | None = None) -> DataFrame | None:
+    def stream_position(self, stream: str) -> int | None:
+        """The last batch of a stream that the table holds."""
+        version = self.current_version()
+        return None if version is None else self.metadata(version)["streams"].get(stream)
+
+    # -- reading --------------------------------------------------------------
+    def read(self, version: int | None = None, buckets: DataFrame | None = None) -> DataFrame | None:
+        """A version (default the current one); ``buckets`` (a column ``bucket``) restricts it."""
         v = self.current_version() if version is None else version
         if v is None:
             return None
-        man = self.manifest(v) if manifest is None else manifest
-        wanted = man if buckets is None else {b: man[b] for b in buckets if b in man}
-        if not wanted:
-            if not man:
-                try:  # an emptied table keeps a schema-only marker
-                    return self.spark.read.parquet(self._bucket_path(EMPTY, v))
-                except AnalysisException:
-                    return None
-            b0 = next(iter(man))
-            return self.spark.read.parquet(self._bucket_path(b0, man[b0])).limit(0)
-        return self.spark.read.parquet(*[self._bucket_path(b, ver) for b, ver in sorted(wanted.items())])
+        schema = T.StructType.fromJson(self.metadata(v)["schema"])
+        held = self.entries(v)
+        if buckets is not None:
+            held = held.join(buckets, "bucket", "left_semi")
+        attempts = [r[0] for r in held.select("att").distinct().collect()]  # versions still in use
+        if not attempts:
+            return self.spark.createDataFrame([], schema)
+        stored = T.StructType([*schema.fields, T.StructField(ATTEMPT, T.StringType()),
+                               T.StructField(BUCKET, T.IntegerType())])
+        files = (self.spark.read.schema(stored).option("basePath", f"{self.root}/data")
+                 .parquet(*[f"{self.root}/data/{ATTEMPT}={a}" for a in sorted(attempts)]))
+        # Folder columns joined to the manifest (one small row per bucket): Spark
+        # prunes the folders of buckets that a later attempt replaced.
+        held = M.bounded_broadcast(held.select(F.col("bucket").alias(BUCKET), F.col("att").alias(ATTEMPT)))
+        return files.join(held, [ATTEMPT, BUCKET], "left_semi").select(*schema.names)
 
     # -- writing --------------------------------------------------------------
-    def _publish(self, df: DataFrame, version: int, base_manifest: dict[int, int],
-                 rewritten: set[int] | None) -> int:
-        """Write ``df`` as version ``version`` of the buckets it holds (and, when
-        ``rewritten`` is given, drop those of them that came out empty), then
-        commit the manifest."""
+    def _publish(self, df: DataFrame, version: int, base: int | None, touched: DataFrame | None,
+                 streams: Mapping[str, int]) -> int:
+        """Write ``df`` as the touched buckets of ``version`` (all, when ``touched`` is None),
+        keep the others of ``base``, then commit the manifest."""
+        attempt = f"{version}-{uuid.uuid4().hex[:12]}"
+        path = f"{self.root}/data/{ATTEMPT}={attempt}"
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
         out = df.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
         # Rebalance by bucket: AQE splits a hot bucket over several tasks and
         # packs small buckets, so the write neither skews nor sprays files.
         out = out.hint("rebalance", BUCKET)
         if self.sort_by:
             out = out.sortWithinPartitions(BUCKET, *self.sort_by)
-        out.write.mode("overwrite").partitionBy(BUCKET).parquet(self._data(version))
-        written = self._written_buckets(version)
-        manifest = dict(base_manifest)
-        for b in (rewritten or set()) | written:
-            manifest.pop(b, None)
-        manifest.update({b: version for b in written})
-        if not manifest:
-            # every row is gone: keep the schema, so the table reads as empty
-            df.limit(0).write.mode("overwrite").parquet(self._bucket_path(EMPTY, version))
-        rows = [(version, b, v) for b, v in sorted(manifest.items())] or [(version, EMPTY, version)]
-        entries = F.array(*[F.struct(F.lit(mv).cast("bigint").alias("mv"), F.lit(b).cast("int").alias("bucket"),
-                                     F.lit(v).cast("bigint").alias("version")) for mv, b, v in rows])
-        (self.spark.range(1).select(F.inline(entries)).coalesce(1)
-         .write.mode("errorifexists").json(self._manifest(version)))
+        out.write.mode("errorifexists").partitionBy(BUCKET).parquet(path)
+        stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        written = self.spark.read.schema(stored).parquet(path).select(F.col(BUCKET).alias("bucket")).distinct()
+        rows = written.withColumn("att", F.lit(attempt))
+        if touched is not None:
+            if not written.join(touched, "bucket", "left_anti").isEmpty():
+                raise RuntimeError(f"{self.root}: rows left the buckets their batch touched; nothing is published")
+            if base is not None:
+                rows = rows.unionByName(self.entries(base).join(touched, "bucket", "left_anti"))
+        meta = {"schema": json.loads(schema.json()), "keys": self.keys, "buckets": self.buckets, "streams": dict(streams)}
+        head = self.spark.range(1).select(F.lit(META).alias("bucket"), F.lit(None).cast("string").alias("att"),
+                                          F.lit(json.dumps(meta)).alias("meta"))
+        (rows.withColumn("meta", F.lit(None).cast("string")).unionByName(head)
+         .select(F.lit(version).cast("bigint").alias("mv"), "bucket", "att", "meta")
+         .coalesce(1).write.mode("errorifexists").json(self._manifest(version)))
         return version
 
-    def _written_buckets(self, version: int) -> set[int]:
-        """Buckets the write of ``version`` produced, from its file listing (no
-        job; an empty result leaves no bucket folder)."""
-        try:
-            files = self.spark.read.parquet(self._data(version)).inputFiles()
-        except AnalysisException:
-            return set()
-        return {int(m.group(1)) for f in files if (m := _BUCKET_DIR.search(f)) and int(m.group(1)) >= 0}
-
     def write(self, df: DataFrame, version: int | None = None) -> int:
         """Replace the table's contents with ``df`` as a new version."""
+        cur = self.current_version()
         if version is None:
-            cur = self.current_version()
             version = 0 if cur is None else cur + 1
-        return self._publish(df, version, {}, None)
+        streams = {} if cur is None else self.metadata(cur)["streams"]
+        return self._publish(df, version, None, None, streams)
 
     def apply(self, incoming: DataFrame, fn: Callable[[DataFrame | None, DataFrame], DataFrame],
-              version: int | None = None, base_version: int | None = None,
-              stage: bool = False) -> int | None:
+              stream: tuple[str, int] | None = None) -> int | None:
         """Combine ``incoming`` with the rows of the buckets it touches using
         ``fn(base, incoming)`` and publish the result as a new version.  An
         empty batch publishes nothing.
 
-        The batch is read several times (touched buckets, key joins, rows);
-        ``stage=True`` writes it once to the checkpoint folder first, for
-        batches that are expensive to recompute (joins), which also cuts their
-        lineage so a lost executor does not recompute the upstream plan."""
-        if stage:
-            work_dir(self.spark)
-            incoming = incoming.checkpoint(eager=True)
-        if base_version is None:
-            base_version = self.current_version()
-        touched = sorted(int(r[0]) for r in incoming.select(bucket_of(self.keys, self.buckets).alias("b"))
-                         .distinct().collect())  # at most `buckets` values
-        if not touched:
-            return base_version
-        base_manifest = {} if base_version is None else self.manifest(base_version)
-        base = None if base_version is None else self.read(base_version, touched, base_manifest)
-        if version is None:
-            version = 0 if base_version is None else base_version + 1
-        return self._publish(fn(base, incoming), version, base_manifest, set(touched))
-
-    def merge(self, incoming: DataFrame, keys: Sequence[str] | None = None, stage: bool = False,
-              **merge_kw) -> int | None:
+        The batch is cast to the table's types, written once to the work folder
+        and read from there (touched buckets, key joins, counts, rows): its plan
+        runs once, and a lost executor does not recompute it.  ``stream`` names
+        the stream and batch that the version holds then."""
+        cur = self.current_version()
+        meta = None if cur is None else self.metadata(cur)
+        if meta is not None:
+            self._adopt(meta)
+            known = {f.name: f.dataType for f in T.StructType.fromJson(meta["schema"]).fields}
+            incoming = M.conform(incoming, known)
+        path = scratch_path(self.spark, "batch")
+        incoming.write.parquet(path)
+        batch = self.spark.read.schema(incoming.schema).parquet(path)
+        if batch.isEmpty():
+            return cur
+        touched_path = scratch_path(self.spark, "buckets")
+        (batch.select(bucket_of(self.keys, self.buckets).alias("bucket")).distinct()
+         .coalesce(1).write.parquet(touched_path))       # a row per bucket at most
+        touched = self.spark.read.schema("bucket int").parquet(touched_path)
+        base = None if cur is None else self.read(cur, touched)
+        out = fn(base, batch)
+        streams = dict(meta["streams"]) if meta else {}
+        if stream is not None:
+            streams[stream[0]] = stream[1]
+        return self._publish(out, 0 if cur is None else cur + 1, cur, touched, streams)
+
+    def merge(self, incoming: DataFrame, keys: Sequence[str] | None = None, **merge_kw) -> int | None:
         """Upsert a batch (S9/M2); a missing table is created by the first load
-        (S10); an empty batch is a no-op."""
-        keys = list(keys) if keys is not None else self.keys
-        return self.apply(incoming, lambda base, inc: M.merge(base, inc, keys, **merge_kw), stage=stage)
+        (S10); an empty batch is a no-op.  ``keys`` name the key of a new table
+        that was opened without one."""
+        if keys is not None and list(keys) != self.keys:
+            if self.exists() and self.keys:
+                raise ValueError(f"{self.root}: the table's key is {self.keys}, not {list(keys)}")
+            self.keys = list(keys)
+        return self.apply(incoming, lambda base, inc: M.merge(base, inc, self.keys, **merge_kw))
 
     def delete(self, delete_keys: DataFrame) -> int | None:
         """Delete rows by key (M13), rewriting only the buckets of the keys."""
