@@ -36,7 +36,8 @@ from .common import BYTE_CODES, prefix_hash, stage, text_chunks
 from .windows import anchor_runs, covered, keyed, sha256, split_by_key, window_hashes
 
 LENGTH, GRAM = 400, 200
-CHUNK = 1 << 20
+#: Text bytes that a kernel works on at once; its hashes take some ten times as much.
+CHUNK = 1 << 18
 _RUN = "key bigint, lo int, hi int, core bigint, full bigint"
 
 
@@ -79,7 +80,7 @@ def _open(length: int):
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text, spans) -> the result row; spans may overlap."""
-    for part, data, at in text_chunks(batches):
+    for part, data, at in text_chunks(batches, max_bytes=CHUNK):
         ends, (a, b) = _lists(part.column(2), ("a", "b"))
         owner = np.repeat(np.arange(part.num_rows), np.diff(ends))
         gone = covered(a + at[owner], b + at[owner], len(data))
