@@ -6,6 +6,7 @@ driver's test tables; ``oracles.SQL`` holds the matching DuckDB SQL.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -13,8 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .fixtures import (LINE_KEYS, LINE_ORDER, MERGE_KEY, MERGE_RUN_TS, merge_incoming,
-                       merge_target, returned_order_keys, source, ts)
+from .fixtures import (BATCH_ORDER, RATE_BASE_CODE, RATE_UNIX_TIME, RATES, LINE_KEYS, LINE_ORDER, MERGE_KEY, MERGE_RUN_TS, line_batch, merge_incoming,
+                       merge_target, negative_prices, returned_order_keys, source, ts)
 from .functions.jsonfn import damage_rule, json_check
 from .functions.normalize import latest_rate_time, normalize_currency
 from .functions.windows import Window as TimeWindow
@@ -27,6 +28,7 @@ from .plans.elt import LOAD_ORDER, destination, extract_changed, run_elt
 from .plans.etl import etl_dataset, etl_frames, run_etl
 from .plans.reconcile import reconcile
 from .session import scratch_path
+from .sources.rates import rates_document, read_rates_document
 from .sources.snapshots import SnapshotTable
 from .sources.tables import lookup, sql_over_view
 from .streaming.upsert import stream_latest_per_key
@@ -57,6 +59,12 @@ def q_sales_wide(spark, sf):
     return etl_frames(src.tables(), src.rates_snapshot, WINDOW).wide
 
 
+@query("sales_wide_full")
+def q_sales_wide_full(spark, sf):
+    """The extract with all five dimension joins."""
+    return star.sales_wide(source(spark, sf).tables(), WINDOW, keep_existence_joins=True)
+
+
 @query("normalize_floor")
 def q_normalize_floor(spark, sf):
     src = source(spark, sf)
@@ -106,6 +114,15 @@ def q_rates_explode(spark, sf):
     return wide.join(r, wide.currency_name == r.code, "inner").select("sale_id", "code", "rate", "updated_at")
 
 
+@query("rates_document_sales")
+def q_rates_document_sales(spark, sf):
+    """Sales converted with rates read back from a landed JSON document."""
+    src, wide = _wide(spark, sf)
+    landed = scratch_path(spark, "rates")
+    rates_document(spark, RATE_BASE_CODE, RATE_UNIX_TIME, RATES).coalesce(1).write.json(landed)
+    return normalize_currency(wide, read_rates_document(spark, landed), mode="exact")
+
+
 @query("rates_asof_max")
 def q_rates_asof_max(spark, sf):
     src, wide = _wide(spark, sf)
@@ -253,6 +270,61 @@ def q_update_only(spark, sf):
                          synced_at=ts(MERGE_RUN_TS))
 
 
+# Batches that repeat keys: the rows of a key apply one after another.
+
+
+def _batch_merge(spark, sf, policies):
+    src = source(spark, sf)
+    return M.merge(merge_target(src), line_batch(src), [MERGE_KEY], policies, dedupe_order=BATCH_ORDER)
+
+
+@query("merge_cumulative_batch")
+def q_merge_cumulative_batch(spark, sf):
+    return _batch_merge(spark, sf, {"amount": M.CUMULATIVE})
+
+
+@query("merge_progress_batch")
+def q_merge_progress_batch(spark, sf):
+    return _batch_merge(spark, sf, {"first_seen": M.PROGRESS})
+
+
+@query("merge_skip_if_null_batch")
+def q_merge_skip_if_null_batch(spark, sf):
+    return _batch_merge(spark, sf, {"priority": M.SKIP_IF_NULL, "status": M.SKIP_IF_NULL})
+
+
+@query("merge_concat_batch")
+def q_merge_concat_batch(spark, sf):
+    return _batch_merge(spark, sf, {"note": M.CONCAT})
+
+
+@query("update_only_batch")
+def q_update_only_batch(spark, sf):
+    src = source(spark, sf)
+    return M.update_only(merge_target(src), line_batch(src), [MERGE_KEY],
+                         {"amount": M.CUMULATIVE, "note": M.CONCAT, "first_seen": M.PROGRESS},
+                         synced_at=ts(MERGE_RUN_TS), dedupe_order=BATCH_ORDER)
+
+
+@query("snapshot_upsert_types")
+def q_snapshot_upsert_types(spark, sf):
+    """A stored table with bigint keys takes a batch with int keys; opened with another
+    bucket count it refuses."""
+    line = source(spark, sf).table("lineitem")
+    root = scratch_path(spark, "typed")
+    rows = M.dedupe_last(line.withColumn("l_linenumber", F.col("l_linenumber").cast("bigint")), LINE_KEYS, LINE_ORDER)
+    SnapshotTable(spark, root, LINE_KEYS, 8).write(rows)
+    batch = (line.filter(F.col("l_shipdate") >= ts("1997-01-01"))
+             .select(F.col("l_orderkey").cast("int").alias("l_orderkey"), "l_linenumber", "l_shipdate",
+                     (F.col("l_quantity") + 1).alias("l_quantity")))
+    SnapshotTable(spark, root).merge(batch, dedupe_order=["l_shipdate", "l_quantity"])
+    try:
+        SnapshotTable(spark, root, LINE_KEYS, 4)
+    except ValueError:
+        return SnapshotTable(spark, root).read()
+    raise AssertionError("another bucket count must be refused")
+
+
 @query("append_strict_conflicts")
 def q_append_strict_conflicts(spark, sf):
     t, s = _merge_inputs(spark, sf)
@@ -331,8 +403,18 @@ def q_constraint_violations(spark, sf):
     return Q.violations(star.to_dataset(normalized), Q.dataset_constraints(), ["sale_id"])
 
 
-UNIQUE_CHECKS = [("brands", ["name"]), ("types", ["name"]), ("customers", ["name"]),
-                 ("cities", ["name"]), ("car_sales", ["id"]), ("cars", ["id"])]
+@query("source_constraint_violations")
+def q_source_constraint_violations(spark, sf):
+    """Rows of the sources that their CHECK constraints refuse."""
+    tables = source(spark, sf).tables()
+    return reduce(DataFrame.unionByName, [
+        Q.violations(negative_prices(tables[t]), rules, ["id"]).withColumn("table_name", F.lit(t))
+        for t, rules in Q.source_constraints().items()])
+
+
+# Every id and name that the DDL declares unique; the join rewrites rely on the ids.
+UNIQUE_CHECKS = [(t, [k]) for t in ("brands", "types", "customers", "cities", "currencies") for k in ("id", "name")] + [
+    ("car_sales", ["id"]), ("cars", ["id"])]
 
 
 @query("unique_violations")
@@ -390,20 +472,20 @@ def q_etl_run_table(spark, sf):
     return SnapshotTable(spark, f"{root}/car_sales_dataset", ["sale_id"]).read()
 
 
-_ELT_RUNS: dict[tuple, str] = {}
+_ELT_RUNS: "weakref.WeakKeyDictionary[SparkSession, dict[tuple, str]]" = weakref.WeakKeyDictionary()
 
 
 def _elt(spark, sf, full_load: bool):
     """One ELT run per (session, data, mode): its written destination serves
     every key that reads it."""
-    key = (id(spark), sf.rstrip("/"), full_load)
-    root = _ELT_RUNS.get(key)
-    if root is None:
+    runs = _ELT_RUNS.setdefault(spark, {})
+    key = (sf.rstrip("/"), full_load)
+    if key not in runs:
         src = source(spark, sf)
         root = scratch_path(spark, "elt")
         run_elt(spark, src.tables(), src.rates_snapshot, WINDOW, root, full_load=full_load)
-        _ELT_RUNS[key] = root
-    return destination(spark, root)
+        runs[key] = root
+    return destination(spark, runs[key])
 
 
 @query("elt_fact_full")

@@ -301,11 +301,10 @@ SOURCE_COLUMNS = {
 
 # -- merge fixtures (FIXTURES.md section 3) ------------------------------------
 
-# The target holds orders before 1998, the incoming batch orders
-# of 1997-1998, so 1997 keys conflict.  Nulls are placed by key residues.
+# The target holds orders before 1998, the incoming batch all
+# orders from 1997 on, so 1997 keys conflict.  Nulls are placed by key residues.
 MERGE_TARGET_BEFORE = "1998-01-01"
 MERGE_INCOMING_FROM = "1997-01-01"
-MERGE_INCOMING_BEFORE = "1999-01-01"
 MERGE_KEY = "o_orderkey"
 MERGE_RUN_TS = "2026-01-01 00:00:00"
 
@@ -324,8 +323,7 @@ def merge_target(src: Source) -> DataFrame:
 
 
 def merge_incoming(src: Source) -> DataFrame:
-    o = src.table("orders").filter((F.col("o_orderdate") >= ts(MERGE_INCOMING_FROM))
-                                   & (F.col("o_orderdate") < ts(MERGE_INCOMING_BEFORE)))
+    o = src.table("orders").filter(F.col("o_orderdate") >= ts(MERGE_INCOMING_FROM))
     k = F.col("o_orderkey")
     return o.select(
         k.alias("o_orderkey"),
@@ -337,6 +335,35 @@ def merge_incoming(src: Source) -> DataFrame:
     )
 
 
+# The columns in whose order the lines of an order apply (BATCH_ORDER); all other
+# columns of the batch break ties.
+BATCH_ORDER = ["seq"]
+
+
+def line_batch(src: Source) -> DataFrame:
+    """A batch that repeats keys: every line is one change of its order.  Amounts
+    are whole numbers, so their sums do not depend on the order of adding."""
+    p, s = F.col("l_partkey"), F.col("l_suppkey")
+    return src.table("lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.col("l_linenumber").cast("bigint").alias("seq"),
+        F.when(p % 40 != 0, F.col("l_quantity")).alias("amount"),
+        F.when(s % 3 != 0, F.col("l_linestatus")).alias("status"),
+        F.when(p % 2 != 0, F.col("l_shipdate")).alias("first_seen"),
+        F.when(s % 4 != 0, F.concat(F.lit("L-"), F.col("l_returnflag"))).alias("priority"),
+        F.when(p % 3 != 0, F.col("l_returnflag")).alias("note"),
+    )
+
+
+def negative_prices(df: DataFrame) -> DataFrame:
+    """Every 17th row's price (and every 19th row's stock) below zero: rows that the
+    source's CHECK constraints refuse."""
+    out = df.withColumn("price", F.when(F.col("id") % 17 == 0, -F.col("price")).otherwise(F.col("price")))
+    if "stock" in df.columns:
+        out = out.withColumn("stock", F.when(F.col("id") % 19 == 0, -1 - F.col("stock")).otherwise(F.col("stock")))
+    return out
+
+
 # Within-batch duplicates: lineitem keyed by (l_orderkey, l_linenumber); the
 # last write is the greatest (l_shipdate, l_partkey, l_suppkey, l_extendedprice).
 LINE_KEYS = ["l_orderkey", "l_linenumber"]

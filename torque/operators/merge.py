@@ -152,6 +152,8 @@ def fold_batch(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     result holds every value of its key by its meaning, so its values are
     collected."""
     policies, keys = dict(policies or {}), list(keys)
+    if all(policies.get(c, default_policy) == REPLACE for c in df.columns if c not in keys):
+        return dedupe_last(df, keys, order)
     place = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"o{i}") for i, c in enumerate(order)],
                      *[F.col(c).alias(f"r{i}") for i, c in enumerate(df.columns) if c not in keys])
     rows = df.filter(_no_null(keys)).withColumn("__place", place)

@@ -46,9 +46,10 @@ def sales_wide(t: Tables, window: Window | None = None, keep_existence_joins: bo
     dimension LEFT joined, restricted to transactions in the window.
 
     ``customers`` and ``cities`` add no column and are joined on their primary
-    keys, so they can neither drop nor repeat a sale: the joins are omitted
-    unless ``keep_existence_joins`` (uniqueness is checked by
-    ``quality.unique_violations``).
+    keys, so where those are unique they can neither drop nor repeat a sale: the
+    joins are omitted unless ``keep_existence_joins`` (the ``unique_violations``
+    query checks the ids of all dimension tables; ``sales_wide_full`` is the
+    form with all five joins).
     """
     s = t["car_sales"]
     if window is not None:
