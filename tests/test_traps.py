@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from torque.functions.normalize import convert, normalize_currency
 from torque.functions.windows import changed_in, changed_in_coalesce, event_window, year_window
+from torque.operators import merge as M
 from torque.operators import quality as Q
 from torque.operators import star
 from torque.sources.rates import rates_from_mapping, read_rates_document
@@ -243,3 +244,30 @@ def test_json_quarantine_and_serialise(spark):
     assert got == {1: (True, 5), 2: (False, None), 3: (None, None)}
     s = spark.range(1).select(to_json_text(F.struct(F.lit(1).alias("a"), F.lit("x").alias("b"))).alias("j"))
     assert s.first().j == '{"a":1,"b":"x"}'
+
+
+def test_last_year_window_of_a_given_day():
+    from datetime import datetime
+
+    from torque.functions.windows import last_year_window
+    w = last_year_window(datetime(2026, 3, 1))
+    assert (w.start, w.end) == (datetime(2025, 1, 1), datetime(2025, 12, 31))
+
+
+def test_null_keys_survive_deduplication(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, 3), (1, 4)], "k bigint, v int")
+    assert rows(M.dedupe_last(df, ["k"], ["v"])) == [(1, 4), (None, 1), (None, 2)]
+
+
+def test_rows_of_a_batch_apply_in_order(spark):
+    target = spark.createDataFrame([(1, 1.0, "a", None, "x")], "k bigint, amount double, note string, first string, last string")
+    batch = spark.createDataFrame(
+        [(1, 5.0, "b", None, "y", 1), (1, 7.0, None, "p", None, 2), (1, 0.0, "c", "q", None, 3), (2, 2.0, None, None, None, 1),
+         (2, None, "d", "r", "z", 2)], "k bigint, amount double, note string, first string, last string, n int")
+    policies = {"amount": M.CUMULATIVE, "note": M.CONCAT, "first": M.PROGRESS, "last": M.SKIP_IF_NULL}
+    out = M.merge(target, batch, ["k"], policies, dedupe_order=["n"]).drop("n")
+    assert rows(out) == [(1, 13.0, "a, b, c", "p", "y"), (2, None, "d", "r", "z")]
+    with pytest.raises(ValueError):
+        M.merge(target, batch, ["k"], policies)
+    with pytest.raises(ValueError):
+        M.update_only(target, batch.drop("n"), ["k"])

@@ -4,9 +4,10 @@ Spark broadcasts a join side when its *estimated* size is under
 ``spark.sql.autoBroadcastJoinThreshold``; for a filtered scan the estimate is
 the whole table, so a handful of changed keys out of a huge table is never
 broadcast and the big side gets shuffled.  ``bounded_broadcast`` proves the
-bound instead: it counts at most ``max_rows + 1`` rows and hints the
-broadcast only at or under the bound.  Above it, nothing is hinted and the
-planner shuffles (AQE may still re-plan from runtime sizes).
+bound instead: it counts the rows (each partition stops at ``max_rows + 1``)
+and hints the broadcast only at or under the bound.  Above it, nothing is
+hinted and the planner shuffles (AQE may still re-plan from runtime sizes).
+The count runs the side's plan once; for a written table it reads footers only.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ _LOCK = threading.Lock()
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEY_ROWS,
                       remember: bool = False) -> DataFrame:
     """``df`` hinted for broadcast when it has at most ``max_rows`` rows
-    (counted, reading at most ``max_rows + 1``), else ``df`` unchanged.
+    (counted), else ``df`` unchanged.
     ``remember`` reuses the count for the same DataFrame object (stored
     dimension tables read by many queries of a session)."""
     if max_rows <= 0:
