@@ -4,6 +4,7 @@ import re
 
 import pyarrow.parquet as pq
 
+from llm_fixtures import frame  # noqa: F401
 from torque.llm import decontamination as D
 from torque.llm.queries import QUERIES
 

@@ -3,6 +3,7 @@ import random
 
 import pyarrow.parquet as pq
 
+from llm_fixtures import frame  # noqa: F401
 from torque.llm import line_dedup as L
 from torque.llm.queries import QUERIES
 

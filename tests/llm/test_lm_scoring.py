@@ -4,6 +4,7 @@ from collections import Counter
 import pyarrow.parquet as pq
 import pytest
 
+from llm_fixtures import frame  # noqa: F401
 from torque.llm import lm_scoring as M
 from torque.llm.queries import QUERIES
 

@@ -5,6 +5,7 @@ import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 
+from llm_fixtures import frame  # noqa: F401
 from torque.llm import pieces, sentencepiece_codec, token_counts
 from torque.llm.queries import QUERIES
 

@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 import xxhash
 
+from llm_fixtures import frame  # noqa: F401
 from torque.llm import quality_rules as Q
 from torque.llm.queries import QUERIES
 

@@ -3,6 +3,7 @@ import random
 import pyarrow.parquet as pq
 import xxhash
 
+from llm_fixtures import frame  # noqa: F401
 from torque.llm import simhash
 from torque.llm.queries import QUERIES
 

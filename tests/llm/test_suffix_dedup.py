@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pyarrow.parquet as pq
 
+from llm_fixtures import frame  # noqa: F401
 from torque.llm import suffix_dedup as S
 from torque.llm.queries import QUERIES
 

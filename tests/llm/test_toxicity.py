@@ -2,6 +2,7 @@ import zlib
 
 import pyarrow.parquet as pq
 
+from llm_fixtures import frame  # noqa: F401
 from torque.llm import toxicity as T
 from torque.llm.queries import QUERIES
 

@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 from .common import GOLDEN, mix, prefix_hash, span_hash, text_chunks
 
 #: Bounds of the training sample.
-MAX_POSITIVE, MAX_NEGATIVE, MAX_CHARS = 2000, 4000, 200_000
+MAX_POSITIVE, MAX_NEGATIVE, MAX_CHARS = 1000, 2000, 200_000
 BUCKETS = 1 << 18
-DIM, STEPS, RATE, DECAY, GAIN, MIN_DOCS = 2, 60, 0.2, 1e-3, 100.0, 4
+DIM, STEPS, RATE, DECAY, GAIN, MIN_DOCS = 2, 100, 0.2, 1e-3, 100.0, 4
 GRAMS = (3, 4, 5)
+#: Entries of the sample's bags summed at once.
+BLOCK = 1 << 19
 THRESHOLD = 0.7
 CACHE_WORDS = 300_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -73,12 +75,32 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (hashes[order] % np.uint64(BUCKETS)).astype(np.int64), bounds
 
 
+def _row_sums(columns: np.ndarray, at: np.ndarray, weight: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of columns[at] * weight over bounds[i]:bounds[i + 1], some entries at a time."""
+    out = np.zeros((len(bounds) - 1, columns.shape[1]), np.float32)
+    lo = 0
+    while lo < len(out):
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + BLOCK, "right")) - 1)
+        a, b = bounds[lo], bounds[hi]
+        if b > a:
+            some = np.flatnonzero(bounds[lo + 1:hi + 1] > bounds[lo:hi])
+            out[lo + some] = np.add.reduceat(columns[at[a:b]] * weight[a:b, None], bounds[lo + some] - a, axis=0)
+        lo = hi
+    return out
+
+
 def _bags(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket, share, bounds): the subword bag of each text, shares adding up to 1."""
     known: dict[bytes, int] = {}
     counted = [np.unique(np.array([known.setdefault(w, len(known)) for w in tokens(t)], np.int64), return_counts=True)
                for t in texts]
-    bucket, sub = subwords(list(known))
+    names, parts, sizes = list(known), [], []
+    for lo in range(0, len(names), 20_000):         # a slice at a time: the n-grams of all take much memory
+        found, ends = subwords(names[lo:lo + 20_000])
+        parts.append(found.astype(np.int32))
+        sizes.append(np.diff(ends))
+    bucket = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    sub = np.r_[0, np.cumsum(np.concatenate(sizes))] if sizes else np.zeros(1, np.int64)
     ids, shares = [], []
     for words, n in counted:
         per = sub[words + 1] - sub[words]
@@ -105,20 +127,14 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
     place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
     keep = place[bucket] >= 0
-    doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(bounds))[keep]
+    bounds = np.r_[0, np.cumsum(keep)][bounds]
     bucket, share = place[bucket[keep]], share[keep]
-    order = np.argsort(bucket, kind="stable")
-    doc_back, share_back, first = doc[order], share[order], np.searchsorted(bucket[order], np.arange(len(used)))
     scale = np.sqrt(np.bincount(bucket, share, len(used)) / len(texts)).astype(np.float32)[:, None]
-    begin = np.searchsorted(doc, np.arange(len(texts)))
-    some = np.diff(np.r_[begin, len(doc)]) > 0
-
-    def averages(columns: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(texts), columns.shape[1]), np.float32)
-        if len(doc):
-            out[some] = np.add.reduceat(columns[bucket] * share[:, None], begin[some], axis=0)
-        return GAIN * out
-
+    order = np.argsort(bucket, kind="stable")
+    doc_back = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(bounds))[order]
+    share_back = share[order]
+    back = np.r_[0, np.cumsum(np.bincount(bucket, minlength=len(used)))]
+    del keep, order
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.001, (len(used), DIM)).astype(np.float32)
     out = rng.normal(0, 1.0, (DIM, 2)).astype(np.float32)
@@ -127,13 +143,13 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
     speed = np.zeros_like(vectors)
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (out, bias)]
     for step in range(1, STEPS + 1):
-        h = averages(vectors)
+        h = GAIN * _row_sums(vectors, bucket, share, bounds)
         z = h @ out + bias
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         dz = ((p - hot) / len(labels)).astype(np.float32)
         if len(used):
-            d = np.add.reduceat((GAIN * dz @ out.T)[doc_back] * share_back[:, None], first, axis=0) / scale
+            d = _row_sums(GAIN * dz @ out.T, doc_back, share_back, back) / scale
             speed = 0.8 * speed + d / max(1e-12, float(np.abs(d).max()))
             vectors = (1 - DECAY) * vectors - RATE * (1 - 0.9 * step / STEPS) * speed
         for param, grad, (m, v) in zip((out, bias), (h.T @ dz, dz.sum(axis=0)), state, strict=True):
@@ -145,8 +161,9 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
     return weight, float(bias[1] - bias[0])
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.ndarray]:
-    """The bounded training sample: whole texts and their labels."""
+def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.ndarray, float]:
+    """The bounded training sample: whole texts, their labels, and what the log-odds of
+    its classes lack to those of all labels outside the held-out third."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     drawn = None
@@ -158,7 +175,11 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.ndarray]
             .join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic")
             .dropDuplicates(["doc_id"]).collect())
     rows.sort(key=lambda r: r["doc_id"])
-    return [r["text"].encode() for r in rows], np.array([r["toxic"] for r in rows], np.int64)
+    labels = np.array([r["toxic"] for r in rows], np.int64)
+    counts = {r["toxic"]: r["count"] for r in known.filter("toxic in (0, 1)").groupBy("toxic").count().collect()}
+    drawn_1, drawn_0 = int(labels.sum()), int((labels == 0).sum())
+    lacking = (np.log(counts[1] / counts[0]) - np.log(drawn_1 / drawn_0)) if drawn_1 and drawn_0 else 0.0
+    return [r["text"].encode() for r in rows], labels, float(lacking)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataFrame:
@@ -195,7 +216,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
-    return fit(*sample(docs, labels))
+    texts, marks, lacking = sample(docs, labels)
+    model = fit(texts, marks)
+    return None if model is None else (model[0], model[1] + lacking)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
