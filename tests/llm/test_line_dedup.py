@@ -58,6 +58,16 @@ def test_segment_keys_find_every_near_pair():
             assert index & set(L.segment_keys([long.encode()], distance, True)[1].tolist())
 
 
+def test_sketches_never_part_near_lines():
+    rng = random.Random(12)
+    for distance in (1, 2, 3):
+        a = ["".join(rng.choice(LETTERS) for _ in range(rng.randint(8, 40))) for _ in range(300)]
+        b = [changed(rng, x, distance) for x in a]
+        left, right = (L.sketches([x.encode() for x in side]) for side in (a, b))
+        for x, y, bound in zip(left, right, (2 * distance, 4 * distance), strict=True):
+            assert max(((int(p) ^ int(q)) & (2**64 - 1)).bit_count() for p, q in zip(x, y, strict=True)) <= bound
+
+
 def brute(docs, distance, min_chars):
     places = {}
     for i, text in docs:

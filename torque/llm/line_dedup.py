@@ -9,7 +9,9 @@ A line of n characters is split into ``DISTANCE + 1`` segments.  Two lines withi
 that many edits share one segment, at a place bounded by the edits on either
 side of it; so each line puts its segments into an index by length, and probes
 the index of each length it may be near with just the substrings that can
-match.  Index and probe are two sets of hashed keys joined by Spark.  Candidate
+match.  Index and probe are two sets of hashed keys joined by Spark; the join's
+condition also holds two parity sketches against each other, which lines within
+that many edits always pass.  Candidate
 pairs of distinct lines, each once, are verified by a banded bit-parallel edit
 distance, many pairs at a time in numpy.
 
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, broadcast_if_small, mix, prefix_hash, span_hash, stage, text_chunks
+from .common import GOLDEN, MIX_1, broadcast_if_small, mix, prefix_hash, span_hash, stage, text_chunks
 
 DISTANCE, MIN_CHARS = 2, 20
 WHITE = b" \t\n\x0b\f\r"
@@ -118,6 +120,22 @@ def segment_keys(lines: list[bytes], distance: int, probe: bool) -> tuple[np.nda
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def sketches(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit parity sketches of each line: of its characters, and of its character
+    pairs.  An edit flips at most 2 bits of the first and 4 of the second, so lines
+    further apart than that are no candidates."""
+    text = [x.decode("utf-8", "replace") for x in lines]
+    n = np.array([len(t) for t in text], np.int64)
+    begin = np.cumsum(n) - n
+    codes = (np.frombuffer("".join(text).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)) * GOLDEN
+    one, low = np.uint64(1), np.uint64(63)
+    chars = one << (mix(codes) & low)
+    pairs = np.zeros(len(codes), np.uint64)
+    pairs[:-1] = one << (mix(codes[:-1] * MIX_1 + codes[1:]) & low)
+    pairs[begin + n - 1] = 0                        # none across two lines
+    return tuple(np.bitwise_xor.reduceat(x, begin).view(np.int64) for x in (chars, pairs))
+
+
 def _keys(distance: int, probe: bool, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, at in text_chunks(batches):
@@ -126,7 +144,9 @@ def _keys(distance: int, probe: bool, min_chars: int):
                 continue
             ids = np.array([line_id(x) for x in distinct], np.int64)
             row, key = segment_keys(distinct, distance, probe)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[row])], ["segment", "id"])
+            chars, pairs = sketches(distinct)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[row]), pa.array(chars[row]), pa.array(pairs[row])],
+                                             ["segment", "id", "chars", "pairs"])
     return run
 
 
@@ -217,9 +237,15 @@ def _pick(min_chars: int):
 def line_links(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS) -> DataFrame:
     """(a, b): every pair of distinct lines within ``distance`` edits, once, a < b by id."""
     text = docs.select("text")
-    index = text.mapInArrow(_keys(distance, False, min_chars), "segment bigint, id bigint")
-    probe = text.mapInArrow(_keys(distance, True, min_chars), "segment bigint, id bigint")
-    pairs = (index.join(probe.withColumnRenamed("id", "other"), "segment").filter("id <> other")
+    schema = "segment bigint, id bigint, chars bigint, pairs bigint"
+    index = text.mapInArrow(_keys(distance, False, min_chars), schema).alias("i")
+    probe = text.mapInArrow(_keys(distance, True, min_chars), schema).withColumnRenamed("id", "other").alias("p")
+    # What the sketches rule out is never made a row: lines of one origin share
+    # segments with each other, whatever else was changed in them.
+    near = ((F.col("i.segment") == F.col("p.segment")) & (F.col("id") != F.col("other"))
+            & (F.bit_count(F.col("i.chars").bitwiseXOR(F.col("p.chars"))) <= 2 * distance)
+            & (F.bit_count(F.col("i.pairs").bitwiseXOR(F.col("p.pairs"))) <= 4 * distance))
+    pairs = (index.join(probe, near)
              .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
     pairs = stage(pairs, "line-pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
