@@ -30,14 +30,12 @@ _COUNTED: "weakref.WeakKeyDictionary[DataFrame, tuple[int, int]]" = weakref.Weak
 _LOCK = threading.Lock()
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEY_ROWS,
-                      remember: bool = False) -> DataFrame:
-    """``df`` hinted for broadcast when it has at most ``max_rows`` rows
-    (counted), else ``df`` unchanged.
-    ``remember`` reuses the count for the same DataFrame object (stored
-    dimension tables read by many queries of a session)."""
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_KEY_ROWS, remember: bool = False) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (counted).  ``remember`` reuses
+    the count for the same DataFrame object (stored dimension tables read by many
+    queries of a session)."""
     if max_rows <= 0:
-        return df
+        return False
     with _LOCK:
         seen = _COUNTED.get(df) if remember else None
     # A remembered count is exact when it was within its bound; over its bound
@@ -49,4 +47,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEY_ROWS,
         if remember:
             with _LOCK:
                 _COUNTED[df] = (n, max_rows)
-    return F.broadcast(df) if n <= max_rows else df
+    return n <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEY_ROWS,
+                      remember: bool = False) -> DataFrame:
+    """``df`` hinted for broadcast when it is small (``is_small``), else ``df``
+    unchanged."""
+    return F.broadcast(df) if is_small(df, max_rows, remember) else df

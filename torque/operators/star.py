@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.windows import Window, changed_in, event_window
 from ..sources.rates import RatesSnapshot
-from .broadcast import bounded_broadcast
+from .broadcast import bounded_broadcast, is_small
 
 Tables = Mapping[str, DataFrame]
 
@@ -128,14 +128,22 @@ def dim_car_detail(t: Tables, window: Window) -> DataFrame:
 
 
 def dim_car_detail_semi(t: Tables, window: Window) -> DataFrame:
-    """G4, rewritten for scale: find the changed brand and type ids first (small
-    sets), flag the cars they touch in one pass over ``cars`` (the id sets are
+    """G4, rewritten for scale.  Brands and types that are broadcast carry a flag
+    for their change, so the cars pass each of them once and the filter follows.
+    Larger ones: find the changed brand and type ids first (small sets), flag the cars they touch in one pass over ``cars`` (the id sets are
     joined by key, so the cars are not shuffled when the sets are small), keep
     only touched cars, then join the dimension names: only the touched cars
     reach the (possibly shuffled) dimension joins.  Equal to
     ``dim_car_detail`` when brand and type ids are unique (primary keys,
     checked by ``quality.unique_violations``)."""
     cars, brands, types = _dim_inputs(t)
+    if all(is_small(t[x], MAX_DIMENSION_ROWS, remember=True) for x in ("brands", "types")):
+        brands = brands.withColumn("b_changed", changed_in(window, "b_updated_at", "b_created_at"))
+        types = types.withColumn("t_changed", changed_in(window, "t_updated_at", "t_created_at"))
+        return _dim_select(cars.join(F.broadcast(brands), F.col("c_brand_id") == F.col("b_id"), "inner")
+                           .join(F.broadcast(types), F.col("c_type_id") == F.col("t_id"), "inner")
+                           .filter(changed_in(window, "c_updated_at", "c_created_at")
+                                   | F.col("b_changed") | F.col("t_changed")))
     # The changed id sets are filters over the dimensions: their estimated
     # size is the whole table, so prove them small before broadcasting.
     cb = bounded_broadcast(brands.filter(changed_in(window, "b_updated_at", "b_created_at"))
