@@ -76,3 +76,23 @@ def test_edge_cases(frame, spark):
     assert all(math.isfinite(r.score) for r in small)
     assert len(M.lm_scores(df, labels.limit(0)).collect()) == len(docs)
     assert M.lm_scores(spark.createDataFrame([], df.schema), labels).count() == 0
+
+
+def test_no_word_or_pair_is_left_out(frame, spark):
+    """More words than any fixed vocabulary, in several blocks: each keeps its own count."""
+    docs = [(i, " ".join(f"w{(i * 131 + k * k) % 9000}" for k in range(300))) for i in range(120)]
+    docs += [(200, None), (201, docs[7][1]), (202, "w1 only1 only2"), (202, "w1 only1 only2"), (None, "w1 w2")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), 0) for i in range(120)], "doc_id bigint, quality int, toxic int")
+    want = brute(docs, set(range(0, 120, 3)), 1 << 18, 1 << 20)
+    assert len({w for _, t in docs for w in tokens(t)}) > 4096
+    for block_bytes in (M.BLOCK_BYTES, 20_000):
+        got = M.lm_scores(frame(docs), labels, block_bytes=block_bytes).collect()
+        assert len(got) == len(docs)
+        check(got, want)
+
+
+def test_query_matches_brute_force(spark):
+    docs, labels = (pq.read_table(f"{SF}/{t}.parquet").to_pylist() for t in ("documents", "labels"))
+    good = {r["doc_id"] for r in labels if r["quality"] == 1}
+    check(QUERIES["op6_lm_scoring"](spark, SF).collect(),
+          brute([(d["doc_id"], d["text"]) for d in docs], good, 1 << 18, 1 << 20))
