@@ -124,3 +124,14 @@ def test_query_matches_brute_force(spark):
         marks = L.lines_of(r["text"].encode())
         exact = sum(1 for _, x in marks if x in first or first.add(x))
         assert got_rows[r["doc_id"]]["n_removed"] - got_rows[r["doc_id"]]["n_near"] == exact
+
+
+def test_short_lines_take_part(frame):
+    """Lines of 1 to 19 characters: equal ones go at any length, near ones from three characters."""
+    docs = [(1, "}\nab\nabc\nshort line\n \t\n"), (2, "}\nac\nabd\nshort lime\n\n"), (3, "ab\n}\nqrs\n é \n  short line"),
+            (4, "é\nxyz"), (None, "qrs\nab")]
+    rows = {r["doc_id"]: r for r in L.line_dedup(frame(docs)).collect()}
+    assert {i: (r["n_lines"], r["n_removed"], r["n_near"]) for i, r in rows.items()} == {
+        1: (6, 0, 0), 2: (6, 3, 2), 3: (5, 3, 0), 4: (2, 1, 0), None: (2, 2, 0)}
+    texts = {r["doc_id"]: r["text"] for r in L.dedup_lines(frame(docs)).collect()}
+    assert texts == {1: docs[0][1], 2: "ac\n\n", 3: "qrs\n é ", 4: "xyz", None: ""}

@@ -1,9 +1,11 @@
 """Line dedup by a segment-partition edit join.
 
 Lines are the \\n-split parts of a text, without ASCII white space at their
-ends; those of ``MIN_CHARS`` characters or more take part.  A line goes if the
-same line, or one within ``DISTANCE`` edits of it, stands earlier (by doc_id,
-then by place); other lines stay as they are.
+ends; every line with another character takes part.  A line goes if the same
+line, or one within ``DISTANCE`` edits of it, stands earlier (by doc_id, then by
+place); other lines stay as they are.  Two lines are near only if both have
+``DISTANCE + 1`` characters or more: any two shorter ones are within that many
+edits, so those go by equality alone.
 
 A line of n characters is split into ``DISTANCE + 1`` segments.  Two lines within
 that many edits share one segment, at a place bounded by the edits on either
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import GOLDEN, MIX_1, broadcast_if_small, mix, prefix_hash, span_hash, stage, text_chunks
 
-DISTANCE, MIN_CHARS = 2, 20
+DISTANCE, MIN_CHARS = 2, 1
 WHITE = b" \t\n\x0b\f\r"
 LAST = (1 << 63) - 1
 #: Characters of padded pairs verified at once.
@@ -46,7 +48,7 @@ VERIFY_CHARS = 1 << 21
 
 
 def lines_of(text: bytes, min_chars: int = MIN_CHARS) -> list[tuple[int, bytes]]:
-    """(number, stripped line) of the lines of a text that take part."""
+    """(number, stripped line) of the lines of a text that take part: not the empty ones."""
     out = []
     for i, line in enumerate(text.split(b"\n")):
         line = line.strip(WHITE)
@@ -139,7 +141,8 @@ def sketches(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _keys(distance: int, probe: bool, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, at in text_chunks(batches):
-            distinct = list({line for text in _raw(data, at) for _, line in lines_of(text, min_chars)})
+            # Shorter lines have no distance + 1 segments: they go by equality alone.
+            distinct = list({line for text in _raw(data, at) for _, line in lines_of(text, max(min_chars, distance + 1))})
             if not distinct:
                 continue
             ids = np.array([line_id(x) for x in distinct], np.int64)
