@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontamination, line_dedup, lm_scoring, quality_rules, sentencepiece_codec, simhash, substring_dedup,
-               suffix_dedup, token_counts, toxicity)
+from . import (decontamination, exact_dedup, line_dedup, lm_scoring, quality_rules, sentencepiece_codec, simhash,
+               substring_dedup, suffix_dedup, token_counts, toxicity)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,19 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every whole text, trusted documents against all."""
     return lm_scoring.lm_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal whole texts (A-Z lower-cased); the largest doc_id of each stays."""
+    return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op13_exact_dedup"] = """
+with t as (
+    select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body
+    from documents)
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+       doc_id = max(doc_id) over same as kept, sha256(body) as text_sha256
+from t window same as (partition by body)
+"""
