@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontamination, exact_dedup, line_dedup, lm_scoring, quality_rules, sentencepiece_codec, simhash,
+from . import (conversation_trie, decontamination, exact_dedup, line_dedup, lm_scoring, quality_rules, sentencepiece_codec, simhash,
                substring_dedup, suffix_dedup, token_counts, toxicity)
 from .common import read_table
 
@@ -94,3 +94,51 @@ select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_siz
        doc_id = max(doc_id) over same as kept, sha256(body) as text_sha256
 from t window same as (partition by body)
 """
+
+
+@query
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    nodes = conversation_trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
+    return nodes.drop("ref_conv_id", "ref_pos")
+
+
+SQL["op11_conversation_prefix_trie"] = """
+with turns as (
+    select conv_id, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) as turn,
+           row_number() over (partition by conv_id order by turn nulls first) as pos
+    from conversations where conv_id is not null),
+convs as (
+    select conv_id, list(turn order by pos) as own, conv_id::varchar as s from turns group by conv_id),
+hashed as (
+    select conv_id, own, xor(list_reduce(
+        list_transform(range(1, length(s) + 1), lambda i: ascii(substr(s, i, 1))::bigint),
+        lambda acc, byte: list_reduce(range(8), lambda r, k: xor(r >> 1, 3988292384 * (r & 1)), xor(acc, byte)),
+        4294967295::bigint), 4294967295) % 6 as h
+    from convs),
+rebuilt as (
+    select c.conv_id, list_concat(coalesce(list_slice(b.own, 1, c.h), []), list_slice(c.own, c.h + 1, len(c.own))) as seq
+    from hashed c left join hashed b on b.conv_id = c.conv_id - c.conv_id % 100),
+members as (
+    select conv_id, d as depth, list_slice(seq, 1, d) as prefix, len(seq) = d as is_end
+    from (select *, unnest(range(len(seq) + 1)) as d from rebuilt)),
+nodes as (
+    select depth, prefix, min(conv_id) as conv_id, count(*) as n_convs,
+           string_agg(case when is_end then conv_id::varchar end, ',' order by conv_id) as ends
+    from members group by depth, prefix),
+kids as (
+    select depth - 1 as depth, list_slice(prefix, 1, depth - 1) as prefix, count(*) as n_children
+    from nodes where depth > 0 group by all),
+sized as (
+    select n.*, coalesce(k.n_children, 0) as n_children,
+           case when n.depth = 0 then 0 else (n_convs - 1) * length(n.prefix[n.depth].t) end as saved
+    from nodes n left join kids k on k.depth = n.depth and k.prefix = n.prefix),
+below as (
+    select d as depth, list_slice(prefix, 1, d) as prefix, sum(saved)::bigint as saved_tokens,
+           count(*) filter (n_children = 0) as n_leaves
+    from (select *, unnest(range(depth + 1)) as d from sized) group by all)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens,
+       sha256(coalesce(n.ends, '')) as ends_sha256
+from sized n join below b on b.depth = n.depth and b.prefix = n.prefix
+left join nodes p on n.depth > 0 and p.depth = n.depth - 1 and p.prefix = list_slice(n.prefix, 1, n.depth - 1)
+"""
