@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (conversation_trie, decontamination, exact_dedup, line_dedup, lm_scoring, quality_rules, sentencepiece_codec, simhash,
+from . import (collocations, conversation_trie, decontamination, exact_dedup, line_dedup, lm_scoring, quality_rules, sentencepiece_codec, simhash,
                substring_dedup, suffix_dedup, token_counts, toxicity)
 from .common import read_table
 
@@ -142,3 +142,47 @@ select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children,
 from sized n join below b on b.depth = n.depth and b.prefix = n.prefix
 left join nodes p on n.depth > 0 and p.depth = n.depth - 1 and p.prefix = list_slice(n.prefix, 1, n.depth - 1)
 """
+
+
+@query
+def op12_phrase_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2,000 phrases of two to three words of each language, over all whole texts."""
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op12_phrase_collocation_mining"] = """
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+    from documents),
+ws as (
+    select lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') as w from pieces),
+grams as (
+    select lang, 1 as k, unnest(w) as phrase from ws
+    union all
+    select lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from ws
+    union all
+    select lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) from ws),
+f as (select lang, k, phrase, count(*) as f from grams group by all),
+totals as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+candidates as (select *, string_split(phrase, ' ') as w from f where k > 1 and f >= 10),
+cuts as (
+    select lang, k, phrase, f as a, w[1] as lp, array_to_string(w[2:], ' ') as rp, 1 as cut from candidates
+    union all
+    select lang, k, phrase, f, w[1] || ' ' || w[2], w[3], 2 from candidates where k = 3),
+scored as (
+    select c.lang, c.k, c.phrase, c.a, x.f as l, y.f as r, cut,
+           (1000000::hugeint * c.a * c.a // (x.f::hugeint * y.f))::bigint as score
+    from cuts c join f x on x.lang = c.lang and x.phrase = c.lp and x.k = cut
+    join f y on y.lang = c.lang and y.phrase = c.rp and y.k = c.k - cut),
+weakest as (
+    select * from scored qualify row_number() over (partition by lang, phrase, k order by score, cut) = 1),
+inner_parts as (
+    select lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) as phrase from candidates where k = 3),
+kept as (
+    select * from weakest s where not exists (
+        select 1 from inner_parts i where i.lang = s.lang and i.phrase = s.phrase and 100 * i.f >= 50 * s.a)),
+ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select r.lang, rank, phrase, a, l, r.r, t.n, score from ranked r join totals t on t.lang = r.lang where rank <= 2000
+"""
