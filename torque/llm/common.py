@@ -93,22 +93,24 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE_CODES = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * GOLDEN)
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Powers a worker keeps; longer texts make theirs anew.
+KEPT_POWERS = 3 << 20
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n, grown by doubling."""
-    size = 1 << max(10, int(n).bit_length())
-    if size not in _POWERS:
-        out = []
-        for base in (_BASE, _INVERSE):
-            p = np.ones(size, np.uint64)
-            p[1:] = base & (2**64 - 1)
-            out.append(np.multiply.accumulate(p))
-        if size > 1 << 22:          # a huge text: do not keep its tables
-            return out[0], out[1]
-        _POWERS[size] = (out[0], out[1])
-    return _POWERS[size]
+    """base**i and base**-i modulo 2**64 for i < n at least, from one table that grows."""
+    global _POWERS
+    if len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    size, out = -(-n // (1 << 16)) << 16, []
+    for base in (_BASE, _INVERSE):
+        p = np.ones(size, np.uint64)
+        p[1:] = base & (2**64 - 1)
+        out.append(np.multiply.accumulate(p, out=p))
+    if size <= KEPT_POWERS:
+        _POWERS = out
+    return out[0], out[1]
 
 
 def prefix_hash(symbols: np.ndarray) -> np.ndarray:

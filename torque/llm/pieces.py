@@ -8,28 +8,33 @@ pieces' text gives the same two).  So at each end ``i`` of a word exactly one
 piece fits behind the piece that ends where it begins.  The table holds that
 piece (a backpointer) and the exact token count of every prefix.
 
-Words of equal length advance together in numpy: hashes of the substrings that
-end at ``i`` probe the sorted piece keys, pairs are looked up in a cache, and
-the fitting piece is taken by a maximum over the candidate lengths.
+Words of equal length advance together in numpy: hashes of all substrings that
+end at ``i`` probe the sorted piece keys, pairs are looked up in a sorted table,
+and the fitting piece is taken by a maximum over the candidate lengths.
 
 No piece goes from another character to a space, nor holds a line feed, so a
-text is cut there first; :class:`Pieces` checks both of its model.
+text is cut there first (:func:`tokens`); :class:`Pieces` checks both of its model.
+A worker segments each distinct word once and keeps its ids (:class:`Store`); a
+text's ids are gathered from there by word numbers.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 from .common import GOLDEN, mix, powers
 
 SPACE = "▁"
 #: Words kept in a worker's cache (results are the same with any number).
-CACHE_WORDS = 300_000
-#: Fewer words of one length than this are advanced by the plain loop.
-FEW = 200
+CACHE_WORDS = 250_000
+#: Pairs of pieces that a worker keeps.
+KEPT_PAIRS = 1_000_000
+#: Table entries (words x ends) advanced at once.
+ENTRIES = 1 << 18
 
 
 def default_model() -> str:
@@ -65,6 +70,8 @@ class Pieces:
         self.keys, self.key_ids = keys[order], np.fromiter(self.id_of.values(), np.int64)[order]
         if len(np.unique(keys)) != len(keys):
             raise ValueError("piece keys collide")
+        self._maybe = np.zeros(1 << 20, bool)               # by the upper 20 bits of a key
+        self._maybe[(keys >> np.uint64(44)).astype(np.int64)] = True
 
     @staticmethod
     def _codes(text: str) -> np.ndarray:
@@ -115,6 +122,8 @@ class Pieces:
         if len(self._fits) > 2000 + len(self._pairs) // 20:
             codes = np.concatenate([self._pairs, np.fromiter(self._fits, np.int64)])
             ok = np.concatenate([self._pairs_fit, np.fromiter(self._fits.values(), bool)])
+            if len(codes) > KEPT_PAIRS:             # the latest stay
+                codes, ok = codes[-len(self._fits):], ok[-len(self._fits):]
             order = np.argsort(codes, kind="stable")
             self._pairs, self._pairs_fit, self._fits = codes[order], ok[order], {}
 
@@ -127,52 +136,30 @@ class Pieces:
         last = np.full((w, n + 1), -1, np.int64)
         size = np.zeros((w, n + 1), np.int32)
         count = np.zeros((w, n + 1), np.int64)
-        if w < FEW:
-            for k, word in enumerate(words):
-                self._plain(word, last[k], size[k], count[k])
-            return last, size, count
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(w, n)
         n_bytes = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
         up, down = powers(n + 1)
         prefix = np.zeros((w, n + 1), np.uint64)
         np.cumsum(mix((chars.astype(np.uint64) + np.uint64(1)) * GOLDEN) * up[:n], axis=1, out=prefix[:, 1:])
         for i in range(1, n + 1):
-            found = np.full(w, -1, np.int64)
-            length = np.ones(w, np.int32)
-            for j in range(max(0, i - self.longest), i):
-                key = mix((prefix[:, i] - prefix[:, j]) * down[j])
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                rows = np.flatnonzero(self.keys[at] == key)
-                if not len(rows):
-                    continue
-                piece = self.key_ids[at[rows]]
-                ok = self._fit((last[rows, j] + 1) * self.size + piece)
-                # One candidate fits, so the maximum over lengths is that one.
-                found[rows] = np.maximum(found[rows], np.where(ok, piece, -1))
-                length[rows[ok]] = i - j
-            start = i - length
-            steps = np.where(found >= 0, 1, n_bytes[:, i - 1])
-            last[:, i], size[:, i] = found, length
-            count[:, i] = count[np.arange(w), start] + steps
+            lo = max(0, i - self.longest)
+            keys = mix((prefix[:, i, None] - prefix[:, lo:i]) * down[lo:i])
+            rows, j = np.nonzero(self._maybe[(keys >> np.uint64(44)).astype(np.int64)])
+            keys = keys[rows, j]
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            hit = self.keys[at] == keys
+            rows, j, piece = rows[hit], j[hit] + lo, self.key_ids[at[hit]]
+            ok = self._fit((last[rows, j] + 1) * self.size + piece)
+            # One candidate fits, so the maximum over lengths is that one.
+            np.maximum.at(last[:, i], rows[ok], piece[ok])
+            size[:, i] = 1
+            size[rows[ok], i] = i - j[ok]
+            steps = np.where(last[:, i] >= 0, 1, n_bytes[:, i - 1])
+            count[:, i] = count[np.arange(w), i - size[:, i]] + steps
         return last, size, count
 
-    def _plain(self, word: str, last: np.ndarray, size: np.ndarray, count: np.ndarray) -> None:
-        """The same table for one word, a loop over its characters."""
-        ends: list[int] = [-1]
-        for i in range(1, len(word) + 1):
-            piece, length = -1, 1
-            for j in range(max(0, i - self.longest), i):
-                k = self.id_of.get(word[j:i])
-                if k is not None and self.fits(ends[j], k):
-                    piece, length = k, i - j
-                    break
-            ends.append(piece)
-            last[i], size[i] = piece, length
-            count[i] = count[i - length] + (1 if piece >= 0 else len(word[i - 1].encode()))
-
-    def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
-        """word -> its ids as packed 32-bit integers, by walking the backpointers."""
-        out = {}
+    def segment(self, words: Iterable[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """(words, their ids end to end, ids of each), by walking the backpointers."""
         for group, (last, size, _) in self._tables(words):
             n, rows = len(group[0]), np.arange(len(group))
             at, columns = np.full(len(group), n), []
@@ -181,17 +168,24 @@ class Pieces:
                 columns.append((piece, at.copy()))
                 at = at - np.where(at > 0, size[rows, at], 0)
             ids = np.stack([c[0] for c in reversed(columns)], axis=1)
-            ends = np.stack([c[1] for c in reversed(columns)], axis=1)
             strange = (ids == -1).any(axis=1)
-            flat, lengths = ids[ids != -2].astype("<i4"), (ids != -2).sum(axis=1)
-            stop = np.cumsum(lengths)
-            for k, word in enumerate(group):
-                if strange[k]:
-                    row = [i for p, e in zip(ids[k].tolist(), ends[k].tolist(), strict=True) if p != -2
-                           for i in ([p] if p >= 0 else [self.byte_ids[b] for b in word[e - 1].encode()])]
-                    out[word] = np.array(row, "<i4").tobytes()
-                else:
-                    out[word] = flat[stop[k] - lengths[k]:stop[k]].tobytes()
+            known = ids[~strange]
+            yield ([group[k] for k in np.flatnonzero(~strange)], known[known != -2].astype(np.int32),
+                   (known != -2).sum(axis=1))
+            if strange.any():
+                ends = np.stack([c[1] for c in reversed(columns)], axis=1)
+                some = np.flatnonzero(strange).tolist()
+                spelt = [[i for p, e in zip(ids[k].tolist(), ends[k].tolist(), strict=True) if p != -2
+                          for i in ([p] if p >= 0 else [self.byte_ids[b] for b in group[k][e - 1].encode()])] for k in some]
+                yield ([group[k] for k in some], np.array([i for row in spelt for i in row], np.int32),
+                       np.array([len(row) for row in spelt]))
+
+    def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
+        """word -> its ids as packed 32-bit integers."""
+        out = {}
+        for group, flat, n in self.segment(words):
+            ends = np.cumsum(n)
+            out.update((w, flat[e - k:e].astype("<i4").tobytes()) for w, e, k in zip(group, ends, n, strict=True))
         return out
 
     def count_words(self, words: Iterable[str]) -> dict[str, int]:
@@ -204,7 +198,7 @@ class Pieces:
         for w in words:
             by_length.setdefault(len(w), []).append(w)
         for n, group in by_length.items():
-            step = max(1, (1 << 20) // (n + 1))
+            step = max(1, ENTRIES // (n + 1))
             for lo in range(0, len(group), step):
                 yield group[lo:lo + step], self.table(group[lo:lo + step])
                 self._settle()
@@ -218,21 +212,93 @@ def split(text: str) -> list[str]:
     return _SPLIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-_MODELS: dict[str, Pieces] = {}
-_CACHES: dict[tuple[str, str], dict] = {}
+def tokens(data: np.ndarray, at: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words, word numbers in order, first word of each text and the end) of the
+    texts data[at[i]:at[i + 1]].  Words are those of :func:`split` with plain spaces."""
+    mark = SPACE.encode()
+    if (raw := data.tobytes()).find(mark) >= 0:
+        texts = [raw[a:b].replace(mark, b" ") for a, b in zip(at[:-1], at[1:], strict=True)]
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        at = np.r_[0, np.cumsum([len(t) for t in texts], dtype=np.int64)]
+    some = np.diff(at) > 0
+    data = np.insert(data, at[:-1][some], 0x20)
+    at = at + np.r_[0, np.cumsum(some)]
+    if not len(data):
+        return pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
+    space, feed = data == 0x20, data == 0x0A
+    opens = feed.copy()
+    opens[1:] |= feed[:-1] | (space[1:] & ~space[:-1])
+    opens[at[:-1][some]] = True
+    start = np.flatnonzero(opens)
+    column = pa.StringArray.from_buffers(len(start), pa.py_buffer(np.r_[start, len(data)].astype(np.int32)), pa.py_buffer(data))
+    coded = column.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.searchsorted(start, at)
+
+
+class Store:
+    """A worker's known words, kept from task to task: ids of each end to end, and
+    whether they decode to the word (results are the same with any number kept)."""
 
+    def __init__(self, path: str):
+        self.pieces = load(path)
+        out = [t.replace(SPACE, " ").encode() if t in self.pieces.id_of else b"" for t in self.pieces.text]
+        for b, i in enumerate(self.pieces.byte_ids):
+            out[i] = bytes([b])
+        self.nothing = out.index(b"")       # a control piece
+        self.length = np.array([len(x) for x in out], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.bytes = np.frombuffer(b"".join(out), np.uint8)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.good = np.zeros(0, bool)
+
+    def decoded(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of the ids end to end, where each id's bytes end)."""
+        n = self.length[ids]
+        end = np.cumsum(n)
+        at = np.arange(end[-1] if len(end) else 0) + np.repeat(self.start[ids] - end + n, n)
+        return self.bytes[at], end
+
+    def numbers(self, distinct: pa.Array) -> np.ndarray:
+        """The number of each word; unknown ones are segmented first, all together."""
+        words = distinct.to_pylist()
+        if len(self.number) > CACHE_WORDS:
+            self._clear()
+        new = [w for w in words if w not in self.number]
+        if new:
+            flats, lengths, good = [self.flat], [], [self.good]
+            for group, flat, n in self.pieces.segment([w.replace(" ", SPACE) for w in new]):
+                group = [w.replace(SPACE, " ") for w in group]
+                self.number.update(zip(group, range(len(self.number), len(self.number) + len(group)), strict=True))
+                flats.append(flat)
+                lengths.append(n)
+                raw, ends = self.decoded(flat)
+                ends = np.r_[0, ends][np.r_[0, np.cumsum(n)]]
+                raw = raw.tobytes()
+                good.append(np.array([raw[a:b] == w.encode() for a, b, w in zip(ends[:-1], ends[1:], group, strict=True)], bool))
+            self.flat, self.good = np.concatenate(flats), np.concatenate(good)
+            self.first = np.r_[self.first, self.first[-1] + np.cumsum(np.concatenate(lengths))]
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def ids(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words end to end, where each word's end)."""
+        n = self.first[number + 1] - self.first[number]
+        end = np.cumsum(n)
+        at = np.arange(end[-1] if len(end) else 0) + np.repeat(self.first[number] - end + n, n)
+        return self.flat[at], end
 
-def cache(path: str, kind: str) -> dict:
-    """A worker's known words, kept from task to task."""
-    return _CACHES.setdefault((path, kind), {})
+
+_MODELS: dict[str, Pieces] = {}
+_STORES: dict[str, Store] = {}
 
 
-def trim(known: dict, words: set) -> None:
-    """Beyond CACHE_WORDS, only the ``words`` of the texts at hand stay known."""
-    if len(known) > CACHE_WORDS:
-        kept = {w: known[w] for w in words}
-        known.clear()
-        known.update(kept)
+def store(path: str) -> Store:
+    if path not in _STORES:
+        _STORES[path] = Store(path)
+    return _STORES[path]
 
 
 def load(path: str) -> Pieces:

@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding by batched dynamic programming (``pieces``).
 
 ``encode`` gives the ids that the library gives for the same model; ``decode``
-is its inverse.  Every distinct word of a batch is segmented once, words of
-equal length together, and a document's ids are its words' ids joined.
+is its inverse.  Every distinct word that a worker has not seen lately is
+segmented, words of equal length together, and a document's ids are its words'
+ids, gathered by word number.
 
 Edge cases: a null or empty text has no ids (an empty array) and decodes to the
 empty text; characters outside the vocabulary become byte pieces; a text that
@@ -20,92 +21,59 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import text_chunks
-from .pieces import SPACE, cache, default_model, load, split, trim
+from .pieces import default_model, store, tokens
 
 
-def _batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    for part, data, at in text_chunks(batches, column, 4 << 20):
-        raw = data.tobytes()
-        yield part, [raw[a:b].decode() for a, b in zip(at[:-1], at[1:], strict=True)]
+#: Text bytes encoded at once.
+CHUNK = 4 << 20
+
+
+def _encoded(part: pa.RecordBatch, data: np.ndarray, at: np.ndarray, path: str) -> tuple[pa.ListArray, np.ndarray]:
+    """(ids of each text, whether all its words' ids decode to them)."""
+    words = store(path)
+    distinct, code, first = tokens(data, at)
+    number = words.numbers(distinct)[code]
+    flat, ends = words.ids(number)
+    bad = np.r_[0, np.cumsum(~words.good[number])][first]
+    offsets = pa.array(np.r_[0, ends][first].astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(flat)), bad[1:] == bad[:-1]
 
 
 def encode(docs: DataFrame, model: str | None = None, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with a column ``ids``: the text's piece ids (array of int)."""
+    """``docs`` with a column ``ids``: the text's piece ids (array of int).  As with
+    ``withColumn``, a column of that name is replaced."""
     path = model or default_model()
     kept = [c for c in docs.columns if c != ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load(path)
-        for part, texts in _batches(batches, text):
-            known = cache(path, "ids")
-            tokens = [split(t) for t in texts]
-            distinct = {w for t in tokens for w in t}
-            known.update(pieces.encode_words(distinct - known.keys()))
-            packed = [b"".join([known[w] for w in t]) for t in tokens]
-            trim(known, distinct)
-            ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
-            values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), values)],
-                                             [*part.schema.names, ids])
+        for part, data, at in text_chunks(batches, text, CHUNK):
+            yield pa.RecordBatch.from_arrays([*part.columns, _encoded(part, data, at, path)[0]], [*part.schema.names, ids])
 
     schema = docs.select(*kept).schema.add(ids, T.ArrayType(T.IntegerType()))
     return docs.select(*kept).mapInArrow(run, schema)
 
 
-#: Ids decoded at once.
-DECODE_IDS = 1 << 19
-
-
-class Decoder:
-    """The bytes of every id, end to end, so that numpy can gather them."""
-
-    def __init__(self, path: str):
-        pieces = load(path)
-        out = [t.replace(SPACE, " ").encode() if t in pieces.id_of else b"" for t in pieces.text]
-        for b, i in enumerate(pieces.byte_ids):
-            out[i] = bytes([b])
-        self.nothing = out.index(b"")       # a control piece
-        self.length = np.array([len(x) for x in out], np.int64)
-        self.start = np.cumsum(self.length) - self.length
-        self.bytes = np.frombuffer(b"".join(out), np.uint8)
-
-    def __call__(self, ids: np.ndarray) -> bytes:
-        parts = []
-        for lo in range(0, len(ids), DECODE_IDS):
-            some = ids[lo:lo + DECODE_IDS]
-            n = self.length[some]
-            end = np.cumsum(n)
-            at = np.arange(end[-1]) + np.repeat(self.start[some] - end + n, n)
-            parts.append(self.bytes[at].tobytes())
-        return b"".join(parts)
-
-    def ends(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Where each row's bytes end, for rows that end at ``at``."""
-        return np.r_[0, np.cumsum(self.length[ids])][at]
-
-
 def decode(encoded: DataFrame, model: str | None = None, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``encoded`` with a column ``text``: the text of its ids."""
+    """``encoded`` with a column ``text``: the text of its ids; a column of that name is replaced."""
     path = model or default_model()
     kept = [c for c in encoded.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(path)
+        words = store(path)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 column = part.column(part.schema.get_field_index(ids))
                 flat = column.flatten()                             # without null rows
                 n = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-                at = np.r_[0, np.cumsum(n)]
                 known = flat.is_valid().to_numpy(zero_copy_only=False)
                 values = pc.fill_null(flat, 0).to_numpy(zero_copy_only=False)
-                values = np.where(known, values, decoder.nothing) if not known.all() else values
-                raw, ends = decoder(values), decoder.ends(values, at)
+                values = np.where(known, values, words.nothing) if not known.all() else values
+                raw, ends = words.decoded(values)
+                raw, ends = raw.tobytes(), np.r_[0, ends][np.r_[0, np.cumsum(n)]]
                 texts = [None if null else raw[a + (raw[a:a + 1] == b" " and a < b):b].decode("utf-8", "replace")
                          for a, b, null in zip(ends[:-1].tolist(), ends[1:].tolist(),
                                                column.is_null().to_pylist(), strict=True)]
@@ -117,8 +85,16 @@ def decode(encoded: DataFrame, model: str | None = None, ids: str = "ids", text:
 
 
 def encode_checked(docs: DataFrame, model: str | None = None) -> DataFrame:
-    """(doc_id, ids, n_tokens, round_trip): the ids, and whether they decode to the text."""
-    both = decode(encode(docs.select("doc_id", "text"), model), model)
-    whole = F.coalesce(F.translate("text", SPACE, " "), F.lit(""))
-    return both.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"),
-                       (F.col("decoded") == whole).alias("round_trip"))
+    """(doc_id, ids, n_tokens, round_trip): the ids, and whether they decode to the text (to
+    all its words, which decode apart: each distinct word is encoded and decoded once)."""
+    path = model or default_model()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, at in text_chunks(batches, "text", CHUNK):
+            lists, good = _encoded(part, data, at, path)
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, pc.list_value_length(lists).cast(pa.int64()), pa.array(good)],
+                                             ["doc_id", "ids", "n_tokens", "round_trip"])
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, ids array<int>, n_tokens bigint, round_trip boolean")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_chunks
-from .pieces import Pieces, cache, default_model, load, split, trim
+from .pieces import CACHE_WORDS, SPACE, Pieces, default_model, load, split, tokens
 
 LIMIT = 4096
 
@@ -56,6 +56,14 @@ class PrefixCounts:
         return int(np.flatnonzero(self.counts <= max(0, budget))[-1])
 
 
+_KNOWN: dict[str, dict[str, int]] = {}
+
+
+def _counts(path: str) -> dict[str, int]:
+    """A worker's known words with their token counts, kept from task to task."""
+    return _KNOWN.setdefault(path, {})
+
+
 def _texts(data: np.ndarray, at: np.ndarray) -> list[str]:
     raw = data.tobytes()
     return [raw[a:b].decode() for a, b in zip(at[:-1], at[1:], strict=True)]
@@ -67,16 +75,17 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load(path)
+        known = _counts(path)
         for part, data, at in text_chunks(batches, max_bytes=4 << 20):
-            known = cache(path, "counts")
-            tokens = [split(t) for t in _texts(data, at)]
-            distinct = {w for t in tokens for w in t}
-            known.update(pieces.count_words(distinct - known.keys()))
-            n = [sum([known[w] for w in t]) for t in tokens]
-            trim(known, distinct)
+            distinct, code, first = tokens(data, at)
+            words = [w.replace(" ", SPACE) for w in distinct.to_pylist()]
+            known.update(load(path).count_words([w for w in words if w not in known]))
+            each = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            total = np.r_[0, np.cumsum(each[code])][first]
+            if len(known) > CACHE_WORDS:
+                known.clear()
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(np.diff(at)), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+                [part.column(0), pa.array(np.diff(at)), pa.array(np.diff(total))], ["doc_id", "n_bytes", "n_tokens"])
 
     return (docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint")
             .withColumn("over_limit", F.col("n_tokens") > F.lit(limit)))
