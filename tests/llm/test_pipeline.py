@@ -1,11 +1,13 @@
+from collections import Counter
 
 import pyarrow.parquet as pq
 import sentencepiece
 from test_decontamination import brute as contaminated
+from test_line_dedup import is_near
 from test_simhash import brute as components
 
 import corpus_pipeline
-from torque.llm import line_dedup, pieces, toxicity
+from torque.llm import pieces, toxicity
 from torque.llm.common import read_table, stage
 
 SF = "/root/testdata/sf0.001"
@@ -16,25 +18,28 @@ def rows(df):
 
 
 def without_repeated_lines(texts):
-    """Brute force over all pairs of lines of like length."""
+    """Brute force by the rule of the docstring: a plain edit distance over all pairs of lines of like length."""
     place = {}
     for i, t in sorted(texts.items()):
-        for k, x in line_dedup.lines_of(t.encode()):
-            place.setdefault(x.decode(), (i, k))
+        for k, x in enumerate(t.split("\n")):
+            if x := x.strip(" \t\n\x0b\f\r"):
+                place.setdefault(x, (i, k))
     lines = sorted(place, key=len)
-    pairs = []
+    letters = {x: Counter(x) for x in lines}
+    beaten = set()
     for a, x in enumerate(lines):
         for y in lines[a + 1:]:
-            if len(y) - len(x) > line_dedup.DISTANCE:
+            if len(y) - len(x) > min(2, len(x) // 5):
                 break
-            pairs.append((x, y))
-    ok = line_dedup.near([x for x, _ in pairs], [y for _, y in pairs], line_dedup.DISTANCE)
-    beaten = {max(p, key=place.get) for p, near in zip(pairs, ok, strict=True) if near}
+            # More letters of one line alone than two edits bring in: not near.
+            if (letters[y] - letters[x]).total() <= 2 and is_near(x, y):
+                beaten.add(max(x, y, key=place.get))
     out = {}
     for i, t in texts.items():
-        marks = {k: x.decode() for k, x in line_dedup.lines_of(t.encode())}
-        out[i] = "\n".join(x for k, x in enumerate(t.split("\n"))
-                           if k not in marks or (place[marks[k]] == (i, k) and marks[k] not in beaten))
+        parts = t.split("\n")
+        marks = [x.strip(" \t\n\x0b\f\r") for x in parts]
+        out[i] = "\n".join(x for k, (x, m) in enumerate(zip(parts, marks, strict=True))
+                           if not m or (place[m] == (i, k) and m not in beaten))
     return out
 
 

@@ -2,10 +2,11 @@
 
 Lines are the \\n-split parts of a text, without ASCII white space at their
 ends; every line with another character takes part.  A line goes if the same
-line, or one within ``DISTANCE`` edits of it, stands earlier (by doc_id, then by
-place); other lines stay as they are.  Two lines are near only if both have
-``DISTANCE + 1`` characters or more: any two shorter ones are within that many
-edits, so those go by equality alone.
+line, or a near one, stands earlier (by doc_id, then by place); other lines stay
+as they are.  Two lines are near if they are within ``DISTANCE`` edits and the
+edits are at most one for every ``PER_EDIT`` characters of the shorter line
+(:func:`allowed`): lines of up to four characters go by equality alone, of five
+to nine with one edit, longer ones with two.
 
 A line of n characters is split into ``DISTANCE + 1`` segments.  Two lines within
 that many edits share one segment, at a place bounded by the edits on either
@@ -24,8 +25,9 @@ AQE's skew join.  No candidate is dropped.
 Edge cases: a null text has no lines and stays null; an empty text stays empty;
 a text whose lines all go becomes empty; rows of one ``doc_id`` are told apart
 by their text, and a repeated row (same id and text) is the same document; a
-null ``doc_id`` comes after all others, ordered by a hash of its text; an empty
-table gives an empty one; :func:`dedup_lines` keeps all columns.
+null ``doc_id`` comes after all others, ordered by a hash of its text; ids of any
+ordered type are compared as they are; an empty table gives an empty one;
+:func:`dedup_lines` keeps all columns.
 """
 
 from __future__ import annotations
@@ -40,13 +42,17 @@ from pyspark.sql import functions as F
 
 from .common import GOLDEN, MIX_1, broadcast_if_small, mix, prefix_hash, span_hash, stage, text_chunks
 
-DISTANCE, MIN_CHARS = 2, 1
+DISTANCE, MIN_CHARS, PER_EDIT = 2, 1, 5
 WHITE = b" \t\n\x0b\f\r"
-LAST = (1 << 63) - 1
 #: Characters of padded pairs verified at once.
 VERIFY_CHARS = 1 << 21
 
 
+def allowed(n: np.ndarray, distance: int) -> np.ndarray:
+    """Edits within which a line of n characters and a longer one are near."""
+    return np.minimum(distance, n // PER_EDIT)
+
+
 def lines_of(text: bytes, min_chars: int = MIN_CHARS) -> list[tuple[int, bytes]]:
     """(number, stripped line) of the lines of a text that take part: not the empty ones."""
     out = []
@@ -141,8 +147,9 @@ def sketches(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _keys(distance: int, probe: bool, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, at in text_chunks(batches):
-            # Shorter lines have no distance + 1 segments: they go by equality alone.
-            distinct = list({line for text in _raw(data, at) for _, line in lines_of(text, max(min_chars, distance + 1))})
+            # Shorter lines are near none; longer ones have distance + 1 segments.
+            least = max(min_chars, PER_EDIT, distance + 1)
+            distinct = list({line for text in _raw(data, at) for _, line in lines_of(text, least)})
             if not distinct:
                 continue
             ids = np.array([line_id(x) for x in distinct], np.int64)
@@ -155,8 +162,9 @@ def _keys(distance: int, probe: bool, min_chars: int):
 
 # -- verification --------------------------------------------------------------
 
-def within(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, distance: int) -> np.ndarray:
-    """Whether each pair of padded rows a[:n], b[:m] is within ``distance`` edits.
+def banded(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, distance: int) -> np.ndarray:
+    """The edit distance of each pair of padded rows a[:n], b[:m]; if it is over
+    ``distance``, some number over it.
 
     Bit-parallel along the diagonal band: bit 63 of a column's words stands for the
     band's lowest row, and the distance is followed down that diagonal until the
@@ -164,7 +172,6 @@ def within(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, distance:
     (character codes are shifted by 2), so padding never matches."""
     w = 2 * distance + 1
     one = np.uint64(1)
-    pairs = np.arange(len(n))
     vp = np.full(len(n), (~np.uint64(0)) << np.uint64(63 - distance), np.uint64)
     vn = np.zeros(len(n), np.uint64)
     dist = np.full(len(n), distance, np.int64)
@@ -190,18 +197,18 @@ def within(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, distance:
         across[along] -= one
         vp = hn | ~((d0 >> one) | hp)
         vn = (d0 >> one) & hp
-    return (dist <= distance) & (np.abs(n - m) <= distance) & (pairs >= 0)
+    return np.where(np.abs(n - m) <= distance, dist, distance + 1)
 
 
 def near(left: list[str], right: list[str], distance: int) -> np.ndarray:
-    """Whether each pair is within ``distance`` edits."""
+    """Whether each pair of lines is near (see :func:`allowed`)."""
     out = np.zeros(len(left), bool)
     swap = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(left, right, strict=True)]
     n = np.array([len(x) for x, _ in swap], np.int64)
     m = np.array([len(y) for _, y in swap], np.int64)
     size = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(m, 1))).astype(np.int64))
     for width in np.unique(size):
-        rows = np.flatnonzero((size == width) & (m - n <= distance) & (n >= distance))
+        rows = np.flatnonzero((size == width) & (m - n <= allowed(n, distance)) & (n >= max(PER_EDIT, distance)))
         step = max(1, VERIFY_CHARS // int(width))
         for lo in range(0, len(rows), step):
             some = rows[lo:lo + step]
@@ -212,7 +219,7 @@ def near(left: list[str], right: list[str], distance: int) -> np.ndarray:
                     code = np.frombuffer(swap[k][side].encode("utf-32-le"), np.uint32)
                     box[r, :len(code)] = code + 2
                 padded.append(box)
-            out[some] = within(padded[0], n[some], padded[1], m[some], distance)
+            out[some] = banded(padded[0], n[some], padded[1], m[some], distance) <= allowed(n[some], distance)
     return out
 
 
@@ -238,7 +245,7 @@ def _pick(min_chars: int):
 
 
 def line_links(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(a, b): every pair of distinct lines within ``distance`` edits, once, a < b by id."""
+    """(a, b): every pair of distinct near lines, once, a < b by id."""
     text = docs.select("text")
     schema = "segment bigint, id bigint, chars bigint, pairs bigint"
     index = text.mapInArrow(_keys(distance, False, min_chars), schema).alias("i")
@@ -263,10 +270,11 @@ def line_links(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_C
 
 def repeated_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS) -> DataFrame:
     """(key, number, near): the lines to remove from rows (key, text, doc); near: no equal
-    line stands earlier, but one within ``distance`` edits does."""
+    line stands earlier, but a near one does."""
+    kind = docs.schema["doc"].dataType.simpleString()
     places = docs.select("key", "doc", "text").mapInArrow(
-        _lines(min_chars), "id bigint, doc bigint, key bigint, number int")
-    place = F.struct("doc", "key", "number")
+        _lines(min_chars), f"id bigint, doc {kind}, key bigint, number int")
+    place = F.struct(F.col("doc").isNull().alias("last"), "doc", "key", "number")
     first = stage(places.groupBy("id").agg(F.min(place).alias("first")), "line-first")
     links = line_links(docs, distance, min_chars)
     both = links.union(links.select("b", "a")).toDF("id", "other")
@@ -293,8 +301,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(docs: DataFrame, *columns) -> DataFrame:
-    return docs.select(F.xxhash64("doc_id", "text").alias("key"), "text",
-                       F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), *columns)
+    return docs.select(F.xxhash64("doc_id", "text").alias("key"), "text", F.col("doc_id").alias("doc"), *columns)
 
 
 def _cut_rows(docs: DataFrame, distance: int, min_chars: int) -> DataFrame:

@@ -69,8 +69,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of every whole text that stand earlier: equal ones of any length but empty, and those
-    of three characters or more up to two edits."""
+    """Lines of every whole text that stand earlier: equal ones of any length but empty, and near
+    ones, up to two edits and one for every five characters."""
     return line_dedup.line_dedup(read_table(spark, sf_dir, "documents"))
 
 
