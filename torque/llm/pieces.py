@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import GOLDEN, mix, powers
 
@@ -33,6 +34,7 @@ SPACE = "▁"
 CACHE_WORDS = 250_000
 #: Pairs of pieces that a worker keeps.
 KEPT_PAIRS = 1_000_000
+_UPPER = np.uint64(44)
 #: Table entries (words x ends) advanced at once.
 ENTRIES = 1 << 18
 
@@ -70,8 +72,12 @@ class Pieces:
         self.keys, self.key_ids = keys[order], np.fromiter(self.id_of.values(), np.int64)[order]
         if len(np.unique(keys)) != len(keys):
             raise ValueError("piece keys collide")
-        self._maybe = np.zeros(1 << 20, bool)               # by the upper 20 bits of a key
-        self._maybe[(keys >> np.uint64(44)).astype(np.int64)] = True
+        # Where the sorted keys of the same upper bits begin, and how many have them at most.
+        self._from = np.searchsorted(self.keys >> _UPPER, np.arange((1 << 20) + 1, dtype=np.uint64)).astype(np.int32)
+        self._some = np.diff(self._from) > 0
+        self._crowd = int(np.diff(self._from).max())
+        # Pairs seen lately by a hash of theirs: most are answered here.
+        self._slot, self._slot_fits = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20, bool)
 
     @staticmethod
     def _codes(text: str) -> np.ndarray:
@@ -79,7 +85,7 @@ class Pieces:
 
     def _key(self, text: str) -> np.uint64:
         with np.errstate(over="ignore"):
-            return mix(np.array([(self._codes(text) * powers(len(text))[0][:len(text)]).sum()]))[0]
+            return (self._codes(text) * powers(len(text))[0][:len(text)]).sum()
 
     # -- pairs ------------------------------------------------------------------
     def _merge(self, text: str) -> list[str]:
@@ -107,6 +113,14 @@ class Pieces:
 
     def _fit(self, pairs: np.ndarray) -> np.ndarray:
         """``fits`` for codes (before + 1) * size + piece."""
+        slot = ((pairs.view(np.uint64) * GOLDEN) >> _UPPER).astype(np.int64)
+        out, new = self._slot_fits[slot], np.flatnonzero(self._slot[slot] != pairs)
+        if len(new):
+            out[new] = self._look_up(pairs[new])
+            self._slot[slot[new]], self._slot_fits[slot[new]] = pairs[new], out[new]
+        return out
+
+    def _look_up(self, pairs: np.ndarray) -> np.ndarray:
         out, new = np.zeros(len(pairs), bool), np.ones(len(pairs), bool)
         if len(self._pairs):
             at = np.minimum(np.searchsorted(self._pairs, pairs), len(self._pairs) - 1)
@@ -143,10 +157,13 @@ class Pieces:
         np.cumsum(mix((chars.astype(np.uint64) + np.uint64(1)) * GOLDEN) * up[:n], axis=1, out=prefix[:, 1:])
         for i in range(1, n + 1):
             lo = max(0, i - self.longest)
-            keys = mix((prefix[:, i, None] - prefix[:, lo:i]) * down[lo:i])
-            rows, j = np.nonzero(self._maybe[(keys >> np.uint64(44)).astype(np.int64)])
-            keys = keys[rows, j]
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            keys = (prefix[:, i, None] - prefix[:, lo:i]) * down[lo:i]
+            upper = (keys >> _UPPER).astype(np.int32)
+            rows, j = np.nonzero(self._some[upper])     # some piece has these upper bits
+            keys, at = keys[rows, j], self._from[upper[rows, j]]
+            for _ in range(self._crowd - 1):
+                at = at + (self.keys[at] < keys)
+                at = np.minimum(at, len(self.keys) - 1)
             hit = self.keys[at] == keys
             rows, j, piece = rows[hit], j[hit] + lo, self.key_ids[at[hit]]
             ok = self._fit((last[rows, j] + 1) * self.size + piece)
@@ -264,25 +281,32 @@ class Store:
 
     def numbers(self, distinct: pa.Array) -> np.ndarray:
         """The number of each word; unknown ones are segmented first, all together."""
-        words = distinct.to_pylist()
+        words = pc.replace_substring(distinct, " ", SPACE).to_pylist()
         if len(self.number) > CACHE_WORDS:
             self._clear()
         new = [w for w in words if w not in self.number]
         if new:
             flats, lengths, good = [self.flat], [], [self.good]
-            for group, flat, n in self.pieces.segment([w.replace(" ", SPACE) for w in new]):
-                group = [w.replace(SPACE, " ") for w in group]
+            for group, flat, n in self.pieces.segment(new):
                 self.number.update(zip(group, range(len(self.number), len(self.number) + len(group)), strict=True))
                 flats.append(flat)
                 lengths.append(n)
-                raw, ends = self.decoded(flat)
-                ends = np.r_[0, ends][np.r_[0, np.cumsum(n)]]
-                raw = raw.tobytes()
-                good.append(np.array([raw[a:b] == w.encode() for a, b, w in zip(ends[:-1], ends[1:], group, strict=True)], bool))
+                good.append(self._round_trip(group, flat, n))
             self.flat, self.good = np.concatenate(flats), np.concatenate(good)
             self.first = np.r_[self.first, self.first[-1] + np.cumsum(np.concatenate(lengths))]
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
+    def _round_trip(self, group: list[str], flat: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether the ids of each word decode to it."""
+        raw, ends = self.decoded(flat)
+        got = np.diff(np.r_[0, ends][np.r_[0, np.cumsum(n)]])
+        plain = "".join(group).replace(SPACE, " ")
+        length = pc.binary_length(pc.replace_substring(pa.array(group, pa.string()), SPACE, " ")).to_numpy()
+        if np.array_equal(got, length) and raw.tobytes() == plain.encode():
+            return np.ones(len(group), bool)
+        at, raw = np.r_[0, np.cumsum(got)], raw.tobytes()
+        return np.array([raw[a:b] == w.replace(SPACE, " ").encode() for a, b, w in zip(at[:-1], at[1:], group, strict=True)], bool)
+
     def ids(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the words end to end, where each word's end)."""
         n = self.first[number + 1] - self.first[number]

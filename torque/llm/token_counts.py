@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,7 +79,7 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT)
         known = _counts(path)
         for part, data, at in text_chunks(batches, max_bytes=4 << 20):
             distinct, code, first = tokens(data, at)
-            words = [w.replace(" ", SPACE) for w in distinct.to_pylist()]
+            words = pc.replace_substring(distinct, " ", SPACE).to_pylist()
             known.update(load(path).count_words([w for w in words if w not in known]))
             each = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
             total = np.r_[0, np.cumsum(each[code])][first]
