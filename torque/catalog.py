@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import catalog_derived
 from .fixtures import (BATCH_ORDER, RATE_BASE_CODE, RATE_UNIX_TIME, RATES, LINE_KEYS, LINE_ORDER, MERGE_KEY, MERGE_RUN_TS, line_batch, merge_incoming,
                        merge_target, negative_prices, returned_order_keys, source, ts)
 from .functions.jsonfn import damage_rule, json_check
@@ -518,3 +519,6 @@ def q_reconcile_etl_elt(spark, sf):
 def q_stream_upsert_latest(spark, sf):
     events = source(spark, sf).table("events")
     return stream_latest_per_key(spark, events, scratch_path(spark, "stream"), ["user_id"], ["ts", "event_id"])
+
+
+QUERIES.update(catalog_derived.QUERIES)

@@ -114,13 +114,15 @@ def _dim_inputs(t: Tables):
     return cars, brands, types
 
 
-def dim_car_detail(t: Tables, window: Window) -> DataFrame:
+def dim_car_detail(t: Tables, window: Window | None) -> DataFrame:
     """G4 = J2 + F3 + E3: cars with brand and type, kept when the car, its
     brand or its type changed in the window (the source query's form: the
-    three-way OR is evaluated after both joins)."""
+    three-way OR is evaluated after both joins).  Without a window: all cars."""
     cars, brands, types = _dim_inputs(t)
     j = (cars.join(brands, F.col("c_brand_id") == F.col("b_id"), "inner")
          .join(types, F.col("c_type_id") == F.col("t_id"), "inner"))
+    if window is None:
+        return _dim_select(j)
     changed = (changed_in(window, "c_updated_at", "c_created_at")
                | changed_in(window, "b_updated_at", "b_created_at")
                | changed_in(window, "t_updated_at", "t_created_at"))
@@ -183,16 +185,16 @@ def base_currency_ordered(rates: DataFrame) -> DataFrame:
     return rates.filter(F.col("rate") == 1).select(F.col("code").alias("base_code")).orderBy("base_code").limit(1)
 
 
-def fact_sales(t: Tables, rates: RatesSnapshot, window: Window,
+def fact_sales(t: Tables, rates: RatesSnapshot, window: Window | None,
                base: DataFrame | None = None) -> DataFrame:
-    """G3 = J3 + J4 + J6 + E2: sales changed in the window, INNER joined to
+    """G3 = J3 + J4 + J6 + E2: sales changed in the window (all without one), INNER joined to
     car, brand, currency and rate, priced exactly in the base currency.
     Customers and cities only prove existence, so they are semi-joins (equal to
     the inner joins on unique keys).  The base code is a one-row relation
     joined on true in the source query; here it is a scalar subquery folded
     into the projection (no join at all), and an empty base relation still
     gives an empty fact."""
-    s = t["car_sales"].filter(changed_in(window))
+    s = t["car_sales"] if window is None else t["car_sales"].filter(changed_in(window))
     s = _cols(s, "s_", ["id", "car_id", "customer_id", "price", "currency_id", "transaction_date"])
     cars = _cols(t["cars"], "c_", ["id", "name", "brand_id"])
     brands = _small(t["brands"], "b_", ["id", "name"])

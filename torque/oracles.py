@@ -10,6 +10,8 @@ base currency USD, where the source takes a code whose rate is 1.
 
 from __future__ import annotations
 
+from . import catalog_derived
+
 # -- fixture views (the source database) -------------------------------------
 
 CTES: dict[str, str] = {}
@@ -147,7 +149,9 @@ def with_ctes(body: str, *needs: str) -> str:
     if not order:
         return body.strip()
     parts = ",\n".join(f"{n} as ({CTES[n].strip()})" for n in order)
-    return f"with {parts}\n{body.strip()}"
+    body = body.strip()
+    # A body with views of its own continues the list.
+    return f"with {parts},\n{body.removeprefix('with ')}" if body.startswith("with ") else f"with {parts}\n{body}"
 
 
 # -- per-key SQL ----------------------------------------------------------------
@@ -595,3 +599,7 @@ register("stream_upsert_latest", """
 select * exclude (rn) from (
   select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
   from events) where rn = 1""")
+
+
+for _key, (_body, _needs) in catalog_derived.SQL.items():
+    register(_key, _body, *_needs)

@@ -12,7 +12,7 @@ import tempfile
 import threading
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins from runtime sizes (this is
 # the size check behind every broadcast we do not hint ourselves) and splits
@@ -80,6 +80,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder under the work folder and read from there: its
+    plan runs once, its lineage ends, and counting it reads file footers only."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Target bytes per shuffle partition.  AQE coalesces small partitions, so the
 # configured count is an upper bound sized for the input: at 100 TB this gives
 # hundreds of thousands of partitions of ~128 MB, each fitting executor memory.
