@@ -61,8 +61,8 @@ def test_segment_keys_find_every_near_pair():
             a = "".join(rng.choice(LETTERS) for _ in range(rng.randint(2 * distance + 2, 30)))
             b = changed(rng, a, rng.randint(0, distance))
             short, long = sorted((a, b), key=len)
-            index = set(L.segment_keys([short.encode()], distance, False)[1].tolist())
-            assert index & set(L.segment_keys([long.encode()], distance, True)[1].tolist())
+            index = set(L.segment_keys(*L.coded([short.encode()]), distance, False)[1].tolist())
+            assert index & set(L.segment_keys(*L.coded([long.encode()]), distance, True)[1].tolist())
 
 
 def test_sketches_never_part_near_lines():
@@ -70,7 +70,7 @@ def test_sketches_never_part_near_lines():
     for distance in (1, 2, 3):
         a = ["".join(rng.choice(LETTERS) for _ in range(rng.randint(8, 40))) for _ in range(300)]
         b = [changed(rng, x, distance) for x in a]
-        left, right = (L.sketches([x.encode() for x in side]) for side in (a, b))
+        left, right = (L.sketches(*L.coded([x.encode() for x in side])) for side in (a, b))
         for x, y, bound in zip(left, right, (2 * distance, 4 * distance), strict=True):
             assert max(((int(p) ^ int(q)) & (2**64 - 1)).bit_count() for p, q in zip(x, y, strict=True)) <= bound
 

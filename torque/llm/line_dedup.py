@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, MIX_1, broadcast_if_small, mix, prefix_hash, span_hash, stage, text_chunks
+from .common import GOLDEN, MIX_1, MIX_2, broadcast_if_small, mix, prefix_hash, span_hash, stage, text_chunks
 
 DISTANCE, MIN_CHARS, PER_EDIT = 2, 1, 5
 WHITE = b" \t\n\x0b\f\r"
@@ -103,17 +103,33 @@ def segments(n: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray]
     return out
 
 
+#: Hashes of the characters up to U+FFFF, looked up rather than computed.
+_BMP = mix((np.arange(1 << 16, dtype=np.uint64) + np.uint64(1)) * GOLDEN)
+
+
+def char_codes(text: str) -> np.ndarray:
+    """A 64-bit hash of every character."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    out = _BMP[np.minimum(codes, 0xFFFF)]
+    beyond = np.flatnonzero(codes >= 0xFFFF)
+    out[beyond] = mix((codes[beyond].astype(np.uint64) + np.uint64(1)) * GOLDEN)
+    return out
+
+
 def _key(h: np.ndarray, n: np.ndarray, i: int) -> np.ndarray:
     return mix(h ^ (n.astype(np.uint64) * np.uint64(64) + np.uint64(i)) * GOLDEN).view(np.int64)
 
 
-def segment_keys(lines: list[bytes], distance: int, probe: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(line number, key): the keys that lines put into the index, or probe it with."""
+def coded(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(characters of each line, hashes of all characters)."""
     text = [x.decode("utf-8", "replace") for x in lines]
-    m = np.array([len(t) for t in text], np.int64)
+    return np.array([len(t) for t in text], np.int64), char_codes("".join(text))
+
+
+def segment_keys(m: np.ndarray, codes: np.ndarray, distance: int, probe: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, key): the keys that lines (:func:`coded`) put into the index, or probe it with."""
     begin = np.cumsum(m) - m
-    codes = np.frombuffer("".join(text).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    prefix = prefix_hash(mix((codes + np.uint64(1)) * GOLDEN))
+    prefix = prefix_hash(codes)
     rows, keys = [], []
     for shorter in range(distance + 1 if probe else 1):
         n = m - shorter
@@ -128,18 +144,15 @@ def segment_keys(lines: list[bytes], distance: int, probe: bool) -> tuple[np.nda
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def sketches(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit parity sketches of each line: of its characters, and of its character
-    pairs.  An edit flips at most 2 bits of the first and 4 of the second, so lines
-    further apart than that are no candidates."""
-    text = [x.decode("utf-8", "replace") for x in lines]
-    n = np.array([len(t) for t in text], np.int64)
+def sketches(n: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit parity sketches of each line (:func:`coded`): of its characters, and of its
+    character pairs.  An edit flips at most 2 bits of the first and 4 of the second, so
+    lines further apart than that are no candidates."""
     begin = np.cumsum(n) - n
-    codes = (np.frombuffer("".join(text).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)) * GOLDEN
-    one, low = np.uint64(1), np.uint64(63)
-    chars = one << (mix(codes) & low)
+    one, upper = np.uint64(1), np.uint64(58)
+    chars = one << (codes >> upper)
     pairs = np.zeros(len(codes), np.uint64)
-    pairs[:-1] = one << (mix(codes[:-1] * MIX_1 + codes[1:]) & low)
+    pairs[:-1] = one << ((codes[:-1] * MIX_1 + codes[1:] * MIX_2) >> upper)
     pairs[begin + n - 1] = 0                        # none across two lines
     return tuple(np.bitwise_xor.reduceat(x, begin).view(np.int64) for x in (chars, pairs))
 
@@ -153,8 +166,9 @@ def _keys(distance: int, probe: bool, min_chars: int):
             if not distinct:
                 continue
             ids = np.array([line_id(x) for x in distinct], np.int64)
-            row, key = segment_keys(distinct, distance, probe)
-            chars, pairs = sketches(distinct)
+            n, codes = coded(distinct)
+            row, key = segment_keys(n, codes, distance, probe)
+            chars, pairs = sketches(n, codes)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[row]), pa.array(chars[row]), pa.array(pairs[row])],
                                              ["segment", "id", "chars", "pairs"])
     return run
