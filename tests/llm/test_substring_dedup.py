@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def brute(docs, length):
-    words = [(S.LAST if i is None else i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in docs]
+    words = [((i is None, i if i is not None else 0), re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in docs]
     first = {}
     for i, w in words:
         for p in range(len(w) - length + 1):
@@ -59,6 +59,29 @@ def test_random_passages(frame, spark):
     assert got(S.substring_dedup(spark.createDataFrame([], df.schema))) == []
 
 
+def test_small_blocks_text_ids_and_repeated_rows(spark):
+    rng = random.Random(7)
+    parts = [" ".join(rng.choice("abcd") for _ in range(20)) for _ in range(6)]
+    docs = [(f"d{i % 37}", " ".join(rng.choice(parts) for _ in range(rng.randint(0, 5)))) for i in range(90)]
+    docs += [("z", parts[0] + " " + parts[1])] * 40 + [(None, parts[0] + " " + parts[1])] * 3
+    df = spark.createDataFrame(docs, "doc_id string, text string").repartition(5)
+    rows = [(i, t) for i, t in docs]
+    ranked = {i: n for n, i in enumerate(sorted({i for i, _ in rows if i is not None}))}
+    back = {n: i for i, n in ranked.items()} | {None: None}
+    want = sorted(((back[r[0]], *r[1:]) for r in brute([(None if i is None else ranked[i], t) for i, t in rows], 10)), key=repr)
+    assert got(S.substring_dedup(df, 10, 5, block_bytes=500)) == want
+
+
+def test_located_phrases_stand_in_two_documents(frame):
+    docs = [(1, " ".join(f"a{i}" for i in range(40))), (2, " ".join(f"b{i}" for i in range(40))), (3, " ".join(f"a{i}" for i in range(40)))]
+    rows = S.located_phrases(S.keyed(frame(docs), S.F.col("doc_id").alias("rank")), 10, 5).collect()
+    assert rows and len({r["key"] for r in rows}) == 2
+    by = {}
+    for r in rows:
+        by.setdefault(r["phrase"], set()).add(r["key"])
+    assert all(len(k) == 2 for k in by.values())
+
+
 def test_very_long_text(frame):
     long = [f"w{i}" for i in range(40_000)]
     docs = [(5, " ".join(long)), (2, " ".join(long[7_000:9_000])), (9, " ".join(["q", *long[100:149], "q"]))]

@@ -3,38 +3,50 @@
 A window is 50 consecutive words.  A word goes if a window over it also starts
 in a document with a smaller ``doc_id``.
 
-1. Phrases: in each window the least hash of its 25-word grams is its anchor.
-   The grams that anchor windows in two documents or more are the recurring
-   phrases, each with its first document (grouped, combined map-side).
-2. Every occurrence of a recurring phrase is located in all documents.  If all
-   its occurrences stand in equal passages, those after the first document's go.
-3. Otherwise the passages around it are told apart.  Of equal passages, all but
-   the first document's go; the windows of what is left are compared one by one.
+1. Candidates: in each window the least hash of its ``GRAM``-word phrases is its
+   anchor, so equal windows hold the same phrase at the same place.  Phrases that
+   anchor windows of two documents or more are counted by hash (combined map-side).
+2. Confirmation: the words of those phrases are read from the documents that hold
+   them and grouped; a phrase recurs if the same words stand in two documents.
+   Each recurring phrase gets a number.
+3. Automata: documents with candidates are dealt into blocks of bounded size, and a
+   block is joined by the confirmed phrases that its documents may hold.  Each block
+   compiles an Aho-Corasick automaton over word numbers (pyahocorasick) and streams
+   its documents through it, which locates every occurrence of its phrases.  So a
+   document passes through one automaton, and an automaton holds no more phrases
+   than its documents have anchors.
+4. If all occurrences of a phrase stand in equal passages, those after the first
+   document's go.  Otherwise the passages around it are told apart: of equal ones
+   all but the first document's go, and the windows of what is left are compared
+   one by one.  Passages and windows are compared by phrase, which is confirmed on
+   its words, and a 64-bit hash of all their words.
 
 Edge cases: a null, empty or white-space text has no words and the digest of the
 empty string; a text of fewer than 50 words loses nothing; a repeated row (same
 id and text) is the same document and keeps its words as often as it stands
-there; repeats inside one document stay; a null ``doc_id`` comes after all
-others, and two such rows leave each other alone; an empty table gives an empty
-one; other columns are ignored.
+there; repeats inside one document stay; ids of any ordered type are compared as
+they are; a null ``doc_id`` comes after all others, and two such rows leave each
+other alone; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, not_space, prefix_hash, span_hash, stage, text_chunks, words
+from .common import BYTE_CODES, broadcast_if_small, not_space, prefix_hash, span_hash, stage, text_chunks, words
 from .suffix_dedup import CHUNK, _lists
-from .windows import anchor_runs, covered, keyed, sha256, split_by_key, window_hashes
+from .windows import anchor_runs, anchored_runs, covered, keyed, sha256, split_by_key, window_hashes
 
-LENGTH, GRAM = 50, 25
+LENGTH, GRAM = 50, 15
+#: Text bytes of a block: its automaton has a node for each word of a phrase at most.
+BLOCK_BYTES = 4 << 20
 _NOT_SPACE = not_space()
-LAST = (1 << 63) - 1
 
 
 def _words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -45,31 +57,98 @@ def _words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _phrases(length: int, gram: int):
+    """(key, text) -> (core, key): the anchors of its windows, by hash, each once a text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in text_chunks(batches, max_bytes=CHUNK):
             prefix, first, _, _ = _words(data, at)
-            text, lo, hi, core, full = anchor_runs(prefix, first, length, gram)
-            take = pa.array(text)
+            text, _, _, core, _ = anchor_runs(prefix, first, length, gram)
+            yield pa.RecordBatch.from_arrays([pa.array(core), part.column(0).take(pa.array(text))], ["core", "key"])
+    return run
+
+
+def _joined(raw: bytes, start: np.ndarray, end: np.ndarray, place: int, gram: int) -> bytes:
+    return b" ".join([raw[i:j] for i, j in zip(start[place:place + gram].tolist(), end[place:place + gram].tolist(), strict=True)])
+
+
+def _confirm(length: int, gram: int):
+    """(key, text, cores) -> (core, phrase, key): the words of its candidate phrases, each once a text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, at in text_chunks(batches, max_bytes=CHUNK):
+            prefix, first, start, end = _words(data, at)
+            text, _, _, core, _, place = anchored_runs(prefix, first, length, gram)
+            ends, (asked,) = _plain_lists(part.column(2))
+            owner = np.repeat(np.arange(part.num_rows), np.diff(ends))
+            some = np.flatnonzero(_pairs_in(text, core, owner, asked))
+            raw = data.tobytes()
+            seen = {(t, c, _joined(raw, start, end, p, gram))
+                    for t, c, p in zip(text[some].tolist(), core[some].tolist(), place[some].tolist(), strict=True)}
+            rows = sorted(seen)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(take), part.column(2).take(take), pa.array(lo.astype(np.int32)),
-                 pa.array(hi.astype(np.int32)), pa.array(core), pa.array(full)],
-                ["key", "doc", "lo", "hi", "core", "full"])
+                [pa.array([c for _, c, _ in rows], pa.int64()), pa.array([p for *_, p in rows], pa.binary()),
+                 part.column(0).take(pa.array([t for t, *_ in rows], pa.int64()))], ["core", "phrase", "key"])
+    return run
+
+
+def _plain_lists(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    ends = column.offsets.to_numpy().astype(np.int64)
+    return ends - ends[0], [column.values.slice(ends[0], ends[-1] - ends[0]).to_numpy(zero_copy_only=False)]
+
+
+def _pairs_in(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b) are among the pairs (x, y)."""
+    kind = np.dtype([("i", np.int64), ("v", np.int64)])
+    left, right = np.empty(len(a), kind), np.empty(len(x), kind)
+    left["i"], left["v"], right["i"], right["v"] = a, b, x, y
+    return np.isin(left, right)
+
+
+def _locate(length: int, gram: int):
+    """The documents of a block and its phrases -> (key, lo, hi, phrase, full): the runs of
+    windows around each occurrence that the block's automaton finds."""
+    def run(docs: pa.Table, phrases: pa.Table) -> pa.Table:
+        if not phrases.num_rows or not docs.num_rows:
+            return _FOUND.empty_table()
+        numbers: dict[bytes, int] = {}
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for number, phrase in zip(phrases.column("number").to_pylist(), phrases.column("phrase").to_pylist(), strict=True):
+            automaton.add_word(tuple([numbers.setdefault(w, len(numbers) + 1) for w in phrase.split(b" ")]), number)
+        automaton.make_automaton()
+        out = []
+        for batch in docs.select(["key", "text"]).combine_chunks().to_batches():
+            for part, data, at in text_chunks(iter([batch]), max_bytes=CHUNK):
+                prefix, first, start, end = _words(data, at)
+                text, lo, hi, _, full, place = anchored_runs(prefix, first, length, gram)
+                raw, found = data.tobytes(), np.full(len(start) + 1, -1, np.int64)
+                for k in range(part.num_rows):
+                    a, b = int(first[k]), int(first[k + 1])
+                    if b - a >= length:
+                        code = tuple([numbers.get(raw[i:j], 0) for i, j in zip(start[a:b].tolist(), end[a:b].tolist(), strict=True)])
+                        for last, number in automaton.iter(code):
+                            found[a + last - gram + 1] = number
+                number = found[place]
+                some = np.flatnonzero(number >= 0)
+                out.append(pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(text[some])), pa.array(lo[some].astype(np.int32)), pa.array(hi[some].astype(np.int32)),
+                     pa.array(number[some]), pa.array(full[some])], schema=_FOUND))
+        return pa.Table.from_batches(out, _FOUND)
     return run
 
 
+_FOUND = pa.schema([("key", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("phrase", pa.int64()), ("full", pa.int64())])
+
+
 def _open(length: int):
-    """(key, doc, runs, text) -> a row for each window of the runs."""
+    """(key, runs, text) -> a row for each window of the runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in text_chunks(batches, max_bytes=CHUNK):
             prefix, first, _, _ = _words(data, at)
-            ends, (lo, hi) = _lists(part.column(3), ("lo", "hi"))
+            ends, (lo, hi, phrase) = _lists(part.column(2), ("lo", "hi", "phrase"))
             owner = np.repeat(np.arange(part.num_rows), np.diff(ends))
             p, h = window_hashes(prefix, lo + first[owner], hi + first[owner], length)
             row = np.repeat(owner, hi - lo + 1)
-            take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(take), part.column(2).take(take), pa.array((p - first[row]).astype(np.int32)),
-                 pa.array(h)], ["key", "doc", "pos", "window"])
+                [part.column(0).take(pa.array(row)), pa.array((p - first[row]).astype(np.int32)),
+                 pa.array(np.repeat(phrase, hi - lo + 1)), pa.array(h)], ["key", "pos", "phrase", "window"])
     return run
 
 
@@ -94,39 +173,70 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(key, spans): word ranges [a, b), overlapping, to remove from rows (key, text, doc)."""
-    phrases = docs.select("key", "text", "doc").mapInArrow(
-        _phrases(length, gram), "key bigint, doc bigint, lo int, hi int, core bigint, full bigint")
-    recurring = (phrases.select("core", "doc", "full").groupBy("core")
-                 .agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"),
-                      F.min("full").alias("f0"), F.max("full").alias("f1"))
-                 .filter("d0 < d1").select("core", "d0", F.expr("f0 <> f1").alias("mixed")))
-    recurring = stage(recurring, "substring-phrases")
-    found = stage(phrases.join(recurring, "core").select("key", "doc", "lo", "hi", "full", "d0", "mixed"),
-                  "substring-found")
-    mixed = found.filter("mixed").select("key", "doc", "lo", "hi", "full")
-    passages = stage(mixed.groupBy("full").agg(F.min("doc").alias("d0")), "substring-passages")
-    known = stage(mixed.join(passages, "full").select("key", "doc", "lo", "hi", "d0"), "substring-known")
-    opened = (known.filter("doc = d0").groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
-    texts, _ = split_by_key(docs.select("key", "text", "doc"), stage(opened, "substring-opened"))
-    windows = stage(texts.select("key", "text", "doc", "runs").mapInArrow(
-        _open(length), "key bigint, doc bigint, pos int, window bigint"), "substring-windows")
-    earliest = windows.groupBy("window").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).filter("d0 < d1")
-    earliest = stage(earliest.select("window", "d0"), "substring-windows-first")
-    single = windows.join(earliest, "window").filter("doc > d0").select(
+def _one_a_key(docs: DataFrame) -> DataFrame:
+    """One row of each document: repeated rows are few in kind, however many they are."""
+    twice = stage(docs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "substring-repeated")
+    twice = broadcast_if_small(twice)
+    once = docs.join(twice, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"), F.first("rank").alias("rank"))
+    return docs.join(twice, "key", "left_anti").unionByName(once)
+
+
+def located_phrases(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(key, lo, hi, phrase, full): every run of windows around a recurring phrase, located by
+    the blocks' automata in rows (key, text, rank)."""
+    candidates = docs.select("key", "text").mapInArrow(_phrases(length, gram), "core bigint, key bigint")
+    recurring = (candidates.groupBy("core").agg(F.min("key").alias("k0"), F.max("key").alias("k1")).filter("k0 <> k1").select("core"))
+    recurring = stage(recurring, "substring-cores")
+    held = candidates.join(recurring, "core").groupBy("key").agg(F.collect_set("core").alias("cores"))
+    texts, _ = split_by_key(docs.select("key", "text"), stage(held, "substring-held"))
+    seen = stage(texts.select("key", "text", "cores").mapInArrow(_confirm(length, gram), "core bigint, phrase binary, key bigint"),
+                 "substring-seen")
+    # The phrases whose words stand in two documents, each with a number of its own.
+    phrases = seen.groupBy("phrase").agg(F.min("key").alias("k0"), F.max("key").alias("k1")).filter("k0 <> k1").select("phrase")
+    phrases = stage(phrases.withColumn("number", F.monotonically_increasing_id()), "substring-phrases")
+    sized = texts.select(F.sum(F.octet_length("text")).alias("n")).first()[0] or 0
+    blocks = max(1, -(-sized // block_bytes))
+    block = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(blocks)).alias("block")
+    wanted = seen.select(block, "phrase").distinct().join(phrases, "phrase").select("block", "number", "phrase")
+    documents = texts.select(block, "key", "text")
+    found = documents.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(
+        _locate(length, gram), "key bigint, lo int, hi int, phrase bigint, full bigint")
+    return stage(found, "substring-located")
+
+
+def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(key, spans): word ranges [a, b), overlapping, to remove from rows (key, text, rank)."""
+    docs = _one_a_key(docs)
+    ranks = docs.select("key", "rank")
+    runs = located_phrases(docs, length, gram, block_bytes)
+    keys = broadcast_if_small(stage(runs.select("key").distinct(), "substring-keys"))
+    ranks = stage(ranks.join(keys, "key", "left_semi"), "substring-ranks")
+    runs = stage(runs.join(broadcast_if_small(ranks), "key"), "substring-found")
+    first = runs.groupBy("phrase").agg(F.min("rank").alias("r0"), F.max("rank").alias("r1"),
+                                       (F.min("full") != F.max("full")).alias("mixed")).filter("r0 < r1")
+    found = stage(runs.join(stage(first.select("phrase", "r0", "mixed"), "substring-first"), "phrase"), "substring-shared")
+    mixed = found.filter("mixed").drop("r0", "mixed")
+    passages = stage(mixed.groupBy("phrase", "full").agg(F.min("rank").alias("r0")), "substring-passages")
+    known = stage(mixed.join(passages, ["phrase", "full"]).select("key", "rank", "lo", "hi", "phrase", "r0"), "substring-known")
+    opened = known.filter("rank = r0").groupBy("key").agg(F.collect_list(F.struct("lo", "hi", "phrase")).alias("runs"))
+    texts, _ = split_by_key(docs.select("key", "text"), stage(opened, "substring-opened"))
+    windows = texts.select("key", "text", "runs").mapInArrow(_open(length), "key bigint, pos int, phrase bigint, window bigint")
+    windows = stage(windows.join(broadcast_if_small(ranks), "key"), "substring-windows")
+    earliest = windows.groupBy("phrase", "window").agg(F.min("rank").alias("r0"), F.max("rank").alias("r1")).filter("r0 < r1")
+    earliest = stage(earliest.select("phrase", "window", "r0"), "substring-windows-first")
+    single = windows.join(earliest, ["phrase", "window"]).filter("rank > r0").select(
         "key", F.col("pos").alias("a"), (F.col("pos") + length).alias("b"))
-    whole = (found.filter("not mixed and doc > d0").select("key", "lo", "hi")
-             .union(known.filter("doc > d0").select("key", "lo", "hi")))
+    whole = (found.filter("not mixed and rank > r0").select("key", "lo", "hi")
+             .union(known.filter("rank > r0").select("key", "lo", "hi")))
     spans = whole.select("key", F.col("lo").alias("a"), (F.col("hi") + length).alias("b")).unionByName(single)
     return spans.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
-def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = keyed(docs, "doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"))
-    spans = stage(removed_spans(rows, length, gram), "substring-spans")
+    rows = keyed(docs, "doc_id", F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id")).alias("rank"))
+    spans = stage(removed_spans(rows.select("key", "text", "rank"), length, gram, block_bytes), "substring-spans")
     hit, clean = split_by_key(rows, spans)
     empty = F.array().cast("array<struct<a:int,b:int>>").alias("spans")
     schema = f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string"

@@ -22,16 +22,21 @@ def anchor_runs(prefix: np.ndarray, at: np.ndarray, length: int, gram: int
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first, last, core, full): each run of windows first..last (starts, from the
     text's own first symbol), the hash of its anchor gram and of all its symbols."""
+    return anchored_runs(prefix, at, length, gram)[:5]
+
+
+def anchored_runs(prefix: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """The runs of :func:`anchor_runs`, and where the anchor of each begins (from the first symbol of all)."""
     n = int(at[-1])
     none = np.zeros(0, np.int64)
     if n < length:
-        return none, none, none, none, none
+        return (none,) * 6
     i = np.arange(n - gram + 1)
     h = span_hash(prefix, i, i + gram)
     anchor = window_anchors(h, length - gram + 1)
     text = np.repeat(np.arange(len(at) - 1), np.maximum(0, np.diff(at) - length + 1))
     if not len(text):
-        return none, none, none, none, none
+        return (none,) * 6
     sizes = np.maximum(0, np.diff(at) - length + 1)
     p = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + at[text]
     s = anchor[p]
@@ -40,7 +45,7 @@ def anchor_runs(prefix: np.ndarray, at: np.ndarray, length: int, gram: int
     lo, hi, s, text = p[begins], p[ends], s[begins], text[begins]
     full = mix(span_hash(prefix, lo, hi + length) + (s - lo).astype(np.uint64) * GOLDEN)
     start = at[text]
-    return text, lo - start, hi - start, h[s].view(np.int64), full.view(np.int64)
+    return text, lo - start, hi - start, h[s].view(np.int64), full.view(np.int64), s
 
 
 def window_hashes(prefix: np.ndarray, first: np.ndarray, last: np.ndarray, length: int
