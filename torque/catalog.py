@@ -259,7 +259,7 @@ def q_merge_synced_at(spark, sf):
 
 @query("merge_initial_load")
 def q_merge_initial_load(spark, sf):
-    _, s = _merge_inputs(spark, sf)
+    s = merge_incoming(source(spark, sf), first=None)
     return M.merge(None, s, [MERGE_KEY], synced_at=ts(MERGE_RUN_TS))
 
 
@@ -383,8 +383,7 @@ def q_load_table_upsert(spark, sf):
 def q_load_table_empty(spark, sf):
     src = source(spark, sf)
     cs = src.car_sales
-    t = cs.filter(F.col("created_at") < ts("1997-01-01"))
-    return M.load_table(t, cs.filter(changed_in(year_window(2030))), ["id"])
+    return M.load_table(cs, cs.filter(changed_in(year_window(2030))), ["id"])
 
 
 @query("dim_car_detail_upsert")

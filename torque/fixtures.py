@@ -322,8 +322,10 @@ def merge_target(src: Source) -> DataFrame:
     )
 
 
-def merge_incoming(src: Source) -> DataFrame:
-    o = src.table("orders").filter(F.col("o_orderdate") >= ts(MERGE_INCOMING_FROM))
+def merge_incoming(src: Source, first: str | None = MERGE_INCOMING_FROM) -> DataFrame:
+    """The batch's rows from ``first`` on (None: of all orders)."""
+    o = src.table("orders")
+    o = o if first is None else o.filter(F.col("o_orderdate") >= ts(first))
     k = F.col("o_orderkey")
     return o.select(
         k.alias("o_orderkey"),

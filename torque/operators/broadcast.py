@@ -4,10 +4,11 @@ Spark broadcasts a join side when its *estimated* size is under
 ``spark.sql.autoBroadcastJoinThreshold``; for a filtered scan the estimate is
 the whole table, so a handful of changed keys out of a huge table is never
 broadcast and the big side gets shuffled.  ``bounded_broadcast`` proves the
-bound instead: it counts the rows (each partition stops at ``max_rows + 1``)
-and hints the broadcast only at or under the bound.  Above it, nothing is
-hinted and the planner shuffles (AQE may still re-plan from runtime sizes).
-The count runs the side's plan once; for a written table it reads footers only.
+bound instead: it counts the rows (each partition stops at ``max_rows + 1``) and
+their bytes in one pass, and hints the broadcast only if both are at or under
+their bounds.  Above them, nothing is hinted and the planner shuffles (AQE may
+still re-plan from runtime sizes).  The pass runs the side's plan once; of a
+written table it reads only columns of varying width.
 """
 
 from __future__ import annotations
@@ -15,12 +16,31 @@ from __future__ import annotations
 import threading
 import weakref
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Largest key set we broadcast (rows).  A few key columns per row keep this
 # well under 100 MB of hashed relation.
 MAX_BROADCAST_KEY_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 128 << 20
+
+_FIXED = (T.NumericType, T.BooleanType, T.DatetimeType, T.DayTimeIntervalType, T.YearMonthIntervalType, T.NullType)
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """The bytes of a row's values: eight for those of fixed width, texts by their length,
+    nested values by that of their JSON."""
+    total = F.lit(0).cast("bigint")
+    for f in schema.fields:
+        if isinstance(f.dataType, _FIXED):
+            size = F.lit(8)
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(F.col(f"`{f.name}`"))
+        else:
+            size = F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`"))))
+        total = total + F.coalesce(size, F.lit(0))
+    return total
 
 
 # Counted sizes of DataFrames checked with ``remember=True``.  A DataFrame's
@@ -31,7 +51,7 @@ _LOCK = threading.Lock()
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_KEY_ROWS, remember: bool = False) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (counted).  ``remember`` reuses
+    """Whether ``df`` has at most ``max_rows`` rows and MAX_BROADCAST_BYTES bytes (counted).  ``remember`` reuses
     the count for the same DataFrame object (stored dimension tables read by many
     queries of a session)."""
     if max_rows <= 0:
@@ -43,7 +63,9 @@ def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_KEY_ROWS, remember: bo
     if seen is not None and (seen[0] <= seen[1] or max_rows <= seen[1]):
         n = seen[0]
     else:
-        n = df.limit(max_rows + 1).count()
+        row = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(row_bytes(df.schema))).first()
+        # Too many bytes count as too many rows.
+        n = row[0] if (row[1] or 0) <= MAX_BROADCAST_BYTES else max_rows + 1
         if remember:
             with _LOCK:
                 _COUNTED[df] = (n, max_rows)

@@ -5,15 +5,16 @@ it (atomically, as a new snapshot version) is the job of
 ``sources.snapshots``.  Plans are chosen so that the big side, the target, is
 not shuffled when the incoming batch is small:
 
-* untouched rows: ``target LEFT ANTI JOIN keys(incoming)``;
-* touched rows:   ``incoming LEFT JOIN (target LEFT SEMI JOIN keys(incoming))``
-  with the conflict policy applied per column (the join only runs when a
-  policy or a missing column needs the old value);
-* result:         the union of both.
-
-Both target passes join against the incoming keys only; the planner
-broadcasts them when they are small (static size or AQE runtime size) and
-falls back to shuffle joins otherwise.  No hint forces a broadcast.
+* a batch that replaces whole rows: ``target LEFT ANTI JOIN keys(incoming)``, and
+  the batch;
+* a batch whose policies need old values: ``target LEFT JOIN incoming`` resolves
+  every column in one pass over the target; the rows to insert are the batch's
+  without the keys that a pass over the target's key columns finds;
+* a batch over the broadcast bounds: its keys split the target (anti and semi
+  joins), and touched rows are joined with the batch.
+
+A batch is a stored table before anything else is done with it (``session.once``):
+its plan runs once, and the checks for repeated keys and for size read its files.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .broadcast import MAX_BROADCAST_KEY_ROWS, bounded_broadcast
+from ..session import once
+from .broadcast import MAX_BROADCAST_KEY_ROWS, bounded_broadcast, is_small
 
 # Conflict policies (fixed names).
 REPLACE = "REPLACE"
@@ -37,7 +39,7 @@ POLICIES = (REPLACE, CUMULATIVE, PROGRESS, SKIP_IF_NULL, CONCAT)
 CONCAT_SEPARATOR = ", "
 SYNCED_AT = "synced_at"
 
-_IN = "__incoming_present"
+_IN, _OLD = "__incoming_present", "__t"
 
 
 def resolve(policy: str, old: Column, new: Column, update_only: bool = False) -> Column:
@@ -157,7 +159,8 @@ def fold_batch(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     place = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"o{i}") for i, c in enumerate(order)],
                      *[F.col(c).alias(f"r{i}") for i, c in enumerate(df.columns) if c not in keys])
     rows = df.filter(_no_null(keys)).withColumn("__place", place)
-    aggs = []
+    aggs, last = [], F.max("__place")     # all replaced columns come from one row, the last
+    field_of = {c: f"r{i}" for i, c in enumerate(df.columns) if c not in keys}
     for c in df.columns:
         if c in keys:
             continue
@@ -165,7 +168,7 @@ def fold_batch(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
         if policy == CONCAT and update_only:
             policy = REPLACE
         if policy == REPLACE:
-            value = F.max_by(v, "__place")
+            value = last[field_of[c]]
         elif policy == CUMULATIVE:
             value = F.when(F.count(v) == F.count(F.lit(1)), F.sum(v))
         elif policy == PROGRESS:
@@ -231,10 +234,12 @@ def merge(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
     """
     policies = dict(policies or {})
     keys = list(keys)
-    if keys and dedupe_order is not None:
-        incoming = fold_batch(incoming, keys, dedupe_order, policies, default_policy)
-    elif keys and check_unique:
-        require_unique(incoming, keys)
+    if keys:
+        if dedupe_order is not None:
+            incoming = fold_batch(incoming, keys, dedupe_order, policies, default_policy)
+        incoming = once(incoming)
+        if dedupe_order is None and check_unique:
+            require_unique(incoming, keys)
     if synced_at is not None:
         incoming = incoming.withColumn(SYNCED_AT, synced_at.cast("timestamp_ntz"))
     if target is None:
@@ -255,31 +260,47 @@ def merge(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
     if strategy == "outer":
         return _merge_outer(target, incoming, keys, policies, default_policy, out_cols, types)
 
+    if needs_old and broadcast_key_rows and is_small(incoming, broadcast_key_rows):
+        s, o = _sides(incoming, target)
+        j = o.join(F.broadcast(s), _key_condition("t_", "s_", keys), "left")
+        changed = j.select(*_resolved(out_cols, keys, incoming_cols, set(t_types), types, policies, default_policy, "t_"))
+        # The touched keys are keys of the batch; the pass reads the target's key columns only.
+        found = target.select(*keys).join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
+        return changed.unionByName(_align(incoming.join(found, keys, "left_anti"), out_cols, types))
+
     inc_keys = bounded_broadcast(incoming.select(*keys), broadcast_key_rows)
     untouched = target.join(inc_keys, keys, "left_anti")
     if not needs_old:
         touched = _align(incoming, out_cols, types)
     else:
-        old = target.join(inc_keys, keys, "left_semi")
-        s = incoming.select(*[F.col(c).alias(f"s_{c}") for c in incoming.columns]).withColumn(_IN, F.lit(True))
-        o = old.select(*[F.col(c).alias(f"t_{c}") for c in target.columns]).withColumn("__t", F.lit(True))
+        s, o = _sides(incoming, target.join(inc_keys, keys, "left_semi"))
         j = s.join(o, _key_condition("s_", "t_", keys), "left")
-        exprs = []
-        for c in out_cols:
-            if c in keys:
-                exprs.append(F.col(f"s_{c}").alias(c))
-            elif c in incoming_cols and c in t_types:
-                val = F.when(F.col("__t").isNull(), F.col(f"s_{c}")).otherwise(
-                    resolve(policies.get(c, default_policy), F.col(f"t_{c}"), F.col(f"s_{c}")))
-                exprs.append(val.cast(types[c]).alias(c))
-            elif c in incoming_cols:
-                exprs.append(F.col(f"s_{c}").alias(c))
-            else:
-                exprs.append(F.col(f"t_{c}").alias(c))
-        touched = j.select(*exprs)
+        touched = j.select(*_resolved(out_cols, keys, incoming_cols, set(t_types), types, policies, default_policy, "s_"))
     return _align(untouched, out_cols, types).unionByName(touched)
 
 
+def _sides(incoming: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with prefixed columns and a flag that tells a missing row from nulls."""
+    return (incoming.select(*[F.col(c).alias(f"s_{c}") for c in incoming.columns]).withColumn(_IN, F.lit(True)),
+            target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns]).withColumn(_OLD, F.lit(True)))
+
+
+def _resolved(out_cols: Sequence[str], keys: Sequence[str], incoming_cols: set[str], target_cols: set[str],
+              types: Mapping[str, str], policies: Mapping[str, str], default_policy: str, key_side: str) -> list[Column]:
+    """The columns of joined sides: an old row that meets none stays, a new one comes as it is."""
+    new, old, exprs = F.col(_IN).isNotNull(), F.col(_OLD).isNotNull(), []
+    for c in out_cols:
+        if c in keys:
+            exprs.append(F.col(f"{key_side}{c}").alias(c))
+        elif c in incoming_cols and c in target_cols:
+            both = resolve(policies.get(c, default_policy), F.col(f"t_{c}"), F.col(f"s_{c}"))
+            value = F.when(~new, F.col(f"t_{c}")).when(~old, F.col(f"s_{c}")).otherwise(both)
+            exprs.append(value.cast(types[c]).alias(c))
+        else:
+            exprs.append(F.col(f"{'s_' if c in incoming_cols else 't_'}{c}").alias(c))
+    return exprs
+
+
 def _merge_outer(target, incoming, keys, policies, default_policy, out_cols, types) -> DataFrame:
     """Reference form: one FULL OUTER join with an explicit presence flag on the
     incoming side, to tell "no incoming row" from "incoming null"."""
@@ -319,7 +340,8 @@ def update_only(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     policies = dict(policies or {})
     if dedupe_order is not None:
         incoming = fold_batch(incoming, keys, dedupe_order, policies, default_policy, update_only=True)
-    elif check_unique:
+    incoming = once(incoming)
+    if dedupe_order is None and check_unique:
         require_unique(incoming, keys)
     incoming = conform(incoming, {f.name: f.dataType for f in target.schema.fields})
     if synced_at is not None and SYNCED_AT not in incoming.columns:
@@ -329,21 +351,26 @@ def update_only(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
         t_cols.append(SYNCED_AT)
         target = target.withColumn(SYNCED_AT, F.lit(None).cast("timestamp_ntz"))
     inc_cols = set(incoming.columns)
+    types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
+
+    def updated(j: DataFrame) -> DataFrame:
+        exprs = []
+        for c in t_cols:
+            if c in keys or c not in inc_cols:
+                exprs.append(F.col(f"t_{c}").alias(c))
+            else:
+                v = resolve(policies.get(c, default_policy), F.col(f"t_{c}"), F.col(f"s_{c}"), update_only=True)
+                exprs.append(F.when(F.col(_IN).isNull(), F.col(f"t_{c}")).otherwise(v).cast(types[c]).alias(c))
+        return j.select(*exprs)
+
+    on = _key_condition("t_", "s_", keys)
+    if broadcast_key_rows and is_small(incoming, broadcast_key_rows):
+        s, o = _sides(incoming, target.select(*t_cols))
+        return updated(o.join(F.broadcast(s), on, "left"))     # one pass over the target
     inc_keys = bounded_broadcast(incoming.select(*keys), broadcast_key_rows)
+    s, o = _sides(incoming, target.select(*t_cols).join(inc_keys, keys, "left_semi"))
     untouched = target.join(inc_keys, keys, "left_anti")
-    hit = target.join(inc_keys, keys, "left_semi")
-    s = incoming.select(*[F.col(c).alias(f"s_{c}") for c in incoming.columns])
-    o = hit.select(*[F.col(c).alias(f"t_{c}") for c in t_cols])
-    j = o.join(s, _key_condition("t_", "s_", keys), "inner")
-    types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
-    exprs = []
-    for c in t_cols:
-        if c in keys or c not in inc_cols:
-            exprs.append(F.col(f"t_{c}").alias(c))
-        else:
-            v = resolve(policies.get(c, default_policy), F.col(f"t_{c}"), F.col(f"s_{c}"), update_only=True)
-            exprs.append(v.cast(types[c]).alias(c))
-    return untouched.select(*t_cols).unionByName(j.select(*exprs))
+    return untouched.select(*t_cols).unionByName(updated(o.join(s, on, "inner")))
 
 
 def delete_by_key(target: DataFrame, delete_keys: DataFrame, keys: Sequence[str],
@@ -351,7 +378,7 @@ def delete_by_key(target: DataFrame, delete_keys: DataFrame, keys: Sequence[str]
     """Drop the rows whose key (one or many columns) is listed.  A null key
     part matches nothing, so such rows stay.  A bounded key list is
     broadcast, so the target is filtered where it lies."""
-    return target.join(bounded_broadcast(delete_keys.select(*keys), broadcast_key_rows),
+    return target.join(bounded_broadcast(once(delete_keys.select(*keys)), broadcast_key_rows),
                        list(keys), "left_anti")
 
 
@@ -362,7 +389,7 @@ def delete_cascade(parent: DataFrame, child: DataFrame, delete_keys: DataFrame,
     that referenced a deleted parent.  Two anti joins against the (bounded,
     broadcast) deleted keys: neither table is shuffled for a small delete."""
     gone = parent.join(delete_keys.select(F.col(parent_key)), parent_key, "left_semi").select(parent_key)
-    gone = bounded_broadcast(gone, broadcast_key_rows)
+    gone = bounded_broadcast(once(gone), broadcast_key_rows)
     parents = parent.join(gone, parent_key, "left_anti")
     children = child.join(gone.withColumnRenamed(parent_key, child_fk), child_fk, "left_anti")
     return parents, children
@@ -375,6 +402,7 @@ def strict_conflicts(target: DataFrame, incoming: DataFrame, keys: Sequence[str]
     broadcast batch keys (not the other way round); per-key counts are
     combined map-side, so a hot key is one row."""
     keys = list(keys)
+    incoming = once(incoming.select(*keys))
     counts = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     hit = target.select(*keys).join(bounded_broadcast(incoming.select(*keys), broadcast_key_rows),
                                     keys, "left_semi")

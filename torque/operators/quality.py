@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..session import once
 from .broadcast import bounded_broadcast
 
 Rules = Mapping[str, Column]
@@ -142,7 +143,7 @@ def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str,
     counted bound are broadcast, so the child is not shuffled for the anti
     join; the per-value count is combined map-side."""
     c = child.select(F.col(fk).alias("fk_value")).filter(F.col("fk_value").isNotNull())
-    parent_keys = bounded_broadcast(parent.select(F.col(pk).alias("fk_value")))
+    parent_keys = bounded_broadcast(once(parent.select(F.col(pk).alias("fk_value"))))
     missing = c.join(parent_keys, "fk_value", "left_anti")
     return (missing.groupBy("fk_value").agg(F.count(F.lit(1)).alias("n_rows"))
             .select(F.lit(child_table).alias("child_table"), F.lit(fk).alias("fk_column"),

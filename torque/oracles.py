@@ -327,14 +327,17 @@ select o_orderkey,
        case when o_orderkey % 2 <> 0 then o_orderpriority end as note
 from orders where o_orderdate < timestamp '1998-01-01'""")
 
-cte("m_incoming", """
-select o_orderkey,
+cte("m_incoming_all", """
+select o_orderkey, o_orderdate,
        case when o_orderkey % 5 <> 0 then o_totalprice * 0.25 end as amount,
        case when o_orderkey % 3 <> 0 then 'U' end as status,
        o_orderdate + interval 30 day as first_seen,
        case when o_orderkey % 3 <> 0 then 'P-' || o_orderstatus end as priority,
        case when o_orderkey % 5 <> 0 then o_orderstatus end as note
-from orders where o_orderdate >= timestamp '1997-01-01'""")
+from orders""")
+
+cte("m_incoming", """
+select * exclude (o_orderdate) from m_incoming_all where o_orderdate >= timestamp '1997-01-01'""", ["m_incoming_all"])
 
 M_COLS = ["o_orderkey", "amount", "status", "first_seen", "priority", "note"]
 
@@ -392,7 +395,7 @@ union all
 select o_orderkey, null, status, null, null, null from m_incoming""", "m_target", "m_incoming")
 register("merge_synced_at", merge_sql("m_target", "m_incoming", ["o_orderkey"], M_COLS, M_COLS,
                                       synced=RUN_TS), "m_target", "m_incoming")
-register("merge_initial_load", f"select *, {RUN_TS} as synced_at from m_incoming", "m_incoming")
+register("merge_initial_load", f"select * exclude (o_orderdate), {RUN_TS} as synced_at from m_incoming_all", "m_incoming_all")
 
 register("update_only", f"""
 select t.o_orderkey,
@@ -519,8 +522,7 @@ where not exists (select 1 from car_sales s
 union all
 select * from car_sales where coalesce(updated_at, created_at) {WINDOW_1997}""", "car_sales")
 
-register("load_table_empty", "select * from car_sales where created_at < timestamp '1997-01-01'",
-         "car_sales")
+register("load_table_empty", "select * from car_sales", "car_sales")
 
 car_dimension("dim_car_detail_1996", "between timestamp '1996-01-01' and timestamp '1996-12-31'")
 register("dim_car_detail_upsert", """

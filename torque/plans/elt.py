@@ -61,8 +61,9 @@ def destination(spark: SparkSession, dest_root: str) -> dict[str, DataFrame]:
 
 def run_elt(spark: SparkSession, source: Tables, rates: RatesSnapshot, window: Window,
             dest_root: str, full_load: bool = False, buckets: int | None = None,
-            parallel_loads: int = 4) -> dict[str, int | None]:
-    """Run the flow.  ``full_load`` copies whole tables instead of the window's
+            parallel_loads: int = 4, follow: bool = False) -> dict[str, int | None]:
+    """Run the flow.  ``follow``: fact and dimension are kept equal to a full computation over
+    the loaded tables (``maintain``) in place of an upsert of the window's changes.  ``full_load`` copies whole tables instead of the window's
     changes (a first load: the incremental flow only joins dimension rows it
     has loaded, so without it facts of unchanged dimensions are missing)."""
     def load(name: str) -> int | None:
@@ -81,6 +82,9 @@ def run_elt(spark: SparkSession, source: Tables, rates: RatesSnapshot, window: W
     dest = destination(spark, dest_root)
     if not all(n in dest for n in LOAD_ORDER):
         return versions  # nothing loaded yet for some table: no dimension or fact
+    if follow:
+        from .maintain import maintain
+        return versions | maintain(spark, dest_root, rates.base_code, buckets=buckets)
     n_codes = dest["currency_rates"].count()
     dest_rates = RatesSnapshot(dest["currency_rates"], rates.base_code, n_codes=n_codes)
     dim = dim_car_detail_semi(dest, window)

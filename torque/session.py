@@ -11,6 +11,7 @@ import os
 import tempfile
 import threading
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,12 +81,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# DataFrames that staged() returned; weak, so nothing outlives them.
+_STAGED: "weakref.WeakSet[DataFrame]" = weakref.WeakSet()
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a new folder under the work folder and read from there: its
     plan runs once, its lineage ends, and counting it reads file footers only."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGED.add(out)
+    return out
+
+
+def once(df: DataFrame, name: str = "batch") -> DataFrame:
+    """``df`` as a stored table: written now, unless :func:`staged` has just read it back."""
+    return df if df in _STAGED else staged(df, name)
 
 
 # Target bytes per shuffle partition.  AQE coalesces small partitions, so the

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import merge as M
-from ..session import scratch_path
+from ..session import scratch_path, staged
 
 BUCKET, ATTEMPT = "__b", "att"
 META = -1  # bucket number of the metadata row
@@ -195,9 +195,7 @@ class SnapshotTable:
             self._adopt(meta)
             known = {f.name: f.dataType for f in T.StructType.fromJson(meta["schema"]).fields}
             incoming = M.conform(incoming, known)
-        path = scratch_path(self.spark, "batch")
-        incoming.write.parquet(path)
-        batch = self.spark.read.schema(incoming.schema).parquet(path)
+        batch = staged(incoming, "batch")
         if batch.isEmpty():
             return cur
         touched_path = scratch_path(self.spark, "buckets")

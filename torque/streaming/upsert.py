@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.broadcast import bounded_broadcast
 from ..operators.merge import dedupe_last
+from ..session import once
 from ..sources.snapshots import SnapshotTable
 
 
@@ -36,6 +37,7 @@ def merge_latest(target: DataFrame | None, incoming: DataFrame, keys: Sequence[s
     latest = dedupe_last(incoming, keys, order)
     if target is None:
         return latest
+    latest = once(latest)
     inc_keys = bounded_broadcast(latest.select(*keys))
     untouched = target.join(inc_keys, keys, "left_anti")
     contenders = target.join(inc_keys, keys, "left_semi").unionByName(latest)
