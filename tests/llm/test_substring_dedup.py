@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pyarrow.parquet as pq
 
 from llm_fixtures import frame  # noqa: F401
@@ -82,6 +83,19 @@ def test_located_phrases_stand_in_two_documents(frame):
     assert all(len(k) == 2 for k in by.values())
 
 
+def test_phrases_of_one_hash_and_other_words(frame):
+    """With hashes that take all words of one length for the same, the automata still tell phrases apart."""
+    rng = random.Random(12)
+    parts = [" ".join(rng.choice(["ab", "cd", "e", "f"]) for _ in range(14)) for _ in range(6)]
+    docs = S.keyed(frame([(i, " ".join(rng.choice(parts) for _ in range(rng.randint(1, 3)))) for i in range(24)]))
+    text = {r["key"]: r["text"].split() for r in docs.collect()}
+    for codes in (S.BYTE_CODES, np.full(256, 3, np.uint64)):
+        of = {}
+        for r in S.located_phrases(docs, 10, 5, codes=codes).collect():     # the runs of a phrase share its five words
+            of.setdefault(r["phrase"], []).append({tuple(text[r["key"]][p:p + 5]) for p in range(r["lo"], r["hi"] + 6)})
+        assert len(of) > 3 and all(set.intersection(*x) for x in of.values())
+
+
 def test_very_long_text(frame):
     long = [f"w{i}" for i in range(40_000)]
     docs = [(5, " ".join(long)), (2, " ".join(long[7_000:9_000])), (9, " ".join(["q", *long[100:149], "q"]))]

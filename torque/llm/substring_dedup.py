@@ -6,15 +6,15 @@ in a document with a smaller ``doc_id``.
 1. Candidates: in each window the least hash of its ``GRAM``-word phrases is its
    anchor, so equal windows hold the same phrase at the same place.  Phrases that
    anchor windows of two documents or more are counted by hash (combined map-side).
-2. Confirmation: the words of those phrases are read from the documents that hold
-   them and grouped; a phrase recurs if the same words stand in two documents.
-   Each recurring phrase gets a number.
+2. Dictionary: the words of each such phrase are read from one document that holds it.
 3. Automata: documents with candidates are dealt into blocks of bounded size, and a
-   block is joined by the confirmed phrases that its documents may hold.  Each block
-   compiles an Aho-Corasick automaton over word numbers (pyahocorasick) and streams
-   its documents through it, which locates every occurrence of its phrases.  So a
-   document passes through one automaton, and an automaton holds no more phrases
-   than its documents have anchors.
+   block is joined by the phrases that its documents may hold.  Each block compiles
+   an Aho-Corasick automaton over word numbers (pyahocorasick) and streams its
+   documents through it, which locates every occurrence of its phrases and confirms
+   them on their words.  So a document passes through one automaton, and an automaton
+   holds no more phrases than its documents have anchors.  Where an anchor has the
+   hash of a phrase but other words, those are one more phrase, and its documents
+   are streamed again.
 4. If all occurrences of a phrase stand in equal passages, those after the first
    document's go.  Otherwise the passages around it are told apart: of equal ones
    all but the first document's go, and the windows of what is left are compared
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import BYTE_CODES, broadcast_if_small, not_space, prefix_hash, span_hash, stage, text_chunks, words
 from .suffix_dedup import CHUNK, _lists
-from .windows import anchor_runs, anchored_runs, covered, keyed, sha256, split_by_key, window_hashes
+from .windows import anchored_runs, covered, keyed, sha256, split_by_key, window_hashes
 
 LENGTH, GRAM = 50, 15
 #: Text bytes of a block: its automaton has a node for each word of a phrase at most.
@@ -49,92 +49,98 @@ BLOCK_BYTES = 4 << 20
 _NOT_SPACE = not_space()
 
 
-def _words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _words(data: np.ndarray, at: np.ndarray, codes: np.ndarray = BYTE_CODES) -> tuple[np.ndarray, ...]:
     """(prefix hashes of the word sequence, first word of each text, word starts, word ends)."""
     start, end, text = words(data, at, _NOT_SPACE)
-    hashes = span_hash(prefix_hash(BYTE_CODES[data]), start, end)
+    hashes = span_hash(prefix_hash(codes[data]), start, end)
     return prefix_hash(hashes), np.searchsorted(text, np.arange(len(at))), start, end
 
 
-def _phrases(length: int, gram: int):
-    """(key, text) -> (core, key): the anchors of its windows, by hash, each once a text."""
+def _phrases(length: int, gram: int, codes: np.ndarray):
+    """(key, text) -> (core, key): the anchors of its windows, by hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in text_chunks(batches, max_bytes=CHUNK):
-            prefix, first, _, _ = _words(data, at)
-            text, _, _, core, _ = anchor_runs(prefix, first, length, gram)
+            prefix, first, _, _ = _words(data, at, codes)
+            text, _, _, core, _, _ = anchored_runs(prefix, first, length, gram)
             yield pa.RecordBatch.from_arrays([pa.array(core), part.column(0).take(pa.array(text))], ["core", "key"])
     return run
 
 
-def _joined(raw: bytes, start: np.ndarray, end: np.ndarray, place: int, gram: int) -> bytes:
-    return b" ".join([raw[i:j] for i, j in zip(start[place:place + gram].tolist(), end[place:place + gram].tolist(), strict=True)])
+def _joined(raw: bytes, start: np.ndarray, end: np.ndarray, place: int, gram: int) -> str:
+    return b" ".join([raw[i:j] for i, j in zip(start[place:place + gram].tolist(), end[place:place + gram].tolist(),
+                                               strict=True)]).decode()
+
 
+def _plain_lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row ends, values) of an array column."""
+    ends = column.offsets.to_numpy().astype(np.int64)
+    return ends - ends[0], column.values.slice(ends[0], ends[-1] - ends[0]).to_numpy(zero_copy_only=False)
 
-def _confirm(length: int, gram: int):
-    """(key, text, cores) -> (core, phrase, key): the words of its candidate phrases, each once a text."""
+
+def _dictionary(length: int, gram: int, codes: np.ndarray):
+    """(key, text, cores) -> (core, phrase): the words of the phrases that are asked for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in text_chunks(batches, max_bytes=CHUNK):
-            prefix, first, start, end = _words(data, at)
+            prefix, first, start, end = _words(data, at, codes)
             text, _, _, core, _, place = anchored_runs(prefix, first, length, gram)
-            ends, (asked,) = _plain_lists(part.column(2))
-            owner = np.repeat(np.arange(part.num_rows), np.diff(ends))
-            some = np.flatnonzero(_pairs_in(text, core, owner, asked))
-            raw = data.tobytes()
-            seen = {(t, c, _joined(raw, start, end, p, gram))
-                    for t, c, p in zip(text[some].tolist(), core[some].tolist(), place[some].tolist(), strict=True)}
-            rows = sorted(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c for _, c, _ in rows], pa.int64()), pa.array([p for *_, p in rows], pa.binary()),
-                 part.column(0).take(pa.array([t for t, *_ in rows], pa.int64()))], ["core", "phrase", "key"])
+            ends, asked = _plain_lists(part.column(2))
+            owner, raw, out = np.repeat(np.arange(part.num_rows), np.diff(ends)), data.tobytes(), {}
+            wanted = set(zip(owner.tolist(), asked.tolist(), strict=True))
+            for t, c, p in zip(text.tolist(), core.tolist(), place.tolist(), strict=True):
+                if (t, c) in wanted and c not in out:
+                    out[c] = _joined(raw, start, end, p, gram)
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.string())],
+                                             ["core", "phrase"])
     return run
 
 
-def _plain_lists(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
-    ends = column.offsets.to_numpy().astype(np.int64)
-    return ends - ends[0], [column.values.slice(ends[0], ends[-1] - ends[0]).to_numpy(zero_copy_only=False)]
-
-
-def _pairs_in(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which of the pairs (a, b) are among the pairs (x, y)."""
-    kind = np.dtype([("i", np.int64), ("v", np.int64)])
-    left, right = np.empty(len(a), kind), np.empty(len(x), kind)
-    left["i"], left["v"], right["i"], right["v"] = a, b, x, y
-    return np.isin(left, right)
+def _numbered_words(data: np.ndarray, start: np.ndarray, end: np.ndarray, numbers: dict[str, int]) -> np.ndarray:
+    """The number of every word of a chunk; 0: in no phrase."""
+    offsets = np.r_[0, np.cumsum(end - start)].astype(np.int32)
+    column = pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data[_NOT_SPACE[data]]))
+    coded = column.dictionary_encode()
+    known = np.array([numbers.get(w, 0) for w in coded.dictionary.to_pylist()], np.int64)
+    return known[coded.indices.to_numpy()] if len(start) else known
 
 
-def _locate(length: int, gram: int):
+def _locate(length: int, gram: int, codes: np.ndarray):
     """The documents of a block and its phrases -> (key, lo, hi, phrase, full): the runs of
-    windows around each occurrence that the block's automaton finds."""
+    windows around each occurrence that the block's automaton finds; and anchors of a
+    phrase's hash with other words, with those words."""
     def run(docs: pa.Table, phrases: pa.Table) -> pa.Table:
         if not phrases.num_rows or not docs.num_rows:
             return _FOUND.empty_table()
-        numbers: dict[bytes, int] = {}
+        numbers: dict[str, int] = {}
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for number, phrase in zip(phrases.column("number").to_pylist(), phrases.column("phrase").to_pylist(), strict=True):
-            automaton.add_word(tuple([numbers.setdefault(w, len(numbers) + 1) for w in phrase.split(b" ")]), number)
+            automaton.add_word(tuple([numbers.setdefault(w, len(numbers) + 1) for w in phrase.split(" ")]), number)
         automaton.make_automaton()
-        out = []
-        for batch in docs.select(["key", "text"]).combine_chunks().to_batches():
-            for part, data, at in text_chunks(iter([batch]), max_bytes=CHUNK):
-                prefix, first, start, end = _words(data, at)
-                text, lo, hi, _, full, place = anchored_runs(prefix, first, length, gram)
-                raw, found = data.tobytes(), np.full(len(start) + 1, -1, np.int64)
-                for k in range(part.num_rows):
-                    a, b = int(first[k]), int(first[k + 1])
-                    if b - a >= length:
-                        code = tuple([numbers.get(raw[i:j], 0) for i, j in zip(start[a:b].tolist(), end[a:b].tolist(), strict=True)])
-                        for last, number in automaton.iter(code):
-                            found[a + last - gram + 1] = number
-                number = found[place]
-                some = np.flatnonzero(number >= 0)
-                out.append(pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(text[some])), pa.array(lo[some].astype(np.int32)), pa.array(hi[some].astype(np.int32)),
-                     pa.array(number[some]), pa.array(full[some])], schema=_FOUND))
+        cores, out = np.unique(phrases.column("core").to_numpy()), []
+        for part, data, at in text_chunks(iter(docs.select(["key", "text"]).combine_chunks().to_batches()), max_bytes=CHUNK):
+            prefix, first, start, end = _words(data, at, codes)
+            text, lo, hi, core, full, place = anchored_runs(prefix, first, length, gram)
+            code, found = _numbered_words(data, start, end, numbers), np.full(len(start) + 1, -1, np.int64)
+            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                if b - a >= length:
+                    hits = list(automaton.iter(tuple(code[a:b].tolist())))
+                    if hits:
+                        last, number = zip(*hits, strict=True)
+                        found[np.array(last) + (a - gram + 1)] = number
+            number = found[place]
+            some = np.flatnonzero((number >= 0) | np.isin(core, cores))
+            other, raw = np.flatnonzero(number[some] < 0).tolist(), data.tobytes()
+            words_of = [None] * len(some)
+            for k in other:
+                words_of[k] = _joined(raw, start, end, int(place[some[k]]), gram)
+            out.append(pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(text[some])), pa.array(lo[some].astype(np.int32)), pa.array(hi[some].astype(np.int32)),
+                 pa.array(number[some]), pa.array(full[some]), pa.array(core[some]), pa.array(words_of, pa.string())], schema=_FOUND))
         return pa.Table.from_batches(out, _FOUND)
     return run
 
 
-_FOUND = pa.schema([("key", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("phrase", pa.int64()), ("full", pa.int64())])
+_FOUND = pa.schema([("key", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("phrase", pa.int64()), ("full", pa.int64()),
+                    ("core", pa.int64()), ("words", pa.string())])
 
 
 def _open(length: int):
@@ -181,27 +187,32 @@ def _one_a_key(docs: DataFrame) -> DataFrame:
     return docs.join(twice, "key", "left_anti").unionByName(once)
 
 
-def located_phrases(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(key, lo, hi, phrase, full): every run of windows around a recurring phrase, located by
-    the blocks' automata in rows (key, text, rank)."""
-    candidates = docs.select("key", "text").mapInArrow(_phrases(length, gram), "core bigint, key bigint")
-    recurring = (candidates.groupBy("core").agg(F.min("key").alias("k0"), F.max("key").alias("k1")).filter("k0 <> k1").select("core"))
-    recurring = stage(recurring, "substring-cores")
-    held = candidates.join(recurring, "core").groupBy("key").agg(F.collect_set("core").alias("cores"))
-    texts, _ = split_by_key(docs.select("key", "text"), stage(held, "substring-held"))
-    seen = stage(texts.select("key", "text", "cores").mapInArrow(_confirm(length, gram), "core bigint, phrase binary, key bigint"),
-                 "substring-seen")
-    # The phrases whose words stand in two documents, each with a number of its own.
-    phrases = seen.groupBy("phrase").agg(F.min("key").alias("k0"), F.max("key").alias("k1")).filter("k0 <> k1").select("phrase")
-    phrases = stage(phrases.withColumn("number", F.monotonically_increasing_id()), "substring-phrases")
-    sized = texts.select(F.sum(F.octet_length("text")).alias("n")).first()[0] or 0
-    blocks = max(1, -(-sized // block_bytes))
-    block = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(blocks)).alias("block")
-    wanted = seen.select(block, "phrase").distinct().join(phrases, "phrase").select("block", "number", "phrase")
-    documents = texts.select(block, "key", "text")
-    found = documents.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(
-        _locate(length, gram), "key bigint, lo int, hi int, phrase bigint, full bigint")
-    return stage(found, "substring-located")
+def located_phrases(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES,
+                    codes: np.ndarray = BYTE_CODES) -> DataFrame:
+    """(key, lo, hi, phrase, full): every run of windows around a phrase of two documents,
+    located by the blocks' automata in rows (key, text).  ``codes`` are the bytes' hashes."""
+    docs = docs.select("key", "text")
+    candidates = stage(docs.mapInArrow(_phrases(length, gram, codes), "core bigint, key bigint"), "substring-candidates")
+    recurring = candidates.groupBy("core").agg(F.min("key").alias("k0"), F.max("key").alias("k1")).filter("k0 <> k1")
+    recurring = stage(recurring.select("core", "k0"), "substring-cores")
+    held = stage(candidates.join(recurring.select("core"), "core").select("key", "core"), "substring-held")
+    asked = recurring.groupBy(F.col("k0").alias("key")).agg(F.collect_list("core").alias("cores"))
+    named, _ = split_by_key(docs, stage(asked, "substring-asked"))
+    phrases = named.select("key", "text", "cores").mapInArrow(_dictionary(length, gram, codes), "core bigint, phrase string")
+    keys = broadcast_if_small(stage(held.select("key").distinct(), "substring-documents"))
+    texts = docs.join(keys, "key", "left_semi")
+    sized = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    block = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(max(1, -(-sized // block_bytes)))).alias("block")
+    held = held.select(block, "core").distinct()
+    while True:
+        phrases = stage(phrases.withColumn("number", F.monotonically_increasing_id()), "substring-phrases")
+        found = texts.select(block, "key", "text").groupBy("block").cogroup(held.join(phrases, "core").groupBy("block"))
+        found = stage(found.applyInArrow(_locate(length, gram, codes), "key bigint, lo int, hi int, phrase bigint, full bigint, "
+                                                                "core bigint, words string"), "substring-located")
+        others = found.filter("words is not null").select("core", F.col("words").alias("phrase")).distinct()
+        if others.isEmpty():
+            return found.select("key", "lo", "hi", "phrase", "full")
+        phrases = phrases.select("core", "phrase").unionByName(others)
 
 
 def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
