@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, prefix_hash, span_hash, text_chunks, window_anchors, words
+from .common import (BYTE_CODES, broadcast_if_small, prefix_hash, span_hash, stage, text_chunks, window_anchors,
+                     words)
 
 WINDOW, GRAM = 10, 5
 PASS_BYTES = 8 << 20
@@ -218,7 +219,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, pass_bytes: int = PASS_
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a hit, columns unchanged.  Rows of one ``doc_id``
-    go together."""
-    hit = contamination(docs, benchmark).filter("contaminated").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti")
+    """The rows of ``docs`` whose own text has no hit, in all their columns; a row is known by
+    its id and text, so null and repeated ids are no exception."""
+    key = F.xxhash64("doc_id", "text")
+    hit = "hit"
+    while hit in docs.columns:
+        hit += "_"
+    found = contamination(docs.select(key.alias("doc_id"), "text"), benchmark).filter("contaminated")
+    found = stage(found.select(F.col("doc_id").alias(hit)).distinct(), "contaminated")
+    return docs.join(broadcast_if_small(found), key == F.col(hit), "left_anti")

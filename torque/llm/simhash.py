@@ -250,7 +250,14 @@ def components(docs: DataFrame, k: int = SHINGLE_WORDS, radius: int = RADIUS,
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` names its component, columns unchanged.
-    Rows with a null ``doc_id`` stay: nothing names them."""
-    kept = components(docs, k, radius).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter(F.col("doc_id").isNull()))
+    """One row of each component, in all its columns: the one with the smallest ``doc_id``
+    (null last).  Rows are told apart by a number written with them, so of repeated rows,
+    and of copies without an id, one stays too."""
+    number = "row"
+    while number in docs.columns:
+        number += "_"
+    rows = stage(docs.withColumn(number, F.monotonically_increasing_id()), "simhash-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col(number).alias("row"))
+    found = components(rows.select(order.alias("doc_id"), "text"), k, radius)
+    stay = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.row").alias(number))
+    return rows.join(stay, number, "left_semi").drop(number)

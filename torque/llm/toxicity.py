@@ -166,9 +166,11 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.ndarray,
     its classes lack to those of all labels outside the held-out third."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    drawn = None
+    # Drawn from the labels of documents that are at hand and can be learnt from.
+    usable = docs.filter(F.length("text") <= MAX_CHARS).select("doc_id").distinct()
+    at_hand, drawn = known.join(usable, "doc_id", "left_semi"), None
     for label, most in ((1, MAX_POSITIVE), (0, MAX_NEGATIVE)):
-        part = known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        part = at_hand.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         drawn = part if drawn is None else drawn.unionByName(part)
     # MAX_POSITIVE + MAX_NEGATIVE rows of two numbers at most: a proven bound.
     rows = (docs.filter(F.length("text") <= MAX_CHARS).select("doc_id", "text")
