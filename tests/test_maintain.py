@@ -1,6 +1,8 @@
 """Upkeep of the fact and the car dimension: equal to a full recomputation after every
 change of any side, and only buckets of reached keys are rewritten."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,9 +23,9 @@ SIDES = ["brands", "types", "currencies", "cities", "cars", "customers", "car_sa
 def dest(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("upkeep"))
     src = source(spark, SF_SMALL)
-    for name in SIDES[:-1]:
-        table(spark, root, name, 4).merge(getattr(src, name))
-    table(spark, root, "currency_rates", 4).merge(src.rates)
+    rows_of = {n: getattr(src, n) for n in SIDES[:-1]} | {"currency_rates": src.rates}
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(lambda n: table(spark, root, n, 4).merge(rows_of[n]), rows_of))
     U.maintain(spark, root, RATE_BASE_CODE, buckets=4)
     return root
 
@@ -66,7 +68,7 @@ def test_one_changed_car_touches_its_buckets_only(spark, dest):
     U.maintain(spark, dest, RATE_BASE_CODE)
     check(spark, dest)
     assert fact.read().filter("car_name = 'renamed'").count() > 0
-    assert 0 < len(moved(spark, dest, U.FACT.name, before)) <= 4
+    assert 0 < len(moved(spark, dest, U.FACT.name, before)) < 4
 
 
 def test_every_side_changes_and_rows_go(spark, dest):

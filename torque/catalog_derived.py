@@ -42,14 +42,15 @@ def query(name: str):
 
 _KEPT: "weakref.WeakKeyDictionary[SparkSession, dict[str, str]]" = weakref.WeakKeyDictionary()
 _LOCK = threading.Lock()
+UPKEEP_BUCKETS = 4
 
 
 def apply_load(spark: SparkSession, root: str, load: Load) -> None:
     # Independent tables: concurrent jobs from a few driver threads, as in the flow.
     with ThreadPoolExecutor(max_workers=4) as pool:
-        list(pool.map(lambda name: elt_table(spark, root, name, None).merge(load.upserts[name]), load.upserts))
+        list(pool.map(lambda name: elt_table(spark, root, name, UPKEEP_BUCKETS).merge(load.upserts[name]), load.upserts))
     for name, keys in load.deletes.items():
-        elt_table(spark, root, name, None).delete(keys)
+        elt_table(spark, root, name, UPKEEP_BUCKETS).delete(keys)
 
 
 def upkeep_root(spark: SparkSession, sf: str) -> str:
@@ -60,7 +61,7 @@ def upkeep_root(spark: SparkSession, sf: str) -> str:
             root = scratch_path(spark, "upkeep")
             for load in upkeep_loads(source(spark, sf)):
                 apply_load(spark, root, load)
-                maintain(spark, root, RATE_BASE_CODE)
+                maintain(spark, root, RATE_BASE_CODE, buckets=UPKEEP_BUCKETS)
             roots[sf] = root
         return roots[sf]
 

@@ -30,14 +30,6 @@ def etl_rules(allowed_currency_ids: Sequence[int] = DEFAULT_ALLOWED_CURRENCY_IDS
     }
 
 
-def finite_rules() -> dict[str, Column]:
-    """Optional stricter rules: prices must be finite numbers."""
-    return {
-        "sale_price_finite": ~F.isnan("sale_price"),
-        "normalized_finite": ~F.isnan(F.col("sale_price_normalized").cast("double")),
-    }
-
-
 def passed(rule: Column) -> Column:
     return F.coalesce(rule, F.lit(False))
 

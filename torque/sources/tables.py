@@ -14,11 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
-
-
 def lookup(spark: SparkSession, df: DataFrame, key: str, value, columns: Sequence[str]) -> DataFrame:
     """Point lookup ``key = ?`` with a bound parameter.  The predicate
     reaches the Parquet scan (row-group skipping on min/max statistics)."""
