@@ -13,7 +13,7 @@ that many edits share one segment, at a place bounded by the edits on either
 side of it; so each line puts its segments into an index by length, and probes
 the index of each length it may be near with just the substrings that can
 match.  Index and probe are two sets of hashed keys joined by Spark; the join's
-condition also holds two parity sketches against each other, which lines within
+condition also holds their parity sketches against each other, which lines within
 that many edits always pass.  Candidate
 pairs of distinct lines, each once, are verified by a banded bit-parallel edit
 distance, many pairs at a time in numpy.
@@ -144,17 +144,17 @@ def segment_keys(m: np.ndarray, codes: np.ndarray, distance: int, probe: bool) -
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def sketches(n: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit parity sketches of each line (:func:`coded`): of its characters, and of its
-    character pairs.  An edit flips at most 2 bits of the first and 4 of the second, so
-    lines further apart than that are no candidates."""
+def sketches(n: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """A parity sketch of each line (:func:`coded`): of its characters in the lower 32 bits, of
+    its character pairs in the upper ones.  An edit flips at most 2 of the lower and 4 of
+    the upper bits, so lines further apart than that are no candidates."""
     begin = np.cumsum(n) - n
-    one, upper = np.uint64(1), np.uint64(58)
-    chars = one << (codes >> upper)
+    one, upper = np.uint64(1), np.uint64(59)
     pairs = np.zeros(len(codes), np.uint64)
-    pairs[:-1] = one << ((codes[:-1] * MIX_1 + codes[1:] * MIX_2) >> upper)
+    pairs[:-1] = one << (((codes[:-1] * MIX_1 + codes[1:] * MIX_2) >> upper) + np.uint64(32))
     pairs[begin + n - 1] = 0                        # none across two lines
-    return tuple(np.bitwise_xor.reduceat(x, begin).view(np.int64) for x in (chars, pairs))
+    pairs ^= one << (codes >> upper)
+    return np.bitwise_xor.reduceat(pairs, begin).view(np.int64)
 
 
 def _keys(distance: int, probe: bool, min_chars: int):
@@ -168,9 +168,8 @@ def _keys(distance: int, probe: bool, min_chars: int):
             ids = np.array([line_id(x) for x in distinct], np.int64)
             n, codes = coded(distinct)
             row, key = segment_keys(n, codes, distance, probe)
-            chars, pairs = sketches(n, codes)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[row]), pa.array(chars[row]), pa.array(pairs[row])],
-                                             ["segment", "id", "chars", "pairs"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[row]), pa.array(sketches(n, codes)[row])],
+                                             ["segment", "id", "sketch"])
     return run
 
 
@@ -261,14 +260,15 @@ def _pick(min_chars: int):
 def line_links(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS) -> DataFrame:
     """(a, b): every pair of distinct near lines, once, a < b by id."""
     text = docs.select("text")
-    schema = "segment bigint, id bigint, chars bigint, pairs bigint"
+    schema = "segment bigint, id bigint, sketch bigint"
     index = text.mapInArrow(_keys(distance, False, min_chars), schema).alias("i")
     probe = text.mapInArrow(_keys(distance, True, min_chars), schema).withColumnRenamed("id", "other").alias("p")
     # What the sketches rule out is never made a row: lines of one origin share
     # segments with each other, whatever else was changed in them.
+    differ = F.col("i.sketch").bitwiseXOR(F.col("p.sketch"))
     near = ((F.col("i.segment") == F.col("p.segment")) & (F.col("id") != F.col("other"))
-            & (F.bit_count(F.col("i.chars").bitwiseXOR(F.col("p.chars"))) <= 2 * distance)
-            & (F.bit_count(F.col("i.pairs").bitwiseXOR(F.col("p.pairs"))) <= 4 * distance))
+            & (F.bit_count(differ.bitwiseAND(F.lit(0xFFFFFFFF))) <= 2 * distance)
+            & (F.bit_count(F.shiftrightunsigned(differ, 32)) <= 4 * distance))
     pairs = (index.join(probe, near)
              .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
     pairs = stage(pairs, "line-pairs")
