@@ -257,8 +257,10 @@ def _pick(min_chars: int):
     return run
 
 
-def line_links(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(a, b): every pair of distinct near lines, once, a < b by id."""
+def line_links(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS,
+               first: DataFrame | None = None) -> DataFrame:
+    """(a, b): every pair of distinct near lines, once, a < b by id.  ``first`` (id, key): a
+    document of ``docs`` that holds each line, if it is known; lines are then read there."""
     text = docs.select("text")
     schema = "segment bigint, id bigint, sketch bigint"
     index = text.mapInArrow(_keys(distance, False, min_chars), schema).alias("i")
@@ -274,6 +276,9 @@ def line_links(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_C
     pairs = stage(pairs, "line-pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     ids = stage(ids, "line-ids")
+    if first is not None:
+        holders = stage(ids.join(first, "id").select("key").distinct(), "line-holders")
+        text = docs.join(broadcast_if_small(holders), "key", "left_semi").select("text")
     lines = (text.mapInArrow(_pick(min_chars), "id bigint, line string")
              .join(broadcast_if_small(ids), "id", "left_semi").dropDuplicates(["id"]))
     lines = stage(lines, "line-texts")
@@ -290,7 +295,7 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = M
         _lines(min_chars), f"id bigint, doc {kind}, key bigint, number int")
     place = F.struct(F.col("doc").isNull().alias("last"), "doc", "key", "number")
     first = stage(places.groupBy("id").agg(F.min(place).alias("first")), "line-first")
-    links = line_links(docs, distance, min_chars)
+    links = line_links(docs, distance, min_chars, first.select("id", "first.key"))
     both = links.union(links.select("b", "a")).toDF("id", "other")
     other = first.select(F.col("id").alias("other"), F.col("first").alias("near"))
     beaten = (both.join(first, "id").join(other, "other").filter("near < first").select("id").distinct()
