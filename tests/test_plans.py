@@ -109,3 +109,24 @@ def test_remembered_bound_is_only_reused_when_it_proves_the_answer(spark):
     assert not hinted(bounded_broadcast(df, 10, remember=True))    # 11 counted: over 10
     assert hinted(bounded_broadcast(df, 100, remember=True))       # must recount: 50 <= 100
     assert not hinted(bounded_broadcast(df, 20, remember=True))    # exact 50 remembered: over 20
+
+
+def test_a_side_over_the_bound_is_merged_whatever_its_file_takes(spark, tmp_path):
+    """300,000 keys compress to a small file; their hashed relation would pass the driver."""
+    from torque.operators.broadcast import bounded_broadcast
+    spark.range(300_000).write.parquet(f"{tmp_path}/keys")
+    keys = spark.read.parquet(f"{tmp_path}/keys")
+    for kind in ("inner", "left_semi", "left_anti"):
+        p = plan(spark.range(10).join(bounded_broadcast(keys), "id", kind)) + plan(keys.join(bounded_broadcast(keys), "id", kind))
+        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+
+
+def test_fact_sales_broadcasts_cars_and_customers_under_the_bound_only(spark, monkeypatch):
+    from torque.fixtures import source
+    from torque.operators import star
+    src = source(spark, SF_SMALL)
+    t = {n: getattr(src, n) for n in src.tables()}
+    assert "SortMergeJoin" not in plan(star.fact_sales(t, src.rates_snapshot, None))
+    monkeypatch.setattr(star, "MAX_DIMENSION_ROWS", 50)          # fewer than the cars and the customers
+    p = plan(star.fact_sales(dict(t, cars=t["cars"].select("*"), customers=t["customers"].select("*")), src.rates_snapshot, None))
+    assert p.count("SortMergeJoin") == 2

@@ -7,6 +7,7 @@ over the source database (ETL) or over the loaded destination tables (ELT).
 Join strategy: the low-cardinality dimensions (currencies, brands, types,
 cities) and the rates snapshot are broadcast behind a counted bound, so a
 few-valued key (a brand holding a third of the sales) is never a shuffle key.
+The fact's cars and customers are under the same bound, beyond it they are merged.
 Every other join is left to the planner: static size estimates broadcast a
 small side, AQE re-plans from runtime sizes and splits skewed partitions (a car
 or customer holding a third of the sales).
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.windows import Window, changed_in, event_window
 from ..sources.rates import RatesSnapshot
-from .broadcast import bounded_broadcast, is_small
+from .broadcast import bounded_broadcast, is_small, sized
 
 Tables = Mapping[str, DataFrame]
 
@@ -196,14 +197,15 @@ def fact_sales(t: Tables, rates: RatesSnapshot, window: Window | None,
     gives an empty fact."""
     s = t["car_sales"] if window is None else t["car_sales"].filter(changed_in(window))
     s = _cols(s, "s_", ["id", "car_id", "customer_id", "price", "currency_id", "transaction_date"])
-    cars = _cols(t["cars"], "c_", ["id", "name", "brand_id"])
+    cars = _small(t["cars"], "c_", ["id", "name", "brand_id"])
     brands = _small(t["brands"], "b_", ["id", "name"])
     cust = _cols(t["customers"], "u_", ["id", "address_city_id"])
     city = _small(t["cities"], "y_", ["id"])
     cur = _small(t["currencies"], "k_", ["id", "name"])
     rt = _cols(rates.broadcastable(), "r_", ["code", "rate", "updated_at"])
     base = base if base is not None else base_currency_row(rates)
-    known_customers = cust.join(city, F.col("u_address_city_id") == F.col("y_id"), "left_semi")
+    known_customers = sized(cust.join(city, F.col("u_address_city_id") == F.col("y_id"), "left_semi"),
+                            is_small(t["customers"], MAX_DIMENSION_ROWS, remember=True))
     j = (s.join(known_customers, F.col("s_customer_id") == F.col("u_id"), "left_semi")
          .join(cars, F.col("s_car_id") == F.col("c_id"), "inner")
          .join(brands, F.col("c_brand_id") == F.col("b_id"), "inner")
