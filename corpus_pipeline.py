@@ -24,8 +24,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays (the smallest doc_id)."""
-    return simhash.keep_one(docs)
+    """One row of each SimHash component stays (the smallest doc_id)."""
+    return simhash.keep_one(docs, repeats=False)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
