@@ -109,3 +109,11 @@ def test_new_column_and_lossy_types(spark, tmp_path):
     with pytest.raises(ValueError):
         t.merge(spark.createDataFrame([(5, 1.5)], "k bigint, a double"))
     assert {r.k: r.a for r in t.read().collect()}[5] == -1
+
+
+def test_a_read_broadcasts_no_manifest(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"), ["k"], 4)
+    t.write(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("a")))
+    t.merge(spark.createDataFrame([(5, 2)], "k bigint, a int"))
+    p = t.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in p and t.read().filter("a = 2").count() == 1 and t.read().count() == 100

@@ -18,7 +18,7 @@ its batch touches; a manifest says which attempt's folder holds each bucket::
   written with ``errorifexists``.
 * A small batch against a huge table reads and rewrites only the buckets of
   its keys.  Manifests are read and written as DataFrames; the driver holds
-  one metadata row and the names of the attempts still in use.
+  one metadata row and, of a version that is read, its buckets and their attempts.
 
 Everything goes through the DataFrame reader and writer, so the same code runs
 on any Hadoop-compatible store.
@@ -26,7 +26,9 @@ on any Hadoop-compatible store.
 
 from __future__ import annotations
 
+import functools
 import json
+import operator
 import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -128,17 +130,20 @@ class SnapshotTable:
         held = self.entries(v)
         if buckets is not None:
             held = held.join(buckets, "bucket", "left_semi")
-        attempts = [r[0] for r in held.select("att").distinct().collect()]  # versions still in use
+        attempts: dict[str, list[int]] = {}                 # the buckets of each attempt still in use
+        for r in held.collect():
+            attempts.setdefault(r["att"], []).append(r["bucket"])
         if not attempts:
             return self.spark.createDataFrame([], schema)
         stored = T.StructType([*schema.fields, T.StructField(ATTEMPT, T.StringType()),
                                T.StructField(BUCKET, T.IntegerType())])
         files = (self.spark.read.schema(stored).option("basePath", f"{self.root}/data")
                  .parquet(*[f"{self.root}/data/{ATTEMPT}={a}" for a in sorted(attempts)]))
-        # Folder columns joined to the manifest (one small row per bucket): Spark
-        # prunes the folders of buckets that a later attempt replaced.
-        held = M.bounded_broadcast(held.select(F.col("bucket").alias(BUCKET), F.col("att").alias(ATTEMPT)))
-        return files.join(held, [ATTEMPT, BUCKET], "left_semi").select(*schema.names)
+        # The manifest as a filter on the folder columns (one number per bucket): Spark
+        # prunes the folders of buckets that a later attempt replaced, and no plan that
+        # reads the table broadcasts its manifest again.
+        stands = functools.reduce(operator.or_, [(F.col(ATTEMPT) == a) & F.col(BUCKET).isin(b) for a, b in sorted(attempts.items())])
+        return files.filter(stands).select(*schema.names)
 
     # -- writing --------------------------------------------------------------
     def _publish(self, df: DataFrame, version: int, base: int | None, touched: DataFrame | None,
